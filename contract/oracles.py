@@ -14,8 +14,8 @@ def dec(x: str) -> str:
     return f"cast(cast({x} as varchar) as decimal(38,12))"
 
 
-def total(x: str, where: str = "true") -> str:
-    return f"cast(sum({dec(x)}) filter (where {where}) as double)"
+def total(x: str) -> str:
+    return f"cast(sum({dec(x)}) as double)"
 
 
 def mean(x: str) -> str:
@@ -163,8 +163,8 @@ sales as (
   select *, {band('age_int')} as tranche_age_quinquennale from ages0
 ), age_struct as (
   select code_commune, {total('effectif')} as population_totale,
-         coalesce({total('effectif', 'age_int between 25 and 39')}, 0) as pop_25_39,
-         coalesce({total('effectif', 'age_int >= 60')}, 0) as pop_60_plus
+         {total('case when age_int between 25 and 39 then effectif else 0 end')} as pop_25_39,
+         {total('case when age_int >= 60 then effectif else 0 end')} as pop_60_plus
   from ages where code_commune in (select code_commune from region_geo) group by code_commune
 ), age_mart as (
   select *, {rnd(ratio('pop_25_39', 'population_totale'), 4)} as part_25_39,
@@ -367,7 +367,7 @@ _age_groups = {
     "15_24": "p_size between 15 and 24", "25_39": "p_size between 25 and 39",
     "40_59": "p_size between 40 and 59", "60_plus": "p_size >= 60",
 }
-_group_sums = ", ".join(f"coalesce({total('p_retailprice', w)}, 0) as g_{g}" for g, w in _age_groups.items())
+_group_sums = ", ".join(f"{total(f'case when {w} then p_retailprice else 0 end')} as g_{g}" for g, w in _age_groups.items())
 _group_columns = ", ".join(
     f"{rnd(f'g_{g}', 2)} as pop_{g}, {rnd(ratio(f'g_{g}', 't'), 4)} as part_{g}" for g in _age_groups
 )

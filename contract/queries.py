@@ -135,7 +135,7 @@ def percent_rank_of_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
         load(spark, sf_dir, "customer"), ["c_mktsegment"], {"balance": F.col("c_acctbal")}
     )
     return ranks.select(
-        "c_mktsegment", F.col("value").alias("c_acctbal"), "n",
+        "key.c_mktsegment", F.col("value").alias("c_acctbal"), "n",
         F.round(percent_rank_of(), 9).alias("pr"),
     )
 

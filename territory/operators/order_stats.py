@@ -34,24 +34,32 @@ def chunk_count(spark: SparkSession) -> int:
     return max(16, min(4096, 4 * parallel))
 
 
-def value_counts(df: DataFrame, keys: Sequence[str], measures: Mapping[str, Column]) -> DataFrame:
-    """Frequency table: one row per (keys, measure, value); nulls left out."""
+def long_form(df: DataFrame, keys: Sequence[str], measures: Mapping[str, Column]) -> DataFrame:
+    """One row per input row and measure: (key, measure, value), nulls left out.
+
+    The keys travel as one struct: it is never null, so joins on it keep the
+    groups whose key columns are null, as grouping does.
+    """
     pairs = F.array(
         *[
             F.struct(F.lit(name).alias("measure"), column.cast("double").alias("value"))
             for name, column in measures.items()
         ]
     )
-    long = df.select(*keys, F.explode(pairs).alias("pair")).select(
-        *keys, "pair.measure", "pair.value"
-    )
-    return (
-        long.filter(F.col("value").isNotNull())
-        .groupBy(*keys, "measure", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
+    exploded = df.select(F.struct(*keys).alias("key"), F.explode(pairs).alias("pair"))
+    return exploded.select("key", "pair.measure", "pair.value").filter("value is not null")
+
+
+def value_counts(df: DataFrame, keys: Sequence[str], measures: Mapping[str, Column]) -> DataFrame:
+    """Frequency table: one row per (key, measure, value)."""
+    return long_form(df, keys, measures).groupBy("key", "measure", "value").agg(
+        F.count(F.lit(1)).alias("n")
     )
 
 
+_GROUP = ("key", "measure")
+
+
 def _add_chunk(counts: DataFrame, chunks: int) -> DataFrame:
     """Number the ordered chunk of each value, per measure."""
     # The condition on n keeps the frequency table's columns, and so its
@@ -81,17 +89,17 @@ def _add_chunk(counts: DataFrame, chunks: int) -> DataFrame:
     )
 
 
-def _chunk_positions(chunked: DataFrame, group: Sequence[str]) -> DataFrame:
+def _chunk_positions(chunked: DataFrame) -> DataFrame:
     """Per (group, chunk): rows in front of it, its rows, and group totals."""
     # Exact product: 24 + 13 + 1 digits fit DECIMAL(38,10).
     weighted = F.col("value").cast("decimal(24,10)") * F.col("n").cast("decimal(13,0)")
-    sizes = chunked.groupBy(*group, "chunk").agg(
+    sizes = chunked.groupBy(*_GROUP, "chunk").agg(
         F.sum("n").alias("chunk_n"), F.sum(weighted).alias("chunk_sum")
     )
-    whole = Window.partitionBy(*group)
+    whole = Window.partitionBy(*_GROUP)
     before = whole.orderBy("chunk").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return sizes.select(
-        *group,
+        *_GROUP,
         "chunk",
         "chunk_n",
         (F.sum("chunk_n").over(before) - F.col("chunk_n")).alias("before"),
@@ -100,14 +108,14 @@ def _chunk_positions(chunked: DataFrame, group: Sequence[str]) -> DataFrame:
     )
 
 
-def _running(chunked: DataFrame, positions: DataFrame, group: Sequence[str]) -> DataFrame:
+def _running(chunked: DataFrame, positions: DataFrame) -> DataFrame:
     """Rows strictly below each value of its group, as ``below``."""
     inside = (
-        Window.partitionBy(*group, "chunk")
+        Window.partitionBy(*_GROUP, "chunk")
         .orderBy("value")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return chunked.join(positions, [*group, "chunk"]).withColumn(
+    return chunked.join(positions, [*_GROUP, "chunk"]).withColumn(
         "below", F.col("before") + F.sum("n").over(inside) - F.col("n")
     )
 
@@ -120,16 +128,15 @@ def exact_medians(
     The median of an even number of rows is the mean of the middle two. Sums
     are exact decimal sums, so they do not depend on row order.
     """
-    group = [*keys, "measure"]
     chunked = _add_chunk(value_counts(df, keys, measures), chunk_count(df.sparkSession))
 
     # Ranks (from 1) of the middle rows; the chunks holding them are at most two.
     low = F.expr("(total + 1) div 2")
     high = F.expr("total div 2 + 1")
     middle = (F.col("before") < high) & (F.col("before") + F.col("chunk_n") >= low)
-    positions = _chunk_positions(chunked, group).filter(middle).drop("chunk_n")
+    positions = _chunk_positions(chunked).filter(middle).drop("chunk_n")
     hit = (F.col("below") < high) & (F.col("below") + F.col("n") >= low)
-    picked = _running(chunked, positions, group).filter(hit)
+    picked = _running(chunked, positions).filter(hit)
 
     aggregates = []
     for name in measures:
@@ -144,17 +151,20 @@ def exact_medians(
             safe_divide(total, count).alias(f"{name}_mean"),
             ((least + most) / 2).alias(f"{name}_median"),
         ]
-    return picked.groupBy(*keys).agg(*aggregates)
+    return picked.groupBy("key").agg(*aggregates).select("key.*", *_stat_names(measures))
+
+
+def _stat_names(measures: Mapping[str, Column]) -> list[str]:
+    return [f"{m}_{stat}" for m in measures for stat in ("count", "sum", "mean", "median")]
 
 
 def value_ranks(
     df: DataFrame, keys: Sequence[str], measures: Mapping[str, Column]
 ) -> DataFrame:
-    """Rank table: (keys, measure, value, n, below, total) for every value."""
-    group = [*keys, "measure"]
+    """Rank table: (key, measure, value, n, below, total) for every value."""
     chunked = _add_chunk(value_counts(df, keys, measures), chunk_count(df.sparkSession))
-    positions = _chunk_positions(chunked, group).select(*group, "chunk", "before", "total")
-    return _running(chunked, positions, group).drop("chunk", "before")
+    positions = _chunk_positions(chunked).select(*_GROUP, "chunk", "before", "total")
+    return _running(chunked, positions).drop("chunk", "before")
 
 
 def percent_rank_of() -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from territory.functions import clean as C
 from territory.operators.order_stats import (
     descending_rank_of,
+    long_form,
     percent_rank_of,
     value_ranks,
 )
@@ -39,22 +40,17 @@ def percentile_columns(
     """Percent rank of each measure inside ``within``: one row per ``row``
     key, one column per measure. ``row`` includes the columns of ``within``."""
     ranks = value_ranks(df, within, measures).select(
-        *within, "measure", "value", percent_rank_of().alias("pr")
+        "key", "measure", "value", percent_rank_of().alias("pr")
     )
-    pairs = F.array(
-        *[
-            F.struct(F.lit(name).alias("measure"), column.cast("double").alias("value"))
-            for name, column in measures.items()
-        ]
+    # A row's own key and the key of its ranking, side by side.
+    own = df.withColumns({"_row": F.struct(*row)})
+    placed = long_form(own, [*within, "_row"], measures).select(
+        F.struct(*[F.col(f"key.{c}") for c in within]).alias("key"), "key._row", "measure", "value"
     )
-    long = df.select(*row, F.explode(pairs).alias("pair")).select(
-        *row, "pair.measure", "pair.value"
-    )
-    return (
-        long.join(ranks, [*within, "measure", "value"])
-        .groupBy(*row)
-        .agg(*[F.max(F.when(F.col("measure") == name, F.col("pr"))).alias(name) for name in measures])
+    wide = placed.join(ranks, ["key", "measure", "value"]).groupBy("_row").agg(
+        *[F.max(F.when(F.col("measure") == name, F.col("pr"))).alias(name) for name in measures]
     )
+    return wide.select("_row.*", *measures)
 
 
 def composite_index(
@@ -88,6 +84,7 @@ def composite_index(
 def rank_by(df: DataFrame, within: Sequence[str], by: str, name: str) -> DataFrame:
     """Rank (1 = largest) of ``by`` inside ``within``; ties share a rank."""
     ranks = value_ranks(df, within, {"by": F.col(by)}).select(
-        *within, F.col("value").alias(by), descending_rank_of().alias(name)
+        "key", F.col("value").alias("_value"), descending_rank_of().alias(name)
     )
-    return df.join(ranks, [*within, by], "left")
+    placed = df.withColumns({"key": F.struct(*within), "_value": F.col(by).cast("double")})
+    return placed.join(ranks, ["key", "_value"], "left").select(*df.columns, name)

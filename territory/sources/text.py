@@ -45,6 +45,9 @@ def read_text_table(
         header=True, inferSchema=False, sep=sep, quote=quote, escape=quote, encoding=encoding,
         mode="DROPMALFORMED" if skip_malformed else "PERMISSIVE",
     )
+    if skip_malformed:
+        # A row can only be checked against the header if all of it is parsed.
+        reader = reader.option("columnPruning", False)
     df = reader.csv(path)
     return df.repartition(spread) if spread else df
 
