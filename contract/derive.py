@@ -28,8 +28,15 @@ OFFENCES = {
 }
 
 
+_loaded: dict[tuple[str, str, str], DataFrame] = {}
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    """The table as a lazy scan; its schema is read once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir, table)
+    if key not in _loaded:
+        _loaded[key] = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return _loaded[key]
 
 
 def text(c: Column | str) -> Column:
@@ -48,28 +55,27 @@ def lat_of(key: Column) -> Column:
     return F.pmod(key * 73, F.lit(512)) / 128 + F.lit(1 / 512)
 
 
+def _choice(values: tuple[str, ...], index: str) -> str:
+    return "element_at(array(" + ", ".join(f"'{v}'" for v in values) + f"), cast({index} + 1 as int))"
+
+
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers with department and commune code."""
-    nation, key = F.col("c_nationkey"), F.col("c_custkey")
-    dep = F.element_at(F.array(*[F.lit(d) for d in DEPARTMENT_BY_NATION]), (nation % 9 + 1).cast("int"))
-    city = F.concat(F.lit("1"), F.lpad(text(1 + key % 20), 2, "0"))
-    other = F.lpad(text(1 + key % 25), 3, "0")
-    return load(spark, sf_dir, "customer").withColumn("dep", dep).withColumn(
-        "code", F.concat("dep", F.when(F.col("dep") == "75", city).otherwise(other))
+    city = "concat('1', lpad(string(1 + c_custkey % 20), 2, '0'))"
+    other = "lpad(string(1 + c_custkey % 25), 3, '0')"
+    return (
+        load(spark, sf_dir, "customer")
+        .selectExpr("*", f"{_choice(DEPARTMENT_BY_NATION, 'c_nationkey % 9')} as dep")
+        .selectExpr("*", f"concat(dep, if(dep = '75', {city}, {other})) as code")
     )
 
 
 def communes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per commune: customers, largest balance, customers by segment."""
     segments = ("HOUSEHOLD", "BUILDING", "FURNITURE", "MACHINERY")
-    return customers(spark, sf_dir).groupBy("code", "dep").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.max("c_acctbal").alias("m"),
-        *[
-            F.count(F.when(F.col("c_mktsegment") == s, 1)).alias(s.lower())
-            for s in segments
-        ],
-    ).withColumn("tail", F.right("code", F.lit(2)))
+    counts = [f"count_if(c_mktsegment = '{s}') as {s.lower()}" for s in segments]
+    figures = ["count(*) as n", "max(c_acctbal) as m", *counts, "any_value(right(code, 2)) as tail"]
+    return customers(spark, sf_dir).groupBy("code", "dep").agg(*[F.expr(f) for f in figures])
 
 
 def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,7 +97,7 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         F.concat(F.lit(" M"), text("l_orderkey"), F.lit(" ")).alias("id_mutation"),
         text("l_linenumber").alias("numero_disposition"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("date_mutation"),
+        text(F.to_date("o_orderdate")).alias("date_mutation"),
         F.when(F.col("o_orderpriority") == "5-LOW", "Echange").otherwise(" Vente").alias("nature_mutation"),
         F.when(unplaced, " ").otherwise(F.col("code")).alias("code_commune"),
         F.concat(F.lit("Commune "), F.col("code")).alias("nom_commune"),
@@ -230,21 +236,17 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 def areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One diamond with a diamond-shaped hole per supplier, on a lattice 40
     wide: (code, nom, geom). Neighbours overlap a little."""
-    key = F.col("s_suppkey")
-    dep = F.element_at(
-        F.array(*[F.lit(d) for d in DEPARTMENT_BY_NATION[:8]]), (key % 8 + 1).cast("int")
-    )
-    placed = load(spark, sf_dir, "supplier").select(
-        F.concat(dep, F.lpad(text(F.floor(key / 8) + 101), 3, "0")).alias("code"),
-        F.col("s_name").alias("nom"),
-        (key % 40).cast("double").alias("cx"), F.floor(key / 40).cast("double").alias("cy"),
+    placed = load(spark, sf_dir, "supplier").selectExpr(
+        f"concat({_choice(DEPARTMENT_BY_NATION[:8], 's_suppkey % 8')},"
+        " lpad(string(s_suppkey div 8 + 101), 3, '0')) as code",
+        "s_name as nom", "double(s_suppkey % 40) as cx", "double(s_suppkey div 40) as cy",
     )
 
-    def diamond(r: float) -> Column:
+    def diamond(r: float) -> str:
         corners = ((r, 0.0), (0.0, r), (-r, 0.0), (0.0, -r), (r, 0.0))
-        return F.array(*[F.array(F.col("cx") + dx, F.col("cy") + dy) for dx, dy in corners])
+        return "array(" + ", ".join(f"array(cx + {dx}D, cy + {dy}D)" for dx, dy in corners) + ")"
 
-    return placed.select("code", "nom", F.array(F.array(diamond(0.75), diamond(0.25))).alias("geom"))
+    return placed.selectExpr("code", "nom", f"array(array({diamond(0.75)}, {diamond(0.25)})) as geom")
 
 
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from territory.functions.clean import safe_divide
@@ -64,60 +64,47 @@ def _add_chunk(counts: DataFrame, chunks: int) -> DataFrame:
     """Number the ordered chunk of each value, per measure."""
     # The condition on n keeps the frequency table's columns, and so its
     # shuffle, the same for all of its readers.
-    splits = (
-        counts.filter(F.col("n") > 0)
-        .groupBy("measure")
-        .agg(
-            F.percentile_approx(
-                "value", [i / chunks for i in range(1, chunks)], 10 * chunks
-            ).alias("splits")
-        )
+    cuts = ", ".join(f"{i / chunks}D" for i in range(1, chunks))
+    splits = counts.filter("n > 0").groupBy("measure").agg(
+        F.expr(f"percentile_approx(value, array({cuts}), {10 * chunks})").alias("splits")
     )
     # Two-level search: whole blocks below the value, then inside one block.
     block = max(1, int(chunks**0.5))
-    ends = F.expr(f"transform(sequence(0, size(splits) div {block} - 1), "
-                  f"i -> splits[i * {block} + {block - 1}])")
-    splits = splits.withColumn("ends", ends)
-    below = F.expr("size(filter(ends, s -> s < value))")
-    inside = F.expr(f"size(filter(slice(splits, blocks * {block} + 1, {block}), s -> s < value))")
+    ends = f"transform(sequence(0, size(splits) div {block} - 1), i -> splits[i * {block} + {block - 1}])"
+    inside = f"size(filter(slice(splits, blocks * {block} + 1, {block}), s -> s < value))"
     # One row per measure, a number fixed by the caller.
     return (
-        counts.join(F.broadcast(splits), "measure")
-        .withColumn("blocks", below)
-        .withColumn("chunk", F.col("blocks") * block + inside)
-        .drop("splits", "ends", "blocks")
+        counts.join(F.broadcast(splits.selectExpr("measure", "splits", f"{ends} as ends")), "measure")
+        .selectExpr(*counts.columns, "splits", "size(filter(ends, s -> s < value)) as blocks")
+        .selectExpr(*counts.columns, f"blocks * {block} + {inside} as chunk")
     )
 
 
 def _chunk_positions(chunked: DataFrame) -> DataFrame:
     """Per (group, chunk): rows in front of it, its rows, and group totals."""
     # Exact product: 24 + 13 + 1 digits fit DECIMAL(38,10).
-    weighted = F.col("value").cast("decimal(24,10)") * F.col("n").cast("decimal(13,0)")
+    weighted = "cast(value as decimal(24,10)) * cast(n as decimal(13,0))"
     sizes = chunked.groupBy(*_GROUP, "chunk").agg(
-        F.sum("n").alias("chunk_n"), F.sum(weighted).alias("chunk_sum")
+        F.expr("sum(n) as chunk_n"), F.expr(f"sum({weighted}) as chunk_sum")
     )
-    whole = Window.partitionBy(*_GROUP)
-    before = whole.orderBy("chunk").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return sizes.select(
+    return sizes.selectExpr(
         *_GROUP,
         "chunk",
         "chunk_n",
-        (F.sum("chunk_n").over(before) - F.col("chunk_n")).alias("before"),
-        F.sum("chunk_n").over(whole).alias("total"),
-        F.sum("chunk_sum").over(whole).alias("total_sum"),
+        "sum(chunk_n) over (partition by key, measure order by chunk"
+        " rows between unbounded preceding and current row) - chunk_n as before",
+        "sum(chunk_n) over (partition by key, measure) as total",
+        "sum(chunk_sum) over (partition by key, measure) as total_sum",
     )
 
 
 def _running(chunked: DataFrame, positions: DataFrame) -> DataFrame:
     """Rows strictly below each value of its group, as ``below``."""
-    inside = (
-        Window.partitionBy(*_GROUP, "chunk")
-        .orderBy("value")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    return chunked.join(positions, [*_GROUP, "chunk"]).withColumn(
-        "below", F.col("before") + F.sum("n").over(inside) - F.col("n")
+    below = (
+        "before + sum(n) over (partition by key, measure, chunk order by value"
+        " rows between unbounded preceding and current row) - n as below"
     )
+    return chunked.join(positions, [*_GROUP, "chunk"]).selectExpr("*", below)
 
 
 def exact_medians(
@@ -131,31 +118,29 @@ def exact_medians(
     chunked = _add_chunk(value_counts(df, keys, measures), chunk_count(df.sparkSession))
 
     # Ranks (from 1) of the middle rows; the chunks holding them are at most two.
-    low = F.expr("(total + 1) div 2")
-    high = F.expr("total div 2 + 1")
-    middle = (F.col("before") < high) & (F.col("before") + F.col("chunk_n") >= low)
-    positions = _chunk_positions(chunked).filter(middle).drop("chunk_n")
-    hit = (F.col("below") < high) & (F.col("below") + F.col("n") >= low)
-    picked = _running(chunked, positions).filter(hit)
-
-    aggregates = []
-    for name in measures:
-        this = F.col("measure") == name
-        count = F.max(F.when(this, F.col("total")))
-        total = F.max(F.when(this, F.col("total_sum"))).cast("double")
-        least = F.min(F.when(this, F.col("value")))
-        most = F.max(F.when(this, F.col("value")))
-        aggregates += [
-            count.alias(f"{name}_count"),
-            total.alias(f"{name}_sum"),
-            safe_divide(total, count).alias(f"{name}_mean"),
-            ((least + most) / 2).alias(f"{name}_median"),
-        ]
-    return picked.groupBy("key").agg(*aggregates).select("key.*", *_stat_names(measures))
-
-
-def _stat_names(measures: Mapping[str, Column]) -> list[str]:
-    return [f"{m}_{stat}" for m in measures for stat in ("count", "sum", "mean", "median")]
+    low, high = "(total + 1) div 2", "total div 2 + 1"
+    positions = _chunk_positions(chunked).filter(
+        f"before < {high} and before + chunk_n >= {low}"
+    )
+    picked = _running(chunked, positions.drop("chunk_n")).filter(
+        f"below < {high} and below + n >= {low}"
+    )
+    stats = picked.groupBy("key", "measure").agg(
+        F.expr("struct(max(total) as count, cast(max(total_sum) as double) as sum,"
+               " (min(value) + max(value)) / 2 as median) as s")
+    )
+    wide = stats.groupBy("key").agg(
+        *[F.expr(f"max(if(measure = '{name}', s, null)) as {name}") for name in measures]
+    )
+    columns = [
+        column
+        for m in measures
+        for column in (
+            f"{m}.count as {m}_count", f"{m}.sum as {m}_sum",
+            f"{m}.sum / {m}.count as {m}_mean", f"{m}.median as {m}_median",
+        )
+    ]
+    return wide.selectExpr("key.*", *columns)
 
 
 def value_ranks(
