@@ -322,7 +322,7 @@ def _checks() -> str:
         return f"select count(*) from {t} where code_commune is not null and code_commune not in (select code_commune from {geo})"
 
     def zone(t: str) -> str:
-        return f"select count(distinct zone_idf) from {t} where zone_idf not in ('Paris', 'Petite couronne', 'Grande couronne')"
+        return f"select count(*) from {t} where zone_idf not in ('Paris', 'Petite couronne', 'Grande couronne')"
 
     def rows(t: str, c: str) -> str:
         return f"select count(*) from {t} where {c}"

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from territory import settings as S
+
 
 def check_not_null(df: DataFrame, column: str) -> DataFrame:
     return df.filter(F.col(column).isNull())
@@ -62,6 +64,15 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def count_violations(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+    """Violating rows per row-level rule, all rules in one pass over ``df``."""
+    counts = df.agg(*[F.count_if(rule).alias(name) for name, rule in rules.items()])
+    pairs = F.array(
+        *[F.struct(F.lit(name).alias("table_name"), F.col(name).alias("n")) for name in rules]
+    )
+    return counts.select(F.inline(pairs))
+
+
 # --- rules on the models ----------------------------------------------------
 
 
@@ -106,45 +117,67 @@ def median_area_implausible(accessibility: DataFrame) -> DataFrame:
     return check_expression(rows, ~F.col("surface_mediane").between(5, 500))
 
 
-def check_all(models: Mapping[str, DataFrame]) -> DataFrame:
-    """Violation count of every rule on every model, one row per check."""
-    from territory import settings as S
+def _outside(column: str, low: float, high: float) -> Column:
+    return ~F.col(column).between(low, high)
 
-    geo, income, ages = models["communes_region"], models["income"], models["age_structure"]
-    prices, acc, zones, evo = (
-        models["prices"], models["accessibility"], models["zones"], models["evolution"]
-    )
-    checks = {
-        "communes_code_not_null": check_not_null(geo, "code_commune"),
-        "communes_code_unique": check_unique(geo, "code_commune"),
-        "communes_zone_not_null": check_not_null(geo, "zone_idf"),
-        "communes_zone_accepted": check_accepted_values(geo, "zone_idf", S.ZONE_NAMES),
-        "prices_code_not_null": check_not_null(prices, "code_commune"),
-        "prices_code_known": check_relationship(prices, geo, "code_commune"),
-        "prices_year_not_null": check_not_null(prices, "annee"),
-        "prices_sales_not_null": check_not_null(prices, "nb_ventes"),
-        "income_code_not_null": check_not_null(income, "code_commune"),
-        "income_code_unique": check_unique(income, "code_commune"),
-        "income_code_known": check_relationship(income, geo, "code_commune"),
-        "ages_code_not_null": check_not_null(ages, "code_commune"),
-        "ages_code_unique": check_unique(ages, "code_commune"),
-        "ages_code_known": check_relationship(ages, geo, "code_commune"),
-        "mart_code_not_null": check_not_null(acc, "code_commune"),
-        "mart_year_not_null": check_not_null(acc, "annee"),
-        "mart_zone_not_null": check_not_null(acc, "zone_idf"),
-        "mart_zone_accepted": check_accepted_values(acc, "zone_idf", S.ZONE_NAMES),
-        "zones_zone_not_null": check_not_null(zones, "zone_idf"),
-        "zones_zone_accepted": check_accepted_values(zones, "zone_idf", S.ZONE_NAMES),
-        "zones_year_not_null": check_not_null(zones, "annee"),
-        "evolution_code_not_null": check_not_null(evo, "code_commune"),
-        "evolution_code_known": check_relationship(evo, geo, "code_commune"),
-        "evolution_year_not_null": check_not_null(evo, "annee"),
-        "crime_rate_positive": negative_crime_rate(acc),
-        "rent_positive": rent_not_positive(acc),
-        "young_share_range": young_share_out_of_range(ages),
-        "age_shares_consistent": age_shares_inconsistent(ages),
-        "price_m2_positive": price_m2_not_positive(acc),
-        "purchase_ratio_plausible": purchase_ratio_implausible(acc),
-        "median_area_plausible": median_area_implausible(acc),
+
+def check_all(models: Mapping[str, DataFrame]) -> DataFrame:
+    """Violations of every rule on every model, one row per check.
+
+    Row-level rules of a model share one pass; uniqueness and references need
+    a shuffle each.
+    """
+    def missing(column: str) -> Column:
+        return F.col(column).isNull()
+
+    zone = ~F.col("zone_idf").isin(*S.ZONE_NAMES)
+    ratio = (F.col("nb_ventes") >= 10) & _outside("ratio_achat_revenu_annuel", 1, 150)
+    shares = _outside("part_60_plus", 0, 1) | (F.col("part_25_39") + F.col("part_60_plus") > 1.01)
+    row_rules = {
+        "communes_region": {
+            "communes_code_not_null": missing("code_commune"),
+            "communes_zone_not_null": missing("zone_idf"),
+            "communes_zone_accepted": zone,
+        },
+        "prices": {
+            "prices_code_not_null": missing("code_commune"),
+            "prices_year_not_null": missing("annee"),
+            "prices_sales_not_null": missing("nb_ventes"),
+        },
+        "income": {"income_code_not_null": missing("code_commune")},
+        "age_structure": {
+            "ages_code_not_null": missing("code_commune"),
+            "young_share_range": _outside("part_25_39", 0, 1),
+            "age_shares_consistent": shares,
+        },
+        "accessibility": {
+            "mart_code_not_null": missing("code_commune"),
+            "mart_year_not_null": missing("annee"),
+            "mart_zone_not_null": missing("zone_idf"),
+            "mart_zone_accepted": zone,
+            "crime_rate_positive": F.col("taux_delinquance_pour_mille") < 0,
+            "rent_positive": F.col("loyer_m2_median") <= 0,
+            "price_m2_positive": F.col("prix_m2_median") <= 0,
+            "purchase_ratio_plausible": ratio,
+            "median_area_plausible": _outside("surface_mediane", 5, 500),
+        },
+        "zones": {
+            "zones_zone_not_null": missing("zone_idf"),
+            "zones_zone_accepted": zone,
+            "zones_year_not_null": missing("annee"),
+        },
+        "evolution": {
+            "evolution_code_not_null": missing("code_commune"),
+            "evolution_year_not_null": missing("annee"),
+        },
     }
-    return row_counts(checks)
+    geo = models["communes_region"]
+    others = {"communes_code_unique": check_unique(geo, "code_commune")}
+    for prefix, name in (("income", "income"), ("ages", "age_structure")):
+        others[f"{prefix}_code_unique"] = check_unique(models[name], "code_commune")
+    for prefix, name in (
+        ("prices", "prices"), ("income", "income"), ("ages", "age_structure"), ("evolution", "evolution")
+    ):
+        others[f"{prefix}_code_known"] = check_relationship(models[name], geo, "code_commune")
+    results = [count_violations(models[name], rules) for name, rules in row_rules.items()]
+    return reduce(DataFrame.unionByName, [*results, row_counts(others)])

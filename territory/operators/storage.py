@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """Folder for reliable checkpoints, taken from the session.
+    """Folder for checkpoints and intermediate tables, taken from the session.
 
     The cluster names a shared folder in ``spark.checkpoint.dir``. Only a
     local session without that setting gets a folder of its own; on a
@@ -29,10 +30,12 @@ def checkpoint_folder(spark: SparkSession) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and read it back from the checkpoint folder.
+    """Compute ``df`` once, as a Parquet table in the checkpoint folder.
 
-    The copy survives the loss of executors, and its readers neither repeat
-    the work nor depend on the planner recognising equal sub-plans.
+    The copy survives the loss of executors. Its readers neither repeat the
+    work nor read columns they do not need, and the planner sees its true
+    size: a small dimension is broadcast from the start, a large one is not.
     """
-    checkpoint_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = f"{checkpoint_folder(df.sparkSession)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

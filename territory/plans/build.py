@@ -17,25 +17,29 @@ from territory.sources.text import zone_seed
 def build_models(
     raw: Mapping[str, DataFrame],
     limits: S.Thresholds = S.Thresholds(),
-    stored_sales: DataFrame | None = None,
+    sales: DataFrame | None = None,
     store: bool = True,
 ) -> dict[str, DataFrame]:
-    """All models by name.
+    """All models by name, from the raw tables or an already loaded sales table.
 
-    With ``store`` the price table, which two marts read, and the
-    accessibility mart, which most queries read, are computed once into the
+    With ``store`` the tables that several others read (communes, income, age
+    structure, prices and the accessibility mart) are computed once into the
     checkpoint folder. Everything else stays lazy.
     """
-    keep = materialise if store else (lambda df: df)
+    def keep(df: DataFrame) -> DataFrame:
+        return materialise(df) if store else df
+
     spark = raw["sales"].sparkSession
-    sales = T.load_sales(stored_sales, raw["sales"])
+    sales = T.clean_sales(raw["sales"]) if sales is None else sales
     communes = T.clean_communes(raw["communes"], zone_seed(spark))
-    region = I.communes_region(communes)
-    income = I.income_by_commune(
-        region, T.clean_income(raw["income"]), T.clean_population(raw["population"]),
-        T.clean_rents(raw["rents"]),
+    region = keep(I.communes_region(communes))
+    income = keep(
+        I.income_by_commune(
+            region, T.clean_income(raw["income"]), T.clean_population(raw["population"]),
+            T.clean_rents(raw["rents"]),
+        )
     )
-    ages = I.age_structure(T.clean_population_age(raw["population_age"]), region)
+    ages = keep(I.age_structure(T.clean_population_age(raw["population_age"]), region))
     prices = keep(I.prices_by_commune_year(sales, region, limits))
     mart = keep(M.accessibility(prices, income, ages, T.crime_total(raw["crime"]), limits))
     return {

@@ -16,8 +16,8 @@ _AREA_KEYS = {"code": "code_commune", "nom": "nom_commune"}
 
 def tag_points(points: DataFrame, areas: DataFrame) -> DataFrame:
     """Points with the code and name of the commune around them."""
-    tagged = G.points_in_polygons(points, areas, "lon", "lat", list(_AREA_KEYS))
-    return tagged.withColumnsRenamed(_AREA_KEYS)
+    named = areas.withColumnsRenamed(_AREA_KEYS)
+    return G.points_in_polygons(points, named, "lon", "lat", list(_AREA_KEYS.values()))
 
 
 def commune_areas(areas: DataFrame) -> DataFrame:

@@ -11,9 +11,18 @@ from territory import settings as S
 from territory.functions import clean as C
 
 
-def replace_table(df: DataFrame, name: str) -> DataFrame:
-    """Full replacement of a catalogue table; returns the stored table."""
-    df.write.mode("overwrite").saveAsTable(name)
+def replace_table(
+    df: DataFrame, name: str, bucket_by: str | None = None, buckets: int = 0
+) -> DataFrame:
+    """Full replacement of a catalogue table; returns the stored table.
+
+    Bucketing by a key (the sale id, say) stores rows of a key together, so
+    that later per-key windows and joins on it need no shuffle.
+    """
+    writer = df.write.mode("overwrite")
+    if bucket_by:
+        writer = writer.bucketBy(buckets, bucket_by)
+    writer.saveAsTable(name)
     return df.sparkSession.table(name)
 
 

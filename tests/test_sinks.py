@@ -69,4 +69,16 @@ def test_materialise_uses_the_session_folder(spark):
         checkpoint_folder(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
     kept = materialise(spark.range(10).withColumn("x", F.col("id") * 2))
     assert kept.agg(F.sum("x")).first()[0] == 90
-    assert "RDD" in kept._jdf.queryExecution().executedPlan().toString()
+    assert checkpoint_folder(spark).removeprefix("file:") in kept.inputFiles()[0]
+
+
+def test_bucketed_table_needs_no_shuffle_per_key(spark):
+    from conftest import plan_of
+    from territory.operators.dedup import keep_largest
+
+    df = spark.range(200).select((F.col("id") % 20).alias("key"), F.col("id").cast("double").alias("area"))
+    stored = sinks.replace_table(df, "bucketed_test", "key", 4)
+    kept = keep_largest(stored, "key", "area")
+    assert "Exchange" not in plan_of(kept)
+    assert kept.agg(F.sum("area")).first()[0] == sum(range(180, 200))
+    spark.sql("drop table bucketed_test")
