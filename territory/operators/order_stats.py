@@ -125,21 +125,19 @@ def exact_medians(
     picked = _running(chunked, positions.drop("chunk_n")).filter(
         f"below < {high} and below + n >= {low}"
     )
-    stats = picked.groupBy("key", "measure").agg(
-        F.expr("struct(max(total) as count, cast(max(total_sum) as double) as sum,"
-               " (min(value) + max(value)) / 2 as median) as s")
-    )
-    wide = stats.groupBy("key").agg(
-        *[F.expr(f"max(if(measure = '{name}', s, null)) as {name}") for name in measures]
-    )
-    columns = [
-        column
-        for m in measures
-        for column in (
-            f"{m}.count as {m}_count", f"{m}.sum as {m}_sum",
-            f"{m}.sum / {m}.count as {m}_mean", f"{m}.median as {m}_median",
-        )
-    ]
+    aggregates, columns = [], []
+    for m in measures:
+        this = f"if(measure = '{m}', {{}}, null)"
+        total, total_sum, value = (this.format(c) for c in ("total", "total_sum", "value"))
+        aggregates += [
+            f"max({total}) as {m}_count",
+            f"cast(max({total_sum}) as double) as {m}_sum",
+            f"(min({value}) + max({value})) / 2 as {m}_median",
+        ]
+        columns += [
+            f"{m}_count", f"{m}_sum", f"{m}_sum / {m}_count as {m}_mean", f"{m}_median",
+        ]
+    wide = picked.groupBy("key").agg(*[F.expr(a) for a in aggregates])
     return wide.selectExpr("key.*", *columns)
 
 
