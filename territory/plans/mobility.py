@@ -72,6 +72,15 @@ def cycle_density(paths: DataFrame, areas: DataFrame) -> DataFrame:
     ).orderBy("arrondissement")
 
 
+def place_counters(traffic: DataFrame, positions: DataFrame, order: Column) -> DataFrame:
+    """Counters with the position of their last record, busiest first;
+    counters without a position are dropped."""
+    placed = lookup_last(traffic, positions, "id_compteur", order, "lat")
+    return placed.select(
+        F.col("nom_compteur").alias("nom"), "lat", "lon", "total_passages"
+    ).orderBy(F.desc("total_passages"), "nom")
+
+
 def located_counters(
     counts: DataFrame, positions: DataFrame, order: Column, start: str, end: str, k: int = 30
 ) -> DataFrame:
@@ -81,7 +90,4 @@ def located_counters(
         counts, ["id_compteur", "nom_compteur"], "day", start, end, "passages", "total_passages"
     ).withColumn("total_passages", F.col("total_passages").cast("bigint"))
     busiest = top_k(traffic, "total_passages", k, ["id_compteur", "nom_compteur"])
-    placed = lookup_last(busiest, positions, "id_compteur", order, "lat")
-    return placed.select(
-        F.col("nom_compteur").alias("nom"), "lat", "lon", "total_passages"
-    ).orderBy(F.desc("total_passages"), "nom")
+    return place_counters(busiest, positions, order)

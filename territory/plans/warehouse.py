@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from territory import schemas, sinks
 from territory import settings as S
+from territory.functions import clean as C
 from territory.operators import geo, quality
+from territory.operators.storage import materialise
 from territory.plans import mobility, staging
 from territory.plans.build import build_models
 from territory.sources import records, text
 
-# File names as published; plain text is preferred to its gzip copy.
+# File names as published. Plain text is preferred to its gzip copy.
 FILES = {
     "sale_stats": "stats_dvf.csv",
     "communes": "cog_communes_2024.csv",
@@ -58,16 +60,29 @@ def raw_tables(spark: SparkSession, folder: str, **scope) -> dict[str, DataFrame
     return tables | {"sales": raw_sales(spark, folder, **scope)}
 
 
-def mobility_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """Mobility tables for which both boundaries and records are present."""
+def boundaries(spark: SparkSession, folder: str) -> DataFrame | None:
+    """Commune boundaries with the city's districts in place of the city, from
+    one merged file or from the two it is made of."""
+    merged = f"{folder}/idf_communes.geojson"
+    parts = f"{folder}/communes.geojson", f"{folder}/arrondissements.geojson"
+    if text.path_exists(spark, merged):
+        return records.read_geojson(spark, merged)
+    if all(text.path_exists(spark, part) for part in parts):
+        return geo.merge_features(*[records.read_geojson(spark, part) for part in parts])
+    print("boundaries: no file, skipped")
+    return None
+
+
+def outlines(areas: DataFrame) -> DataFrame:
+    """Boundary segments of each department."""
+    return geo.dissolve_boundary(areas.withColumn("code_dep", C.department_of("code")), "code_dep")
+
+
+def mobility_tables(spark: SparkSession, folder: str, areas: DataFrame) -> dict[str, DataFrame]:
+    """Mobility tables for the record files present."""
     def path(name: str) -> str | None:
         return text.first_existing(spark, f"{folder}/{name}")
 
-    boundaries = path("idf_communes.geojson")
-    if boundaries is None:
-        print("mobility: no boundaries, skipped")
-        return {}
-    areas = records.read_geojson(spark, boundaries)
     tables = {}
     if stations := path("velib_stations.json"):
         rows = records.read_stations(spark, stations)
@@ -78,18 +93,16 @@ def mobility_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         tables["metro_stations"] = mobility.transit_density(records.read_stops(spark, stops), areas)
     if paths := path("cycle_paths.json"):
         rows = records.read_records(spark, paths, schemas.CYCLE_PATH_SCHEMA)
-        city = areas.filter(F.col("code").startswith(S.CITY_PREFIX))
-        tables["cyclable_paris"] = mobility.cycle_density(rows, city)
+        tables["cyclable_paris"] = mobility.cycle_density(rows, areas.filter(C.in_city("code")))
+    traffic, positions = path("counter_traffic.json"), path("counter_positions.json")
+    if traffic and positions:
+        tables["comptage_velo_paris"] = mobility.place_counters(
+            records.read_records(spark, traffic, schemas.TRAFFIC_SCHEMA),
+            records.read_counters(spark, positions), F.col("seq"),
+        )
     return tables
 
 
-def boundaries(spark: SparkSession, communes: str, districts: str) -> DataFrame:
-    """Commune boundaries with the city's districts in place of the city."""
-    return geo.merge_features(
-        records.read_geojson(spark, communes), records.read_geojson(spark, districts)
-    )
-
-
 def refresh(
     spark: SparkSession,
     folder: str,
@@ -120,7 +133,12 @@ def refresh(
         )
     }
     results["sale_stats"] = staging.clean_sale_stats(raw["sale_stats"])
-    results |= mobility_tables(spark, folder)
+    areas = boundaries(spark, folder)
+    if areas is not None:
+        areas = materialise(areas)
+        results |= mobility_tables(spark, folder, areas)
+        results["department_outlines"] = outlines(areas)
+        sinks.write_geojson_by_zone(areas, f"{root}/geojson")
     sinks.publish(results, f"{root}/tables")
     stored_tables = {name: spark.read.parquet(f"{root}/tables/{name}") for name in results}
     for name in ("accessibility", "zones", "evolution", "tension"):

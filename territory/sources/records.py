@@ -11,14 +11,21 @@ from territory.operators.geo import GEOMETRY_TYPE
 
 
 def read_records(
-    spark: SparkSession, path: str, schema: T.StructType, root: str = "results"
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    root: str = "results",
+    position: str | None = None,
 ) -> DataFrame:
-    """Rows of the array found at the dotted ``root`` of each document."""
+    """Rows of the array found at the dotted ``root`` of each document, with
+    their place in it as ``position`` if asked for."""
     nested: T.DataType = T.ArrayType(schema)
     for name in reversed(root.split(".")):
         nested = T.StructType([T.StructField(name, nested)])
     documents = spark.read.schema(nested).json(path, multiLine=True)
-    return documents.select(F.inline(root))
+    if position is None:
+        return documents.select(F.inline(root))
+    return documents.select(F.posexplode(root).alias(position, "record")).select(position, "record.*")
 
 
 def read_stations(spark: SparkSession, path: str) -> DataFrame:
@@ -33,15 +40,13 @@ def read_stops(spark: SparkSession, paths_in_order: list[str]) -> DataFrame:
     records in file order."""
     frames = []
     for i, path in enumerate(paths_in_order):
-        nested = T.StructType([T.StructField("results", T.ArrayType(schemas.STOP_SCHEMA))])
-        documents = spark.read.schema(nested).json(path, multiLine=True)
-        rows = documents.select(F.posexplode("results").alias("pos", "r"))
+        rows = read_records(spark, path, schemas.STOP_SCHEMA, position="pos")
         frames.append(
             rows.select(
                 F.struct(F.lit(i).alias("source"), "pos").alias("seq"),
-                "r.stop_name", F.col("r.stop_lat").cast("double").alias("lat"),
-                F.col("r.stop_lon").cast("double").alias("lon"),
-                F.col("r.mode").alias("mode"), F.col("r.shortname").alias("line"),
+                "stop_name", F.col("stop_lat").cast("double").alias("lat"),
+                F.col("stop_lon").cast("double").alias("lon"),
+                "mode", F.col("shortname").alias("line"),
             )
         )
     stops = frames[0]
@@ -50,6 +55,12 @@ def read_stops(spark: SparkSession, paths_in_order: list[str]) -> DataFrame:
     return stops
 
 
+def read_counters(spark: SparkSession, path: str) -> DataFrame:
+    """Counter positions in file order."""
+    rows = read_records(spark, path, schemas.COUNTER_SCHEMA, position="seq")
+    return rows.select("seq", "id_compteur", "coordinates.lat", "coordinates.lon")
+
+
 def geometry(kind: Column, coordinates: Column) -> Column:
     """Geometry from its GeoJSON type and coordinate text; a polygon becomes a
     multipolygon of one, other kinds become null."""

@@ -7,6 +7,7 @@ import pytest
 
 from territory import schemas
 from territory.plans import serving, warehouse
+from territory.sources import records
 from territory.session import folder_bytes, scale_conf
 
 HEADER = ",".join(schemas.RAW_COLUMNS["sales"])
@@ -47,9 +48,17 @@ def folder(tmp_path_factory):
     (folder / "delinquance_communes.csv.gz").write_bytes(gzip.compress(
         "CODGEO_2025;annee;indicateur;est_diffuse;nombre;taux_pour_mille;insee_pop\n75101;2024;Vols avec armes;diff;5;5,0;1000\n92001;2024;Vols\n".encode()
     ))
-    square = [[[2.0, 48.0], [3.0, 48.0], [3.0, 49.0], [2.0, 49.0], [2.0, 48.0]]]
-    (folder / "idf_communes.geojson").write_text(json.dumps({"type": "FeatureCollection", "features": [
-        {"type": "Feature", "properties": {"code": "75101", "nom": "Paris 1er"}, "geometry": {"type": "Polygon", "coordinates": square}}]}))
+    square = [[[2.00001, 48.0], [3.0, 48.0], [3.0, 49.0], [2.0, 49.0], [2.00001, 48.0]]]
+    for name, codes in (("communes", ["75056"]), ("arrondissements", ["75101"])):
+        (folder / f"{name}.geojson").write_text(json.dumps({"type": "FeatureCollection", "features": [
+            {"type": "Feature", "properties": {"code": c, "nom": "Paris", "x": 1}, "geometry": {"type": "Polygon", "coordinates": square}}
+            for c in codes]}))
+    (folder / "counter_traffic.json").write_text(json.dumps({"results": [
+        {"id_compteur": "1", "nom_compteur": "A", "total_passages": 5}, {"id_compteur": "2", "nom_compteur": "B", "total_passages": 9},
+        {"id_compteur": "3", "nom_compteur": "C", "total_passages": 7}]}))
+    (folder / "counter_positions.json").write_text(json.dumps({"results": [
+        {"id_compteur": "1", "coordinates": {"lat": 1.0, "lon": 2.0}}, {"id_compteur": "1", "coordinates": {"lat": 3.0, "lon": 4.0}},
+        {"id_compteur": "2"}, {"id_compteur": "3", "coordinates": {"lat": 5.0, "lon": 6.0}}]}))
     (folder / "velib_stations.json").write_text(json.dumps({"data": {"stations": [
         {"station_id": 7, "name": "A", "lat": 48.5, "lon": 2.5, "capacity": 30},
         {"station_id": 8, "name": "B", "lat": 50.5, "lon": 2.5, "capacity": 30}]}}))
@@ -71,6 +80,11 @@ def test_two_refreshes(spark, folder, tmp_path):
     assert tables["metro_stations"].first()["nb_lignes_uniques"] == 2
     assert tables["cyclable_paris"].first()["longueur_km"] == 12.3
     assert spark.read.csv(f"{target}/v1/csv/tension", header=True).count() == 2
+    counters = spark.read.parquet(f"{target}/v1/tables/comptage_velo_paris")
+    assert sorted(tuple(r) for r in counters.collect()) == [("A", 3.0, 4.0, 5), ("C", 5.0, 6.0, 7)]
+    assert spark.read.parquet(f"{target}/v1/tables/department_outlines").count() == 4
+    city = records.read_geojson(spark, f"{target}/v1/geojson/zone=paris_arrondissements")
+    assert [(r["code"], r["geom"][0][0][0]) for r in city.collect()] == [("75101", [2.0, 48.0])]
     write_raw(folder, ["2025"])
     warehouse.refresh(spark, str(folder), target, version=2)
     evolution = spark.read.parquet(f"{target}/v2/tables/evolution")
