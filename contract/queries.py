@@ -269,7 +269,7 @@ def having_small_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = load(spark, sf_dir, "orders").filter("o_totalprice > 10000")
     keys = {"o_custkey": F.col("o_custkey"), "annee": C.year_of("o_orderdate")}
     rows = orders.select(*[c.alias(k) for k, c in keys.items()], "o_totalprice")
-    stats = exact_medians(rows, list(keys), {"price": F.col("o_totalprice")})
+    stats = exact_medians(rows, list(keys), {"price": F.col("o_totalprice")}, sums=False)
     return stats.filter("price_count >= 5").select(
         *keys, F.col("price_count").alias("nb"), F.round("price_median").alias("prix_median")
     )

@@ -29,9 +29,9 @@ from territory.functions.clean import safe_divide
 
 
 def chunk_count(spark: SparkSession) -> int:
-    """Chunks per measure: a few per shuffle task, within 16 and 4096."""
-    parallel = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(16, min(4096, 4 * parallel))
+    """Chunks per measure: a power of two, a few per shuffle task, at most 4096."""
+    wanted = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(16, min(4096, 1 << (wanted - 1).bit_length()))
 
 
 def long_form(df: DataFrame, keys: Sequence[str], measures: Mapping[str, Column]) -> DataFrame:
@@ -68,24 +68,28 @@ def _add_chunk(counts: DataFrame, chunks: int) -> DataFrame:
     splits = counts.filter("n > 0").groupBy("measure").agg(
         F.expr(f"percentile_approx(value, array({cuts}), {10 * chunks})").alias("splits")
     )
-    # Two-level search: whole blocks below the value, then inside one block.
-    block = max(1, int(chunks**0.5))
-    ends = f"transform(sequence(0, size(splits) div {block} - 1), i -> splits[i * {block} + {block - 1}])"
-    inside = f"size(filter(slice(splits, blocks * {block} + 1, {block}), s -> s < value))"
+    # Binary search: the number of splits below the value, one halving per step.
+    step = chunks // 2
+    search, found = [f"if(splits[{step - 1}] < value, {step}, 0) as p{step}"], f"p{step}"
+    while step > 1:
+        step //= 2
+        search.append(f"{found} + if(splits[{found} + {step - 1}] < value, {step}, 0) as p{step}")
+        found = f"p{step}"
     # One row per measure, a number fixed by the caller.
     return (
-        counts.join(F.broadcast(splits.selectExpr("measure", "splits", f"{ends} as ends")), "measure")
-        .selectExpr(*counts.columns, "splits", "size(filter(ends, s -> s < value)) as blocks")
-        .selectExpr(*counts.columns, f"blocks * {block} + {inside} as chunk")
+        counts.join(F.broadcast(splits), "measure")
+        .selectExpr(*counts.columns, *search)
+        .selectExpr(*counts.columns, f"{found} as chunk")
     )
 
 
-def _chunk_positions(chunked: DataFrame) -> DataFrame:
+def _chunk_positions(chunked: DataFrame, sums: bool = False) -> DataFrame:
     """Per (group, chunk): rows in front of it, its rows, and group totals."""
     # Exact product: 24 + 13 + 1 digits fit DECIMAL(38,10).
     weighted = "cast(value as decimal(24,10)) * cast(n as decimal(13,0))"
     sizes = chunked.groupBy(*_GROUP, "chunk").agg(
-        F.expr("sum(n) as chunk_n"), F.expr(f"sum({weighted}) as chunk_sum")
+        F.expr("sum(n) as chunk_n"),
+        F.expr(f"sum({weighted}) as chunk_sum" if sums else "null as chunk_sum"),
     )
     return sizes.selectExpr(
         *_GROUP,
@@ -108,18 +112,19 @@ def _running(chunked: DataFrame, positions: DataFrame) -> DataFrame:
 
 
 def exact_medians(
-    df: DataFrame, keys: Sequence[str], measures: Mapping[str, Column]
+    df: DataFrame, keys: Sequence[str], measures: Mapping[str, Column], sums: bool = True
 ) -> DataFrame:
-    """Per key and measure ``m``: ``m_count``, ``m_sum``, ``m_mean``, ``m_median``.
+    """Per key and measure ``m``: ``m_count``, ``m_median``, ``m_sum``, ``m_mean``.
 
     The median of an even number of rows is the mean of the middle two. Sums
-    are exact decimal sums, so they do not depend on row order.
+    are exact decimal sums, so they do not depend on row order; without
+    ``sums`` the last two columns are left out.
     """
     chunked = _add_chunk(value_counts(df, keys, measures), chunk_count(df.sparkSession))
 
     # Ranks (from 1) of the middle rows; the chunks holding them are at most two.
     low, high = "(total + 1) div 2", "total div 2 + 1"
-    positions = _chunk_positions(chunked).filter(
+    positions = _chunk_positions(chunked, sums).filter(
         f"before < {high} and before + chunk_n >= {low}"
     )
     picked = _running(chunked, positions.drop("chunk_n")).filter(
@@ -130,13 +135,12 @@ def exact_medians(
         this = f"if(measure = '{m}', {{}}, null)"
         total, total_sum, value = (this.format(c) for c in ("total", "total_sum", "value"))
         aggregates += [
-            f"max({total}) as {m}_count",
-            f"cast(max({total_sum}) as double) as {m}_sum",
-            f"(min({value}) + max({value})) / 2 as {m}_median",
-        ]
-        columns += [
-            f"{m}_count", f"{m}_sum", f"{m}_sum / {m}_count as {m}_mean", f"{m}_median",
+            f"max({total}) as {m}_count", f"(min({value}) + max({value})) / 2 as {m}_median"
         ]
+        columns += [f"{m}_count", f"{m}_median"]
+        if sums:
+            aggregates.append(f"cast(max({total_sum}) as double) as {m}_sum")
+            columns += [f"{m}_sum", f"{m}_sum / {m}_count as {m}_mean"]
     wide = picked.groupBy("key").agg(*[F.expr(a) for a in aggregates])
     return wide.selectExpr("key.*", *columns)
 

@@ -121,7 +121,7 @@ def city_prices_by_rooms(
     keys = ["code_commune", "nom_commune", "nb_pieces", "annee"]
     price, area = F.col("valeur_fonciere"), F.col("surface_bati")
     measures = {"rows": F.lit(1.0), "price": price, "m2": C.safe_divide(price, area), "area": area}
-    stats = exact_medians(lots, keys, measures).filter(F.col("rows_count") >= limits.sales_min)
+    stats = exact_medians(lots, keys, measures, sums=False).filter(F.col("rows_count") >= limits.sales_min)
     return stats.select(
         *keys,
         F.col("rows_count").alias("nb_ventes"),
