@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from territory.llm import decontaminate, exact_dedup, language, packing, quality
+from territory.llm import decontaminate, exact_dedup, language, line_dedup, packing, quality, repeats
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,13 @@ def items_digest(items: str) -> Column:
     return F.sha2(F.concat_ws(",", F.col(items)).cast("binary"), 256)
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = line_dedup.mark_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return marked.select(
+        "doc_id", "n_lines", "n_removed", "n_runs", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = language.fit(docs, fold("doc_id", 4) != 2)
@@ -59,6 +66,17 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = repeats.mark_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return marked.select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.fit(docs, table(spark, sf_dir, "labels"), fold("doc_id", 5) != 0)
@@ -69,10 +87,12 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_line_dedup": op2_line_dedup,
     "op4_language_id": op4_language_id,
     "op5_decontamination": op5_decontamination,
     "op6_packing": op6_packing,
     "op7_exact_dedup": op7_exact_dedup,
+    "op9_repeats": op9_repeats,
     "op10_quality": op10_quality,
 }
 
