@@ -19,7 +19,7 @@ SAMPLE_ROWS = 6000
 PRECISION = 0.995
 UNKNOWN = "und"
 
-NEW = StructType.fromDDL("lang_pred string, score double, rejected boolean")
+NEW = StructType().add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
 
 
 def fit(

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from territory.llm import decontaminate, exact_dedup, language, line_dedup, packing, quality, repeats
+from territory.llm import decontaminate, exact_dedup, language, line_dedup, lm_score, packing, quality, repeats
+from territory.llm.oracles import ORACLE_SQL
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +31,12 @@ def items_digest(items: str) -> Column:
     return F.sha2(F.concat_ws(",", F.col(items)).cast("binary"), 256)
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = lm_score.lm_scores(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    mean = F.when(F.col("n_words") > 0, F.round(F.col("log_score") / F.col("n_words"), 4))
+    return scores.withColumn("mean_log_score", mean).drop("log_score")
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = line_dedup.mark_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return marked.select(
@@ -87,6 +94,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_line_dedup": op2_line_dedup,
     "op4_language_id": op4_language_id,
     "op5_decontamination": op5_decontamination,
@@ -96,4 +104,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality": op10_quality,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = ORACLE_SQL
