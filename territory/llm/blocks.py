@@ -18,6 +18,7 @@ import numpy as np
 import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from territory.operators.storage import checkpoint_folder
 
@@ -82,6 +83,47 @@ def buckets_of(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+ASKED = "chunk long, bucket int, grams binary, counts binary"
+TOLD = "chunk long, bucket int, totals binary"
+
+
+def ask_rows(chunk: int, grams: np.ndarray, counts: np.ndarray, buckets: int) -> pd.DataFrame:
+    """A chunk's distinct hashes (ascending) and their counts, an ``ASKED`` row per bucket."""
+    bounds = bucket_bounds(grams, buckets)
+    rows = [
+        (chunk, b, pack_sorted(grams[lo:hi]), pack(counts[lo:hi].astype(np.int32)))
+        for b, (lo, hi) in enumerate(zip(bounds[:-1], bounds[1:], strict=True))
+        if hi > lo
+    ]
+    return pd.DataFrame(rows, columns=["chunk", "bucket", "grams", "counts"])
+
+
+def tell_rows(frame: pd.DataFrame) -> pd.DataFrame:
+    """The count table of a bucket, joined back to every chunk that asked: ``TOLD`` rows."""
+    asked = [unpack_sorted(g) for g in frame["grams"]]
+    edges = np.cumsum([0, *(len(a) for a in asked)])
+    _, inverse = np.unique(np.concatenate(asked), return_inverse=True)
+    totals = np.bincount(inverse, np.concatenate([unpack(c, np.int32) for c in frame["counts"]])).astype(np.int64)
+    parts = [pack(totals[inverse[lo:hi]]) for lo, hi in zip(edges[:-1], edges[1:], strict=True)]
+    return pd.DataFrame({"chunk": frame["chunk"], "bucket": frame["bucket"], "totals": parts})
+
+
+def totals_of(told) -> np.ndarray:
+    """A chunk's totals in the order of its hashes, from the answers of all buckets."""
+    ordered = sorted(told if told is not None else (), key=lambda t: t["bucket"])
+    return np.concatenate([unpack(t["totals"], np.int64) for t in ordered]) if ordered else np.empty(0, np.int64)
+
+
+def count_tables(asked: DataFrame, name: str) -> DataFrame:
+    """Collection-wide totals for each chunk: ``chunk`` and the answers in column ``name``.
+
+    Count tables are partitioned by hash; each is summed up in one task and
+    holds an entry per chunk and hash at most, however frequent the hash is.
+    """
+    told = store(asked.groupBy("bucket").applyInPandas(tell_rows, TOLD), name)
+    return told.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "totals")).alias(name))
+
+
 def chunks(frames: Iterable[pd.DataFrame], sizes, most: int) -> Iterator[pd.DataFrame]:
     """Frames of consecutive rows of about ``most`` bytes (a longer row stands alone).
 

@@ -21,15 +21,28 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from territory.llm.blocks import U64, bucket_bounds, buckets_of, byte_sizes, chunks, join_hashes, pack, pack_sorted, store, unpack, unpack_sorted
+from territory.llm.blocks import (
+    ASKED,
+    U64,
+    ask_rows,
+    buckets_of,
+    byte_sizes,
+    chunks,
+    count_tables,
+    join_hashes,
+    pack,
+    pack_sorted,
+    store,
+    totals_of,
+    unpack,
+    unpack_sorted,
+)
 from territory.llm.subword import LOWER, stretches, word_hashes
 
 BACKOFF = 0.4
 CHUNK_BYTES = 16 << 20
 
 STATE = "chunk long, ids array<string>, sizes binary, vocabulary binary, words binary, n long"
-ASKED = "chunk long, bucket int, grams binary, counts binary"
-TOLD = "chunk long, bucket int, totals binary"
 SCORES = "id string, n_words long, n_trigrams long, n_bigrams long, n_unigrams long, n_unseen long, log_score double"
 
 #: Fixed value: bytes between words.
@@ -97,41 +110,6 @@ class Chunk:
         return distinct, counts, ends[asked], inverse
 
 
-def _ask(chunk: int, grams: np.ndarray, counts: np.ndarray, buckets: int) -> list[tuple]:
-    bounds = bucket_bounds(grams, buckets)
-    return [
-        (chunk, b, pack_sorted(grams[lo:hi]), pack(counts[lo:hi].astype(np.int32)))
-        for b, (lo, hi) in enumerate(zip(bounds[:-1], bounds[1:], strict=True))
-        if hi > lo
-    ]
-
-
-def _tell(frame: pd.DataFrame) -> pd.DataFrame:
-    """A bucket's count table, joined back to every chunk that asked."""
-    asked = [unpack_sorted(g) for g in frame["grams"]]
-    edges = np.cumsum([0, *(len(a) for a in asked)])
-    _, inverse = np.unique(np.concatenate(asked), return_inverse=True)
-    totals = np.bincount(inverse, np.concatenate([unpack(c, np.int32) for c in frame["counts"]])).astype(np.int64)
-    return pd.DataFrame(
-        {
-            "chunk": frame["chunk"],
-            "bucket": frame["bucket"],
-            "totals": [pack(totals[inverse[lo:hi]]) for lo, hi in zip(edges[:-1], edges[1:], strict=True)],
-        }
-    )
-
-
-def _totals(told) -> np.ndarray:
-    ordered = sorted(told, key=lambda t: t["bucket"])
-    return np.concatenate([unpack(t["totals"], np.int64) for t in ordered]) if ordered else np.empty(0, np.int64)
-
-
-def _count(asked: DataFrame, name: str) -> DataFrame:
-    """Answers for each chunk: told, the totals in the order of its n-grams."""
-    told = store(asked.groupBy("bucket").applyInPandas(_tell, TOLD), name)
-    return told.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "totals")).alias(name.replace("-", "_")))
-
-
 def _own(document: np.ndarray, gram: np.ndarray) -> np.ndarray:
     """How often the document of each place holds the n-gram of that place."""
     _, inverse, counts = np.unique((document.astype(np.int64) << 32) | gram, return_inverse=True, return_counts=True)
@@ -141,12 +119,12 @@ def _own(document: np.ndarray, gram: np.ndarray) -> np.ndarray:
 def _score(row, total_words: int, backoff: float, leave_out: bool) -> pd.DataFrame:
     chunk = Chunk(row)
     _, _, uni_at, bi_ends, bi_at = chunk.short()
-    short = _totals(row.lm_short)
+    short = totals_of(row.lm_short)
     n = len(chunk.words)
     uni, bi, tri = short[uni_at][chunk.words], np.zeros(n, np.int64), np.zeros(n, np.int64)
     bi[bi_ends] = short[bi_at]
     _, _, tri_ends, tri_at = chunk.long(bi)
-    tri[tri_ends] = _totals(row.lm_long if row.lm_long is not None else [])[tri_at]
+    tri[tri_ends] = totals_of(row.lm_long)[tri_at]
     words_elsewhere = np.full(len(chunk.sizes), total_words, np.int64)
     if leave_out:
         uni = uni - _own(chunk.document, chunk.words)
@@ -214,7 +192,7 @@ def lm_scores(
         for frame in frames:
             for row in frame.itertuples(index=False):
                 grams, counts, *_ = Chunk(row).short()
-                yield pd.DataFrame(_ask(row.chunk, grams, counts, buckets), columns=["chunk", "bucket", "grams", "counts"])
+                yield ask_rows(row.chunk, grams, counts, buckets)
 
     def ask_long(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -222,17 +200,17 @@ def lm_scores(
                 chunk = Chunk(row)
                 _, _, _, ends, at = chunk.short()
                 bigrams = np.zeros(len(chunk.words), np.int64)
-                bigrams[ends] = _totals(row.lm_short)[at]
+                bigrams[ends] = totals_of(row.lm_short)[at]
                 grams, counts, *_ = chunk.long(bigrams)
-                yield pd.DataFrame(_ask(row.chunk, grams, counts, buckets), columns=["chunk", "bucket", "grams", "counts"])
+                yield ask_rows(row.chunk, grams, counts, buckets)
 
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for row in frame.itertuples(index=False):
                 yield _score(row, total, backoff, leave_out)
 
-    short = _count(state.mapInPandas(ask_short, ASKED), "lm-short")
+    short = count_tables(state.mapInPandas(ask_short, ASKED), "lm_short")
     known = state.join(short, "chunk", "left")
-    long = _count(known.mapInPandas(ask_long, ASKED), "lm-long")
+    long = count_tables(known.mapInPandas(ask_long, ASKED), "lm_long")
     scores = known.join(long, "chunk", "left").mapInPandas(score, SCORES)
     return scores.withColumn("id", F.col("id").cast(docs.schema[id_col].dataType)).withColumnRenamed("id", id_col)

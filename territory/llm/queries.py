@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from territory.llm import decontaminate, exact_dedup, language, line_dedup, lm_score, packing, quality, repeats
+from territory.llm import decontaminate, exact_dedup, language, line_dedup, lm_score, packing, pii, quality, repeats
 from territory.llm.oracles import ORACLE_SQL
 
 
@@ -73,6 +73,20 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def _joined(spans: str) -> Column:
+    return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [
+        (F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{kind}") for kind in pii.KINDS
+    ]
+    base = F.sha2(_joined("base").cast("binary"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, base, _joined("spans").alias("spans"))
+
+
 def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = repeats.mark_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return marked.select(
@@ -100,6 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontamination": op5_decontamination,
     "op6_packing": op6_packing,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_pii": op8_pii,
     "op9_repeats": op9_repeats,
     "op10_quality": op10_quality,
 }
