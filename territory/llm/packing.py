@@ -27,7 +27,7 @@ SEQUENCE_TOKENS = 1024
 #: Id that ends every document.
 END_ID = 0
 #: Words whose ids a worker remembers before it starts anew.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 800_000
 CHUNK_BYTES = 4 << 20
 
 PIECES = "_id string, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -39,12 +39,12 @@ class WordIds(dict):
     Byte-level BPE never merges across its pre-tokens, and a single space
     between two characters that are not white space always begins one. So a
     text may be cut before such spaces and the parts encoded on their own.
-    ``batch`` encodes the distinct parts that are still unknown in one call.
     """
 
     def __init__(self, tokenizer):
         super().__init__()
         self.tokenizer = tokenizer
+        (self.line_end,) = tokenizer.encode("\n", add_special_tokens=False).ids
 
     @staticmethod
     def parts(text: str) -> list[str]:
@@ -62,23 +62,58 @@ class WordIds(dict):
         """As ``parts``, for a text whose white space runs are single characters."""
         return text.replace(" ", "\x00 ").split("\x00")
 
+    def learn(self, parts: list[str]) -> None:
+        """Ids of distinct parts.
+
+        Signs that end a part after a letter or digit are a pre-token of their
+        own, so what stands before them is encoded once for all such parts.
+        Bare parts without inner white space are encoded as the lines of one
+        text: a line end is a pre-token there, so its id marks where each
+        part's ids end. The other parts are encoded one by one.
+        """
+        ended = {part: found.groups() for part in parts if (found := ENDED.fullmatch(part))}
+        bare = {piece for pieces in ended.values() for piece in pieces}
+        bare.update(part for part in parts if part not in ended)
+        todo = [part for part in bare if part not in self]
+        plain = [part for part in todo if SOLID.fullmatch(part)]
+        for start in range(0, len(plain), LINES):
+            block = plain[start : start + LINES]
+            text = "\n".join(block) + "\n"
+            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+            ends = np.flatnonzero(ids == self.line_end)
+            if len(ends) != len(block):
+                continue  # left to the others below
+            raw, begin = ids.tobytes(), 0
+            for part, end in zip(block, (ends * 4).tolist(), strict=True):
+                self[part] = raw[begin:end]
+                begin = end + 4
+        rest = [part for part in todo if part not in self]
+        for part, code in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False), strict=True):
+            self[part] = np.array(code.ids, np.uint32).tobytes()
+        for part, (head, tail) in ended.items():
+            self[part] = self[head] + self[tail]
+
     def batch(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The ids of every text; the distinct parts that are still unknown are encoded first."""
         if len(self) > REMEMBERED_WORDS:
             self.clear()
         split = []
         for text in texts:
             simple = "\x00" not in text and _single_spaces(text)
             split.append(self.plain_parts(text) if simple else self.parts(text))
-        new = list({part for parts in split for part in parts if part not in self})
-        for start in range(0, len(new), 20_000):
-            block = new[start : start + 20_000]
-            for part, code in zip(block, self.tokenizer.encode_batch(block, add_special_tokens=False), strict=True):
-                self[part] = np.array(code.ids, np.uint32).tobytes()
+        self.learn(list({part for parts in split for part in parts if part not in self}))
         look = self.__getitem__
         for parts in split:
             yield np.frombuffer(b"".join(map(look, parts)), np.uint32)
 
 
+#: A part without white space but for one blank before it.
+SOLID = re.compile(r" ?\S+")
+#: A part that ends with signs after a letter or digit; no apostrophe, as it may begin a pre-token with letters.
+ENDED = re.compile(r"(.*[^\W_])([.,;:!?*%$#&|]+)", re.DOTALL)
+#: Parts that are encoded as one text.
+LINES = 64
+
 #: White space other than blank, tab and line ends.
 RARE_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 BESIDE = ("  ", "\n ", " \n", "\t ", " \t", "\r ", " \r")
@@ -91,11 +126,17 @@ def _single_spaces(text: str) -> bool:
     )
 
 
-def load_tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+_WORD_IDS: dict[str, WordIds] = {}
+
+
+def word_ids(path: str) -> WordIds:
+    """The worker's encoder for a tokenizer file; tasks that follow in the same worker find its words."""
+    if path not in _WORD_IDS:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(path)
+        _WORD_IDS[path] = WordIds(Tokenizer.from_file(path))
+    return _WORD_IDS[path]
 
 
 def token_rows(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -107,7 +148,7 @@ def token_rows(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, part, before = WordIds(load_tokenizer(tokenizer_path)), TaskContext.get().partitionId(), 0
+        words, part, before = word_ids(tokenizer_path), TaskContext.get().partitionId(), 0
         for frame in chunks(frames, byte_sizes("text"), CHUNK_BYTES):
             texts = frame["text"].where(frame["text"].notna(), "").tolist()
             counts, blobs = [], []

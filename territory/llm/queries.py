@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from territory.llm import decontaminate, exact_dedup, language, line_dedup, lm_score, packing, pii, quality, repeats
+from territory.llm import decontaminate, exact_dedup, jaccard_join, language, line_dedup, lm_score, packing, pii, quality, repeats
 from territory.llm.oracles import ORACLE_SQL
 
 
@@ -44,6 +44,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similarity_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = language.fit(docs, fold("doc_id", 4) != 2)
@@ -110,6 +114,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_line_dedup": op2_line_dedup,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_language_id": op4_language_id,
     "op5_decontamination": op5_decontamination,
     "op6_packing": op6_packing,
