@@ -53,7 +53,14 @@ def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
-MEANS = ("prix_median", "prix_moyen", "prix_m2_median", "prix_m2_moyen", "surface_mediane", "surface_moyenne")
+def single(df: DataFrame, *columns: str) -> DataFrame:
+    """Means of doubles to single precision: the order of addition shows in the last digits
+    of a double, and decimal rounding has ties where a mean of prices in cents lies."""
+    return df.withColumns({c: F.col(c).cast("float").cast("double") for c in columns})
+
+
+MEDIANS = ("prix_median", "prix_m2_median", "surface_mediane")
+MEANS = ("prix_moyen", "prix_m2_moyen", "surface_moyenne")
 
 
 # --- operators on the driver's tables ----------------------------------------
@@ -86,7 +93,7 @@ def nation_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def price_stats_nation_year(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(nation_prices(spark, sf_dir), 6, *MEANS)
+    return single(rounded(nation_prices(spark, sf_dir), 6, *MEDIANS), *MEANS)
 
 
 def price_evolution_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,7 +132,7 @@ def exact_medians_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
         {"price": F.col("o_totalprice"), "month": F.month("o_orderdate")},
     )
     return stats.select(
-        "o_orderpriority", "price_count", "price_median", F.round("price_mean", 6).alias("price_mean"),
+        "o_orderpriority", "price_count", "price_median", F.col("price_mean").cast("float").cast("double").alias("price_mean"),
         F.round("price_sum", 2).alias("price_sum"), "month_median",
     )
 
@@ -188,13 +195,13 @@ def age_structure_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def age_group_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = load(spark, sf_dir, "part").withColumn("band", C.age_band("p_size")).withColumn(
+    part = load(spark, sf_dir, "part").withColumn("band", C.age_band(F.col("p_size") * 2 - 5)).withColumn(
         "amount", F.col("p_retailprice")
     )
     band = F.col("band")
     groups = {
         "15_24": band.isin("15-19", "20-24"), "25_39": band.isin("25-29", "30-34", "35-39"),
-        "40_59": band.isin("40-44", "45-49", "50-54", "55-59"), "60_plus": band >= "60-64",
+        "40_59": band.isin("40-44", "45-49", "50-54", "55-59"), "60_plus": (band >= "60-64") & (band <= "95+"),
     }
     return rounded(
         A.shares_of_total(part, "p_brand", "amount", groups), 2, "total", *[f"pop_{g}" for g in groups]
@@ -290,7 +297,7 @@ def zone_weighted_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return A.weighted_rollup(
         rows, ["c_nationkey"], {"mean_1": ("v", "w", 1), "mean_4": ("v", "w", 4)},
-        F.count(F.lit(1)).alias("n"), C.stable_sum("w").alias("w"),
+        F.count(F.lit(1)).alias("n"), C.total("w").alias("w"),
     )
 
 
@@ -553,14 +560,14 @@ def stage(table: str, step: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def prices_commune_year(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(models(spark, sf_dir)["prices"], 6, *MEANS)
+    return single(rounded(models(spark, sf_dir)["prices"], 6, *MEDIANS), *MEANS)
 
 
 def tension_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models(spark, sf_dir)["tension"].orderBy("annee", "rang", "code_commune")
 
 
-SIX = dict.fromkeys(("prix_median", "prix_moyen", "prix_m2_median", "prix_m2_moyen"), 6)
+MART = {"prix_median": 6, "prix_m2_median": 6, "nb_faits_delinquance": 2}
 
 
 def card(build: Callable[..., DataFrame], **options) -> Query:
@@ -597,13 +604,13 @@ MODELS: dict[str, Query] = {
     "model_income_stage": stage("income", staging.clean_income),
     "model_population_age": stage("population_age", staging.clean_population_age),
     "model_population": stage("population", staging.clean_population),
-    "model_crime_total": stage("crime", staging.crime_total),
+    "model_crime_total": stage("crime", lambda raw: rounded(staging.crime_total(raw), 2, "nb_faits_total")),
     "model_crime_detail": model("crime_detail"),
     "model_rents": stage("rents", staging.clean_rents),
     "model_communes_region": model("communes_region"),
     "model_income": model("income"),
     "model_age_structure": model("age_structure"),
-    "accessibility_mart": model("accessibility", SIX),
+    "accessibility_mart": lambda spark, sf_dir: single(model("accessibility", MART)(spark, sf_dir), *MEANS[:2]),
     "zone_rollup": model("zones"),
     "price_evolution": model(
         "evolution", {"prix_m2_median": 6, "prix_m2_median_annee_prec": 6}

@@ -41,13 +41,18 @@ def blank_to_null_cast(c: ColumnLike, kind: str, lenient: bool = False) -> Colum
     """Cast text to ``kind``; blanks become null.
 
     A malformed value fails the query, or becomes null when ``lenient``.
-    Whole numbers written with decimals are rounded, not refused.
+    Whole numbers are cast as they are, so all 64 bits count; numbers written
+    with decimals or an exponent are rounded, not refused.
     """
     text = blank_to_null(c)
-    number = text.try_cast if lenient else text.cast
+
+    def to(column: Column, kind: str) -> Column:
+        return column.try_cast(kind) if lenient else column.cast(kind)
+
     if kind in ("int", "integer", "bigint"):
-        return F.round(number("double")).cast(kind)
-    return number(kind)
+        whole = text.rlike("^[+-]?[0-9]+$")
+        return F.when(whole, to(text, kind)).otherwise(to(F.round(to(text, "decimal(38,18)")), kind))
+    return to(text, kind)
 
 
 def clean_numeric(c: ColumnLike) -> Column:
@@ -186,19 +191,14 @@ def round_half_even(c: ColumnLike) -> Column:
     return F.rint(_c(c))
 
 
-def stable_sum(c: ColumnLike, over: WindowSpec | None = None) -> Column:
-    """Sum of doubles that does not depend on the order of the rows.
-
-    Double addition is not associative, so a retried or re-partitioned task
-    can change the last digits, and with them a rounded result. Summing in
-    DECIMAL(38,12) gives the same value on every run.
-    """
-    total = F.sum(_c(c).cast("decimal(38,12)"))
-    return (total if over is None else total.over(over)).cast("double")
+def total(c: ColumnLike, over: WindowSpec | None = None) -> Column:
+    """Sum as a double, over any range of values."""
+    summed = F.sum(_c(c).cast("double"))
+    return summed if over is None else summed.over(over)
 
 
 def weighted_mean(value: ColumnLike, weight: ColumnLike) -> Column:
     """Aggregate ``sum(v*w) / sum(w)``; a null value leaves the numerator
     only, its weight still counts."""
     product = _c(value) * _c(weight)
-    return safe_divide(stable_sum(product), stable_sum(_c(weight).cast("double")))
+    return safe_divide(total(product), total(weight))

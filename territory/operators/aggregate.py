@@ -23,32 +23,28 @@ def price_stats(
     price per square metre and area. ``kinds`` maps an output column to the
     kind counted in it."""
     measures = {
-        "price": F.col(price),
-        "price_m2": C.safe_divide(price, area),
-        "area": F.col(area),
-        "rows": F.lit(1.0),
-        **{
-            column: F.when(F.col(kind) == label, 1.0).otherwise(0.0)
-            for column, label in kinds.items()
-        },
+        "prix": ("prix_median", "prix_moyen", F.col(price)),
+        "m2": ("prix_m2_median", "prix_m2_moyen", C.safe_divide(price, area)),
+        "surface": ("surface_mediane", "surface_moyenne", F.col(area)),
     }
-    stats = exact_medians(df, keys, measures)
-    return stats.select(
-        *keys,
-        F.col("rows_count").alias("nb_ventes"),
-        *[F.col(f"{column}_sum").cast("bigint").alias(column) for column in kinds],
-        F.col("price_median").alias("prix_median"),
-        F.col("price_mean").alias("prix_moyen"),
-        F.col("price_m2_median").alias("prix_m2_median"),
-        F.col("price_m2_mean").alias("prix_m2_moyen"),
-        F.col("area_median").alias("surface_mediane"),
-        F.col("area_mean").alias("surface_moyenne"),
+    medians = exact_medians(df, keys, {m: column for m, (_, _, column) in measures.items()}, sums=False)
+    plain = df.groupBy(F.struct(*keys).alias("key")).agg(
+        F.count(F.lit(1)).alias("nb_ventes"),
+        *[F.count_if(F.col(kind) == label).alias(column) for column, label in kinds.items()],
+        *[F.avg(column.cast("double")).alias(mean) for _, mean, column in measures.values()],
+    )
+    # The struct is never null, so groups whose key columns are null meet.
+    middle = medians.select(
+        F.struct(*keys).alias("key"), *[F.col(f"{m}_median").alias(median) for m, (median, _, _) in measures.items()]
+    )
+    return plain.join(middle, "key", "left").select(
+        "key.*", "nb_ventes", *kinds, *[name for median, mean, _ in measures.values() for name in (median, mean)]
     )
 
 
 def sum_where(amount: str, member: Column) -> Column:
     """Conditional sum; 0 where nothing matches."""
-    return C.stable_sum(F.when(member, F.col(amount)).otherwise(F.lit(0.0)))
+    return C.total(F.when(member, F.col(amount)).otherwise(F.lit(0.0)))
 
 
 def shares_of_total(
@@ -56,7 +52,7 @@ def shares_of_total(
 ) -> DataFrame:
     """Total, group sums (``pop_<g>``) and group shares (``part_<g>``) per key."""
     sums = df.groupBy(key).agg(
-        C.stable_sum(amount).alias("total"),
+        C.total(amount).alias("total"),
         *[sum_where(amount, member).alias(f"pop_{g}") for g, member in groups.items()],
     )
     return sums.select(
@@ -67,8 +63,8 @@ def shares_of_total(
 def detail_with_totals(df: DataFrame, key: str, band: str, amount: str) -> DataFrame:
     """Band sums per key next to the key's total. The window sees one row per
     key and band, whatever the number of input rows."""
-    bands = df.groupBy(key, band).agg(C.stable_sum(amount).alias(amount))
-    return bands.withColumn("total", C.stable_sum(amount, Window.partitionBy(key)))
+    bands = df.groupBy(key, band).agg(C.total(amount).alias(amount))
+    return bands.withColumn("total", C.total(amount, Window.partitionBy(key)))
 
 
 def rate_per_thousand(
@@ -77,14 +73,14 @@ def rate_per_thousand(
     """Facts per thousand inhabitants; the population repeats on each row of
     a key, hence its maximum."""
     sums = df.groupBy(*keys).agg(
-        C.stable_sum(facts).alias("facts"), F.max(population).alias("population")
+        C.total(facts).alias("facts"), F.max(population).alias("population")
     )
     return sums.withColumn("rate", C.share("facts", "population", 1000, 1))
 
 
 def rate_on_sums(facts: str, population: str, digits: int = 1) -> Column:
     """Aggregate ``sum(facts) / sum(population) * 1000``."""
-    ratio = C.safe_divide(C.stable_sum(facts), C.stable_sum(population))
+    ratio = C.safe_divide(C.total(facts), C.total(population))
     return F.round(ratio * 1000, digits)
 
 
@@ -103,7 +99,7 @@ def weighted_rollup(
 
 
 def sum_by(df: DataFrame, keys: Sequence[str], amount: str, name: str) -> DataFrame:
-    return df.groupBy(*keys).agg(C.stable_sum(amount).alias(name))
+    return df.groupBy(*keys).agg(C.total(amount).alias(name))
 
 
 def sum_in_period(

@@ -6,10 +6,11 @@ when one group holds a large part of the data. Here
 
 1. rows collapse to a frequency table (group, measure, value, n), with partial
    counts before the shuffle, spread over tasks by value;
-2. each measure gets split points from a mergeable quantile sketch over that
-   table. The splits only balance the work: a value's chunk is the number of
-   splits below it, so chunks are ordered whatever the sketch returns, and
-   results stay exact;
+2. each measure gets split points: quantile sketches of hash buckets of that
+   table, each in a task of its own, give a few values per bucket, and the
+   splits are picked from these. The splits only balance the work: a value's
+   chunk is the number of splits below it, so chunks are ordered whatever the
+   sketches return, and results stay exact;
 3. chunk totals (at most ``chunks`` rows per group) give the number of rows in
    front of each chunk;
 4. running counts inside a chunk finish the position of each value. A chunk
@@ -28,10 +29,14 @@ from pyspark.sql import functions as F
 from territory.functions.clean import safe_divide
 
 
+#: Chunks whose splits one hash bucket's sketch helps to find.
+BUCKET_CHUNKS = 64
+
+
 def chunk_count(spark: SparkSession) -> int:
-    """Chunks per measure: a power of two, a few per shuffle task, at most 4096."""
+    """Chunks per measure: a power of two, a few per shuffle task."""
     wanted = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(16, min(4096, 1 << (wanted - 1).bit_length()))
+    return max(2, 1 << (wanted - 1).bit_length())
 
 
 def long_form(df: DataFrame, keys: Sequence[str], measures: Mapping[str, Column]) -> DataFrame:
@@ -62,11 +67,18 @@ _GROUP = ("key", "measure")
 
 def _add_chunk(counts: DataFrame, chunks: int) -> DataFrame:
     """Number the ordered chunk of each value, per measure."""
+    buckets = max(1, chunks // BUCKET_CHUNKS)
+    picks = 4 * chunks // buckets
+    cuts = ", ".join(f"{i / picks}D" for i in range(1, picks))
     # The condition on n keeps the frequency table's columns, and so its
     # shuffle, the same for all of its readers.
-    cuts = ", ".join(f"{i / chunks}D" for i in range(1, chunks))
-    splits = counts.filter("n > 0").groupBy("measure").agg(
-        F.expr(f"percentile_approx(value, array({cuts}), {10 * chunks})").alias("splits")
+    sketches = counts.filter("n > 0").groupBy("measure", F.expr(f"pmod(xxhash64(value), {buckets})").alias("bucket"))
+    few = sketches.agg(F.expr(f"percentile_approx(value, array({cuts}), {4 * picks})").alias("picked"))
+    ordered = few.select("measure", F.explode("picked").alias("v")).groupBy("measure").agg(
+        F.sort_array(F.collect_list("v")).alias("v")
+    )
+    splits = ordered.selectExpr(
+        "measure", f"transform(sequence(1, {chunks - 1}), i -> v[int(floor(i * double(size(v)) / {chunks}))]) as splits"
     )
     # Binary search: the number of splits below the value, one halving per step.
     step = chunks // 2
@@ -85,11 +97,10 @@ def _add_chunk(counts: DataFrame, chunks: int) -> DataFrame:
 
 def _chunk_positions(chunked: DataFrame, sums: bool = False) -> DataFrame:
     """Per (group, chunk): rows in front of it, its rows, and group totals."""
-    # Exact product: 24 + 13 + 1 digits fit DECIMAL(38,10).
-    weighted = "cast(value as decimal(24,10)) * cast(n as decimal(13,0))"
+    weighted = "value * n"
     sizes = chunked.groupBy(*_GROUP, "chunk").agg(
         F.expr("sum(n) as chunk_n"),
-        F.expr(f"sum({weighted}) as chunk_sum" if sums else "null as chunk_sum"),
+        F.expr(f"sum({weighted}) as chunk_sum" if sums else "cast(null as double) as chunk_sum"),
     )
     return sizes.selectExpr(
         *_GROUP,
@@ -117,8 +128,7 @@ def exact_medians(
     """Per key and measure ``m``: ``m_count``, ``m_median``, ``m_sum``, ``m_mean``.
 
     The median of an even number of rows is the mean of the middle two. Sums
-    are exact decimal sums, so they do not depend on row order; without
-    ``sums`` the last two columns are left out.
+    are sums of doubles; without ``sums`` the last two columns are left out.
     """
     chunked = _add_chunk(value_counts(df, keys, measures), chunk_count(df.sparkSession))
 
@@ -139,7 +149,7 @@ def exact_medians(
         ]
         columns += [f"{m}_count", f"{m}_median"]
         if sums:
-            aggregates.append(f"cast(max({total_sum}) as double) as {m}_sum")
+            aggregates.append(f"max({total_sum}) as {m}_sum")
             columns += [f"{m}_sum", f"{m}_sum / {m}_count as {m}_mean"]
     wide = picked.groupBy("key").agg(*[F.expr(a) for a in aggregates])
     return wide.selectExpr("key.*", *columns)

@@ -60,7 +60,7 @@ def zone_summary(mart: DataFrame) -> DataFrame:
     }
     rollup = weighted_rollup(
         mart, ["zone_idf", "annee"], specs,
-        C.stable_sum(people).alias("population_totale"),
+        C.total(people).alias("population_totale"),
         F.count(F.lit(1)).alias("nb_communes"),
         F.sum(sales).alias("nb_ventes_total"),
     )

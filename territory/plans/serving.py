@@ -210,7 +210,7 @@ def region_crime_series(t: Tables) -> DataFrame:
 
 def region_crime_by_category(t: Tables) -> DataFrame:
     rows = crime_in_scope(t, F.col("zone_idf").isNotNull(), t.periods.crime)
-    return crime_by_category(rows, [], CRIME).orderBy(label(CRIME).desc(), CATEGORY)
+    return crime_by_category(rows, [], CRIME).orderBy(label(CRIME).desc_nulls_first(), CATEGORY)
 
 
 def region_category_series(t: Tables) -> DataFrame:
@@ -358,7 +358,7 @@ def ring_crime(t: Tables, include_city: bool = False) -> DataFrame:
 
 def ring_crime_by_category(t: Tables, include_city: bool = False) -> DataFrame:
     rows = crime_in_scope(t, ring(include_city), t.periods.crime)
-    return crime_by_category(rows, [], CRIME).orderBy(label(CRIME).desc(), CATEGORY)
+    return crime_by_category(rows, [], CRIME).orderBy(label(CRIME).desc_nulls_first(), CATEGORY)
 
 
 def ring_transit(t: Tables, include_city: bool = False) -> DataFrame:

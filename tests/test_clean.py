@@ -104,8 +104,16 @@ def test_weighted_mean_keeps_weight_of_missing_value(rows):
     assert rows("v double, w double", (1.0, 0.0)).agg(C.weighted_mean("v", "w")).first()[0] is None
 
 
-def test_stable_sum_ignores_row_order(spark):
-    values = [0.1, 1e9, -1e9, 0.2, 0.3] * 50
-    one = spark.createDataFrame([(v,) for v in values], "v double")
-    two = spark.createDataFrame([(v,) for v in sorted(values)], "v double").repartition(7)
-    assert one.agg(C.stable_sum("v")).first()[0] == two.agg(C.stable_sum("v")).first()[0] == 30.0
+@pytest.mark.parametrize("size", [1e-13, 1.0, 1e15, 1e27])
+def test_sums_and_means_of_any_size(rows, size):
+    df = rows("v double, w double", (3.0 * size, 1e-13), (6.0 * size, 2e-13))
+    r = df.agg(C.total("v").alias("t"), C.weighted_mean("v", "w").alias("m")).first()
+    assert r.t == pytest.approx(9 * size, rel=1e-12)
+    assert r.m == pytest.approx(5 * size, rel=1e-12)
+
+
+def test_whole_numbers_keep_all_bits(rows):
+    df = rows("n string", ("9007199254740993",), (" -9223372036854775808 ",), ("2.5",), ("1e3",), ("",), (None,))
+    found = column(df, C.blank_to_null_cast("n", "bigint"))
+    assert found == [9007199254740993, -9223372036854775808, 3, 1000, None, None]
+    assert column(rows("n string", ("x",), ("99999999999999999999",)), C.blank_to_null_cast("n", "int", lenient=True)) == [None, None]
