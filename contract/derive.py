@@ -235,18 +235,19 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One diamond with a diamond-shaped hole per supplier, on a lattice 40
-    wide: (code, nom, geom). Neighbours overlap a little."""
+    wide: (code, nom, geom). Three sizes; large neighbours overlap a little."""
     placed = load(spark, sf_dir, "supplier").selectExpr(
         f"concat({_choice(DEPARTMENT_BY_NATION[:8], 's_suppkey % 8')},"
-        " lpad(string(s_suppkey div 8 + 101), 3, '0')) as code",
+        " string(s_suppkey div 8 + 101)) as code",
         "s_name as nom", "double(s_suppkey % 40) as cx", "double(s_suppkey div 40) as cy",
+        "0.75D - 0.125D * (s_suppkey % 3) as r",
     )
 
-    def diamond(r: float) -> str:
-        corners = ((r, 0.0), (0.0, r), (-r, 0.0), (0.0, -r), (r, 0.0))
-        return "array(" + ", ".join(f"array(cx + {dx}D, cy + {dy}D)" for dx, dy in corners) + ")"
+    def diamond(r: str) -> str:
+        corners = ((r, "0D"), ("0D", r), (f"-{r}", "0D"), ("0D", f"-{r}"), (r, "0D"))
+        return "array(" + ", ".join(f"array(cx + {dx}, cy + {dy})" for dx, dy in corners) + ")"
 
-    return placed.selectExpr("code", "nom", f"array(array({diamond(0.75)}, {diamond(0.25)})) as geom")
+    return placed.selectExpr("code", "nom", f"array(array({diamond('r')}, {diamond('0.25D')})) as geom")
 
 
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -251,15 +251,16 @@ acc as (
 ), tension as (
   select *, rank() over (partition by annee order by indice_tension desc) as rang from tension1
 ), area as (
-  select {_area_deps}[cast(s_suppkey % 8 + 1 as int)] || lpad(cast(s_suppkey // 8 + 101 as varchar), 3, '0') as code,
+  select {_area_deps}[cast(s_suppkey % 8 + 1 as int)] || cast(s_suppkey // 8 + 101 as varchar) as code,
          s_name as nom, s_suppkey % 40 as cx, s_suppkey // 40 as cy,
-         1.0 * 111.12::double * 111.12::double * 0.6583::double as km2
+         0.75::double - 0.125::double * (s_suppkey % 3) as r, 2 * (r * r - 0.0625::double) as flat,
+         flat * 111.12::double * 111.12::double * 0.6583::double as km2
   from supplier
 ), tagged as (
   select c_custkey, c_name as name, {dbl(lat('c_custkey'))} as lat, {dbl(lon('c_custkey'))} as lon,
          cast(10 + c_custkey % 30 as int) as capacity, code as code_commune, nom as nom_commune
   from customer join area
-    on abs({lon('c_custkey')} - cx) + abs({lat('c_custkey')} - cy) between 0.25 and 0.75
+    on abs({lon('c_custkey')} - cx) + abs({lat('c_custkey')} - cy) between 0.25 and r
 ), stop_line as (
   select distinct 'Stop ' || o_custkey as name, 'L' || o_orderkey % 16 as line, o_custkey from orders
 ), stop_pos as (
@@ -273,7 +274,7 @@ acc as (
          cast(count(distinct line) as int) as nb_lignes_uniques,
          {rnd('any_value(km2)', 2)} as superficie_km2,
          {rnd('count(distinct name) / any_value(km2)', 1)} as stations_par_km2
-  from station_line join area on abs(lon - cx) + abs(lat - cy) between 0.25 and 0.75
+  from station_line join area on abs(lon - cx) + abs(lat - cy) between 0.25 and r
   group by code, nom
 ), cyc as (
   select code as code_commune, nom as nom_commune, arrondissement, longueur_km,
@@ -373,6 +374,17 @@ _group_columns = ", ".join(
     f"{rnd(f'g_{g}', 2)} as pop_{g}, {rnd(ratio(f'g_{g}', 't'), 4)} as part_{g}" for g in _age_groups
 )
 
+_zone_rows = " union all ".join(
+    f"select '{zone}' as zone, code, nom, {rnd('flat', 6)} as area, cx + r as x, cast(cy as double) as y from area where {where}"
+    for zone, where in {
+        "idf_communes": "true",
+        "paris_arrondissements": "code like '751%'",
+        "petite_couronne": "left(code, 2) in ('92', '93', '94')",
+        "petite_couronne_plus_paris": "left(code, 2) in ('92', '93', '94') or code like '751%'",
+        "grande_couronne": "left(code, 2) in ('77', '78', '91', '95')",
+    }.items()
+)
+
 OPERATORS: dict[str, str] = {
     "price_stats_nation_year": f"select nation, annee, nb_ventes, nb_ventes_a, nb_ventes_r, {_SIX} from nation_price",
     "price_evolution_nation": f"""
@@ -503,12 +515,32 @@ OPERATORS: dict[str, str] = {
         select o_orderkey, cast(o_orderdate as date) as day,
                case when mark < cast(o_orderdate as date) then o_totalprice + 1 else o_totalprice end as o_totalprice
         from orders, (select max(cast(o_orderdate as date)) as mark from orders where o_orderdate < timestamp '1999-06-01')""",
-    "geojson_lines": "select code, nom, 1.0::double as area from area",
-    "geojson_zone_documents": """
-        select 'idf_communes' as table_name, count(*) as n from area union all
-        select 'petite_couronne', count(*) from area where left(code, 2) in ('92', '93', '94') union all
-        select 'petite_couronne_plus_paris', count(*) from area where left(code, 2) in ('92', '93', '94') or code like '751%' union all
-        select 'grande_couronne', count(*) from area where left(code, 2) in ('77', '78', '91', '95')""",
+    "geojson_lines": "select code, nom, flat as area from area",
+    "geojson_zone_documents": _zone_rows,
+    "geojson_zone_lines": _zone_rows,
+    "raw_full_replace": "select o_orderkey, o_totalprice + 1 as o_totalprice from orders where o_orderkey % 2 = 0",
+    "view_layer": "select o_orderkey, o_totalprice from orders where o_orderstatus = 'F'",
+    "table_layer": "select o_orderkey, o_totalprice, o_orderstatus from orders where o_orderstatus = 'F'",
+    "csv_ragged": """
+        select p_partkey, p_brand, case when p_partkey % 5 <> 0 then p_size end as p_size, 'padded' as mode from part union all
+        select p_partkey, p_brand, p_size, 'skipped' from part where p_partkey % 5 <> 0""",
+    "records_stations": "select cast(c_custkey as varchar) as code, c_name as name, 2.5 as lat, 48.5 as lon, cast(c_custkey % 40 as int) as capacity from customer",
+    "records_stops": """
+        select cast(source as int) as source, stop_name, lat, line from (
+          select 0 as source, s_name as stop_name, cast(s_suppkey as double) as lat, 'M' || s_suppkey % 14 as line from supplier union all
+          select 1, n_name, cast(n_nationkey as double), 'R' || n_regionkey from nation)""",
+    "records_counters": """
+        select cast(s_suppkey % 50 as varchar) as id_compteur, max_by(cast(s_suppkey as double), s_suppkey) as lat
+        from supplier group by 1""",
+    "optional_source": "select 'present' as state, count(*) as n from part union all select 'absent', 0",
+    "sales_incremental": """
+        , old as (select id_mutation, numero_disposition, date_mutation, valeur_fonciere from sales where date_mutation <= date '1999-12-31'),
+        mark as (select max(date_mutation) as d from old),
+        fresh as (
+          select case when hash_key % 4 = 0 then 'M' || hash_key // 2 else id_mutation end as id_mutation,
+                 numero_disposition, date_mutation, valeur_fonciere
+          from (select *, cast(substr(id_mutation, 2) as bigint) as hash_key from sales), mark where date_mutation > d)
+        select * from fresh union all select * from old where id_mutation not in (select id_mutation from fresh)""",
     "points_in_areas": "select name, lat, lon, capacity, code_commune, nom_commune from tagged",
     "area_km2": f"select code as code_commune, {rnd('km2', 6)} as area_km2 from area",
     "bike_density": f"""
@@ -537,7 +569,7 @@ OPERATORS: dict[str, str] = {
         select region, cast(x1 as double) as x1, cast(y1 as double) as y1, cast(x2 as double) as x2, cast(y2 as double) as y2
         from side group by all having count(*) = 1""",
     "merged_features": f"""
-        select code, nom, {rnd('cx + 0.75::double + 0.123456::double', 4)} as x, {rnd('cy + 0.123456::double', 4)} as y
+        select code, nom, {rnd('cx + r + 0.123456::double', 4)} as x, {rnd('cy + 0.123456::double', 4)} as y
         from area where code <> '75101'""",
     "quality_not_null": """
         select code as COM, unnest([case when dep = '75' then ' ARM' else 'COM ' end, 'COMD']) as TYPECOM

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from contract import derive as D
@@ -428,15 +428,140 @@ def geojson_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("code", "nom", geo.planar_area(F.col("geom")).alias("area"))
 
 
+def _zones_read_back(spark: SparkSession, sf_dir: str, documents: bool) -> DataFrame:
+    """Zone files of either form written and read back: every feature with its size and a corner."""
+    path = scratch(spark, sf_dir, "zone_documents" if documents else "zone_lines")
+    sinks.write_geojson_by_zone(D.areas(spark, sf_dir), path, documents=documents)
+    frames = [
+        records.read_geojson(spark, f"{path}/zone={zone}", lines=not documents).select(
+            F.lit(zone).alias("zone"), "code", "nom", F.round(geo.planar_area(F.col("geom")), 6).alias("area"),
+            F.col("geom")[0][0][0][0].alias("x"), F.col("geom")[0][0][0][1].alias("y"),
+        )
+        for zone in sinks.zone_files()
+        if text.path_exists(spark, f"{path}/zone={zone}")
+    ]
+    return text.union_by_name(frames)
+
+
 def geojson_zone_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Zone files written, read back, features counted per zone."""
-    path = scratch(spark, sf_dir, "zones")
-    sinks.write_geojson_by_zone(D.areas(spark, sf_dir), path)
-    zones = {
-        zone: records.read_geojson(spark, f"{path}/zone={zone}", lines=False)
-        for zone in ("idf_communes", "petite_couronne", "petite_couronne_plus_paris", "grande_couronne")
-    }
-    return quality.row_counts(zones)
+    return _zones_read_back(spark, sf_dir, documents=True)
+
+
+def geojson_zone_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _zones_read_back(spark, sf_dir, documents=False)
+
+
+def raw_full_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored table replaced as a whole by another content."""
+    name = "raw_orders_" + sf_dir.rstrip("/").rsplit("/", 1)[-1].replace(".", "_").replace("-", "_")
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    sinks.replace_table(orders, name)
+    even = orders.filter("o_orderkey % 2 = 0").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    return sinks.replace_table(even, name, bucket_by="o_orderkey", buckets=8)
+
+
+def view_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sinks.as_view(load(spark, sf_dir, "orders").filter("o_orderstatus = 'F'"), "finished_orders")
+    return spark.sql("select o_orderkey, o_totalprice from finished_orders")
+
+
+def table_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders stored by status, read back one status: other folders are not touched."""
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    stored = sinks.write_parquet(orders, scratch(spark, sf_dir, "table_layer"), by="o_orderstatus")
+    return stored.filter("o_orderstatus = 'F'")
+
+
+def csv_ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that lack their last field, in a gzip file: padded with nulls, or skipped."""
+    path = scratch(spark, sf_dir, "ragged")
+    line = F.concat_ws(";", D.text("p_partkey"), "p_brand", F.when(F.col("p_partkey") % 5 != 0, D.text("p_size")))
+    part = load(spark, sf_dir, "part").select(F.lit(1).alias("o"), line.alias("value"))
+    header = spark.range(1).select(F.lit(0).alias("o"), F.lit("p_partkey;p_brand;p_size").alias("value"))
+    # One file with its header first, as such archives come.
+    header.union(part).repartition(1).sortWithinPartitions("o").select("value").write.mode("overwrite").text(path, compression="gzip")
+    frames = [
+        text.read_text_table(spark, path, sep=";", skip_malformed=skip, spread=8).select(
+            F.col("p_partkey").cast("bigint").alias("p_partkey"), "p_brand",
+            F.col("p_size").cast("int").alias("p_size"), F.lit(mode).alias("mode"),
+        )
+        for mode, skip in (("padded", False), ("skipped", True))
+    ]
+    return text.union_by_name(frames)
+
+
+def _pages(df: DataFrame, path: str, root: str, record: Column, order: str, pages: int) -> None:
+    """Records as JSON documents of a listing in several pages, in order."""
+    numbered = df.select(F.ntile(pages).over(Window.orderBy(order)).alias("page"), F.struct(order, record.alias("r")).alias("s"))
+    body = F.transform(F.array_sort(F.collect_list("s")), lambda s: s["r"])
+    document = F.struct(body.alias(root.split(".")[-1]))
+    for name in reversed(root.split(".")[:-1]):
+        document = F.struct(document.alias(name))
+    rows = numbered.groupBy("page").agg(F.to_json(document).alias("value"))
+    rows.repartitionByRange(pages, "page").sortWithinPartitions("page").select("value").write.mode("overwrite").text(path)
+
+
+def records_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, sf_dir, "stations")
+    people = load(spark, sf_dir, "customer").withColumn("name", F.col("c_name"))
+    record = F.struct(
+        F.when(F.col("c_custkey") % 3 != 0, D.text("c_custkey")).alias("stationCode"),
+        F.col("c_custkey").alias("station_id"), "name", F.lit(2.5).alias("lat"), F.lit(48.5).alias("lon"),
+        (F.col("c_custkey") % 40).cast("int").alias("capacity"),
+    )
+    _pages(people, path, "data.stations", record, "c_custkey", 3)
+    return records.read_stations(spark, path)
+
+
+def records_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two listings in a stated order."""
+    one, two = scratch(spark, sf_dir, "stops_1"), scratch(spark, sf_dir, "stops_2")
+    first = F.struct(
+        F.col("s_name").alias("stop_name"), D.text("s_suppkey").alias("stop_lat"), F.lit("48").alias("stop_lon"),
+        F.lit("Metro").alias("mode"), F.concat(F.lit("M"), D.text(F.col("s_suppkey") % 14)).alias("shortname"),
+    )
+    _pages(load(spark, sf_dir, "supplier"), one, "results", first, "s_suppkey", 2)
+    second = F.struct(
+        F.col("n_name").alias("stop_name"), D.text("n_nationkey").alias("stop_lat"), F.lit("48").alias("stop_lon"),
+        F.lit("RER").alias("mode"), F.concat(F.lit("R"), D.text("n_regionkey")).alias("shortname"),
+    )
+    _pages(load(spark, sf_dir, "nation"), two, "results", second, "n_nationkey", 1)
+    stops = records.read_stops(spark, [one, two])
+    return stops.select("seq.source", "stop_name", "lat", "line")
+
+
+def records_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions in several pages: of a counter's records the last one holds, in the order of pages and places."""
+    path = scratch(spark, sf_dir, "counters")
+    record = F.struct(
+        D.text(F.col("s_suppkey") % 50).alias("id_compteur"),
+        F.struct(F.col("s_suppkey").cast("double").alias("lat"), F.lit(2.0).alias("lon")).alias("coordinates"),
+    )
+    _pages(load(spark, sf_dir, "supplier"), path, "results", record, "s_suppkey", 3)
+    counters = records.read_counters(spark, path)
+    return counters.groupBy("id_compteur").agg(F.max_by("lat", "seq").alias("lat"))
+
+
+def optional_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A raw table that is there, and one that is not: no rows, the same columns."""
+    path = scratch(spark, sf_dir, "optional")
+    part = load(spark, sf_dir, "part").select(D.text("p_partkey").alias("CODGEO"))
+    part.write.mode("overwrite").options(header=True, sep=";").csv(path)
+    present = text.read_raw(spark, "income", path)
+    absent = text.read_raw(spark, "income", f"{path}-nowhere", f"{path}-nowhere.gz")
+    counts = [df.agg(F.lit(state).alias("state"), F.count("CODGEO").alias("n")) for state, df in (("present", present), ("absent", absent))]
+    return text.union_by_name(counts)
+
+
+def sales_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored sales up to a day; later ones come in, every fourth under the id of an old sale, and a late date is ignored."""
+    raw = D.RAW["sales"](spark, sf_dir)
+    stored = staging.clean_sales(raw).filter("date_mutation <= date'1999-12-31'")
+    number = F.expr("cast(substr(trim(id_mutation), 2) as bigint)")
+    late = C.parse_date("date_mutation") > F.lit("1999-12-31").cast("date")
+    moved = F.when(late & (number % 4 == 0), F.concat(F.lit("M"), F.floor(number / 2).cast("string")))
+    incoming = raw.withColumn("id_mutation", F.coalesce(moved, "id_mutation"))
+    return staging.load_sales(stored, incoming).select("id_mutation", "numero_disposition", "date_mutation", "valeur_fonciere")
 
 
 # --- geography ----------------------------------------------------------------
@@ -588,6 +713,8 @@ OPERATORS: dict[str, Query] = {
         having_small_groups, distinct_by_user, zone_weighted_means, education_shares,
         incremental_orders, union_orders_by_name, csv_gzip_latin1, csv_many_headers, csv_typed,
         csv_export, serving_copies, versioned_load, geojson_lines, geojson_zone_documents,
+        geojson_zone_lines, raw_full_replace, view_layer, table_layer, csv_ragged, records_stations,
+        records_stops, records_counters, optional_source, sales_incremental,
         points_in_areas, area_km2, bike_density, station_lines, located_counters,
         dissolve_boundary, merged_features, quality_not_null, quality_unique,
         quality_accepted_values, quality_relationship, quality_expression, quality_freshness,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +16,7 @@ from territory.plans import mobility, staging
 from territory.plans.build import build_models
 from territory.sources import records, text
 
-# File names as published. Plain text is preferred to its gzip copy.
+# File names of the raw tables; plain text is preferred to its gzip copy.
 FILES = {
     "sale_stats": "stats_dvf.csv",
     "communes": "cog_communes_2024.csv",
@@ -51,18 +51,23 @@ def raw_sales(
     return text.union_by_name([empty, text.read_many_by_name(spark, found)])
 
 
-def raw_tables(spark: SparkSession, folder: str, **scope) -> dict[str, DataFrame]:
-    """Raw tables by name; a missing file gives an empty table."""
+def raw_tables(
+    spark: SparkSession, folder: str, files: Mapping[str, str] | None = None, **scope
+) -> dict[str, DataFrame]:
+    """Raw tables by name; a missing file gives an empty table. ``files`` renames some."""
     tables = {
         table: text.read_raw(spark, table, f"{folder}/{name}", f"{folder}/{name}.gz")
-        for table, name in FILES.items()
+        for table, name in {**FILES, **(files or {})}.items()
     }
     return tables | {"sales": raw_sales(spark, folder, **scope)}
 
 
 def boundaries(spark: SparkSession, folder: str) -> DataFrame | None:
     """Commune boundaries with the city's districts in place of the city, from
-    one merged file or from the two it is made of."""
+    features by line, from one merged file or from the two it is made of."""
+    by_line = f"{folder}/idf_communes.geojsonl"
+    if text.path_exists(spark, by_line):
+        return records.read_geojson(spark, by_line, lines=True)
     merged = f"{folder}/idf_communes.geojson"
     parts = f"{folder}/communes.geojson", f"{folder}/arrondissements.geojson"
     if text.path_exists(spark, merged):
@@ -109,6 +114,7 @@ def refresh(
     target: str,
     version: int = 1,
     limits: S.Thresholds = S.Thresholds(),
+    zone_documents: bool = False,
     **scope,
 ) -> DataFrame:
     """Rebuild all result tables from the files in ``folder``.
@@ -138,7 +144,8 @@ def refresh(
         areas = materialise(areas)
         results |= mobility_tables(spark, folder, areas)
         results["department_outlines"] = outlines(areas)
-        sinks.write_geojson_by_zone(areas, f"{root}/geojson")
+        sinks.write_geojson_by_zone(areas, f"{root}/geojson", documents=zone_documents)
+        sinks.write_outlines(results["department_outlines"], f"{root}/geojson_departments")
     sinks.publish(results, f"{root}/tables")
     stored_tables = {name: spark.read.parquet(f"{root}/tables/{name}") for name in results}
     for name in ("accessibility", "zones", "evolution", "tension"):

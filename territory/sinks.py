@@ -48,8 +48,12 @@ def publish(tables: Mapping[str, DataFrame], folder: str) -> DataFrame:
 
 
 def publish_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str], tasks: int = 8) -> None:
-    """Serving copy in a database: drop, recreate, insert over few connections."""
-    df.coalesce(tasks).write.jdbc(url, table, mode="overwrite", properties=dict(properties))
+    """Serving copy in a database: drop, recreate, insert over few connections.
+
+    The rows are dealt to the few writing tasks by a shuffle, so what comes
+    before it runs in as many tasks as it needs.
+    """
+    df.repartition(tasks).write.jdbc(url, table, mode="overwrite", properties=dict(properties))
 
 
 def export_csv(df: DataFrame, path: str) -> None:
@@ -69,42 +73,60 @@ def zone_files(code: str = "code") -> dict[str, Column]:
     }
 
 
-def feature_collections(features: DataFrame, per_document: int = 5000) -> DataFrame:
-    """Feature-collection documents per zone: (zone, part, value).
-
-    A zone of up to ``per_document`` features is one document. A larger zone
-    becomes several valid documents, so that no task holds a whole zone.
-    """
+def zone_features(features: DataFrame) -> DataFrame:
+    """One row per feature and zone that holds it: (zone, code, value), the value a GeoJSON feature."""
     zones = F.array(*[F.when(keep, F.lit(zone)) for zone, keep in zone_files().items()])
+    return features.select(
+        F.explode(zones).alias("zone"), "code", feature_text("geom", "code", "nom").alias("value")
+    ).filter("zone is not null")
+
+
+def feature_text(geom: str, *properties: str) -> Column:
+    """A multipolygon and its properties as a GeoJSON feature; one part makes a polygon."""
     geometry = F.when(
-        F.size("geom") == 1,
-        F.to_json(F.struct(F.lit("Polygon").alias("type"), F.col("geom")[0].alias("coordinates"))),
+        F.size(geom) == 1,
+        F.to_json(F.struct(F.lit("Polygon").alias("type"), F.col(geom)[0].alias("coordinates"))),
     ).otherwise(
-        F.to_json(F.struct(F.lit("MultiPolygon").alias("type"), F.col("geom").alias("coordinates")))
-    )
-    feature = F.concat(
-        F.lit('{"type":"Feature","geometry":'), geometry,
-        F.lit(',"properties":'), F.to_json(F.struct("code", "nom")), F.lit("}"),
-    )
-    rows = features.select("code", feature.alias("feature"), F.explode(zones).alias("zone"))
-    rows = rows.filter(F.col("zone").isNotNull())
-    parts = rows.groupBy("zone").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(per_document)).alias("parts")
-    )
-    # One row per zone, and the zones are a fixed list.
-    placed = rows.join(F.broadcast(parts), "zone").withColumn(
-        "part", F.pmod(F.xxhash64("code"), F.col("parts"))
+        F.to_json(F.struct(F.lit("MultiPolygon").alias("type"), F.col(geom).alias("coordinates")))
     )
-    body = F.transform(
-        F.array_sort(F.collect_list(F.struct("code", "feature"))), lambda f: f.feature
+    return F.concat(
+        F.lit('{"type":"Feature","geometry":'), F.coalesce(geometry, F.lit("null")),
+        F.lit(',"properties":'), F.to_json(F.struct(*properties), {"ignoreNullFields": "false"}), F.lit("}"),
     )
-    document = F.concat(
-        F.lit('{"type":"FeatureCollection","features":['), F.array_join(body, ","), F.lit("]}")
-    )
-    return placed.groupBy("zone", "part").agg(document.alias("value"))
 
 
-def write_geojson_by_zone(features: DataFrame, folder: str, per_document: int = 5000) -> None:
-    """One folder per zone, each file line a complete feature collection."""
-    documents = feature_collections(features, per_document).drop("part")
-    documents.write.mode("overwrite").partitionBy("zone").text(folder)
+def write_geojson_by_zone(features: DataFrame, folder: str, documents: bool = False) -> None:
+    """One folder per zone with every feature of it, written in either form.
+
+    By default a feature is a line, and a zone of any size is spread over
+    files as its rows are over tasks; read with ``read_geojson(lines=True)``.
+    With ``documents`` the caller asks for a single feature collection per
+    zone, in one file, as map products load it: one task then holds a zone.
+    """
+    rows = zone_features(features)
+    if documents:
+        ordered = F.array_sort(F.collect_list(F.struct("code", "value")))
+        body = F.array_join(F.transform(ordered, lambda f: f.value), ",")
+        document = F.concat(F.lit('{"type":"FeatureCollection","features":['), body, F.lit("]}"))
+        rows = rows.groupBy("zone").agg(document.alias("value"))
+    rows.select("zone", "value").write.mode("overwrite").partitionBy("zone").text(folder)
+
+
+def write_outlines(segments: DataFrame, folder: str, key: str = "code_dep") -> None:
+    """Boundary segments as one line feature per key and segment bundle: the layer of the department maps.
+
+    A key's segments come in bundles of a thousand or so, by hash, so no task
+    holds a long boundary whole.
+    """
+    line = F.array(F.array("x1", "y1"), F.array("x2", "y2"))
+    sizes = segments.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / 1000).alias("_parts"))
+    bundled = segments.join(sizes, key).withColumn(
+        "_part", F.pmod(F.xxhash64("x1", "y1", "x2", "y2"), F.col("_parts"))
+    )
+    lines = bundled.groupBy(key, "_part").agg(F.array_sort(F.collect_list(line)).alias("coordinates"))
+    geometry = F.to_json(F.struct(F.lit("MultiLineString").alias("type"), "coordinates"))
+    properties = F.to_json(F.struct(F.col(key).alias("code"), F.concat(F.lit("Département "), F.col(key)).alias("nom")))
+    value = F.concat(
+        F.lit('{"type":"Feature","geometry":'), geometry, F.lit(',"properties":'), properties, F.lit("}")
+    )
+    lines.select(value.alias("value")).write.mode("overwrite").text(folder)

@@ -18,14 +18,17 @@ def read_records(
     position: str | None = None,
 ) -> DataFrame:
     """Rows of the array found at the dotted ``root`` of each document, with
-    their place in it as ``position`` if asked for."""
+    their place (file, then place in it) as ``position`` if asked for."""
     nested: T.DataType = T.ArrayType(schema)
     for name in reversed(root.split(".")):
         nested = T.StructType([T.StructField(name, nested)])
     documents = spark.read.schema(nested).json(path, multiLine=True)
     if position is None:
         return documents.select(F.inline(root))
-    return documents.select(F.posexplode(root).alias(position, "record")).select(position, "record.*")
+    # Pages of one listing are files of a folder: the file comes first, then the place in it.
+    place = F.struct(F.col("page"), F.col("place")).alias(position)
+    paged = documents.select(F.col("_metadata.file_path").alias("page"), F.col(root).alias("records"))
+    return paged.select("page", F.posexplode("records").alias("place", "record")).select(place, "record.*")
 
 
 def read_stations(spark: SparkSession, path: str) -> DataFrame:
@@ -88,8 +91,9 @@ _FEATURE = T.StructType(
 def read_geojson(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Features as (code, nom, geom).
 
-    A feature collection is one document, read by one task. Large boundary
-    sets come as one feature per line (``lines``), which Spark splits.
+    A feature collection is one document in a file of its own, read by one
+    task. Large boundary sets come as one feature per line (``lines``), which
+    Spark splits.
     """
     if lines:
         features = spark.read.schema(_FEATURE).json(path)

@@ -1,6 +1,8 @@
 import json
 from pathlib import Path
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from territory import sinks
@@ -38,7 +40,7 @@ def features(spark, n=1):
 
 
 def test_zone_documents(spark, tmp_path):
-    sinks.write_geojson_by_zone(features(spark), str(tmp_path / "geo"))
+    sinks.write_geojson_by_zone(features(spark), str(tmp_path / "geo"), documents=True)
     codes = {}
     for folder in Path(tmp_path / "geo").glob("zone=*"):
         lines = [line for f in folder.glob("part-*") for line in f.read_text().splitlines()]
@@ -57,11 +59,23 @@ def test_zone_documents(spark, tmp_path):
     assert {r["code"]: len(r["geom"]) for r in back.collect()} == {"92001": 2, "93001": 1}
 
 
-def test_large_zone_is_split_into_documents(spark):
-    documents = sinks.feature_collections(features(spark, 40), per_document=50)
-    rows = documents.filter("zone = 'idf_communes'").collect()
-    assert len(rows) > 1
-    assert sum(len(json.loads(r["value"])["features"]) for r in rows) == 240
+@pytest.mark.parametrize("documents", [False, True])
+def test_every_feature_of_a_large_zone_comes_back(spark, tmp_path, documents):
+    path = str(tmp_path / "geo")
+    written = features(spark, 1200)
+    sinks.write_geojson_by_zone(written.repartition(5), path, documents=documents)
+    back = read_geojson(spark, f"{path}/zone=idf_communes", lines=not documents)
+    assert back.count() == written.count() == 7200
+    assert back.exceptAll(written).isEmpty()
+
+
+def test_outlines_hold_every_segment(spark, tmp_path):
+    segments = spark.range(2500).selectExpr("if(id % 5 = 0, '75', '92') code_dep", "double(id) x1", "0D y1", "double(id) x2", "1D y2")
+    sinks.write_outlines(segments, str(tmp_path / "lines"))
+    lines = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "lines")).collect()]
+    assert {f["properties"]["code"] for f in lines} == {"75", "92"}
+    assert sum(len(f["geometry"]["coordinates"]) for f in lines) == 2500
+    assert all(f["geometry"]["type"] == "MultiLineString" for f in lines)
 
 
 def test_materialise_uses_the_session_folder(spark):

@@ -83,7 +83,7 @@ def test_two_refreshes(spark, folder, tmp_path):
     counters = spark.read.parquet(f"{target}/v1/tables/comptage_velo_paris")
     assert sorted(tuple(r) for r in counters.collect()) == [("A", 3.0, 4.0, 5), ("C", 5.0, 6.0, 7)]
     assert spark.read.parquet(f"{target}/v1/tables/department_outlines").count() == 4
-    city = records.read_geojson(spark, f"{target}/v1/geojson/zone=paris_arrondissements")
+    city = records.read_geojson(spark, f"{target}/v1/geojson/zone=paris_arrondissements", lines=True)
     assert [(r["code"], r["geom"][0][0][0]) for r in city.collect()] == [("75101", [2.0, 48.0])]
     write_raw(folder, ["2025"])
     warehouse.refresh(spark, str(folder), target, version=2)
