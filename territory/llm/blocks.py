@@ -155,6 +155,11 @@ def byte_sizes(column: str):
     return lambda frame: frame[column].str.len().fillna(1).to_numpy(np.int64) + 1
 
 
+def wrapped(docs: DataFrame, *others) -> DataFrame:
+    """``docs`` as one struct column ``_doc`` beside ``others``: whatever its columns are called, none can clash."""
+    return docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_doc"), *others)
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared checkpoint folder.
 

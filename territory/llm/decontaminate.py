@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from territory.llm.blocks import wrapped
+
 WINDOW_WORDS = 10
 #: Item bytes that go into one automaton; more items make further scans.
 BLOCK_BYTES = 8 << 20
@@ -186,4 +188,5 @@ def _scan(docs: DataFrame, items, window: int, text_col: str, again: bool) -> Da
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` without the rows that hold a window of a test item."""
-    return find_leaks(docs, benchmark, **options).filter("n_hit = 0").select(*docs.columns)
+    text_col = options.get("text_col", "text")
+    return find_leaks(wrapped(docs, docs[text_col]), benchmark, **options).filter("n_hit = 0").select("_doc.*")

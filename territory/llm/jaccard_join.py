@@ -12,9 +12,12 @@ share a shingle among their rarest |s| - ceil(t |s|) + 1, their prefix.
 4. In a block (a shared shingle and a range of sizes) every group is compared
    with the block's first group, then every member with its group's first;
    links found make components, and pairs inside one component need no look.
-5. For the blocks that still hold several components all other pairs between
-   components are formed, groups expand to their members, a bitmap bound drops
-   most pairs, and the sets of the rest are compared.
+5. In the blocks that still hold several components the groups outside the
+   block's largest component meet all others; groups expand to their members,
+   and the sets of what is left are compared.
+
+Before sets are fetched, every pair passes a bound: bits that hold the parity of
+the shingles that fall on them differ at most as often as the sets do.
 
 Step 4 keeps a block of thousands of near copies from making all its pairs: what
 is left for step 5 are the few classes that its first ones do not reach.
@@ -56,13 +59,14 @@ LEAST = 90
 CHUNK_BYTES = 8 << 20
 #: Shingle hashes below this are counted for the order.
 COUNTED = U64(1 << 62)
-BITMAP = 1024
+#: Bits of the parity bound, as columns of 64.
+BITS = ("b0", "b1", "b2", "b3")
 #: A null id comes after all others.
 LAST_ID = (1 << 63) - 1
 
-SKETCH = "chunk long, ids array<long>, keys binary, sizes binary, marks binary, heads binary, lengths binary, grams binary"
+SKETCH = "chunk long, ids array<long>, keys binary, sizes binary, marks binary, heads binary, bits binary, lengths binary, grams binary"
 MEMBERS = "id long, key long, n long, x binary"
-PREFIXES = "x binary, n long, id long, key long, g binary, tokens array<long>"
+PREFIXES = "x binary, n long, id long, key long, g binary, tokens array<long>, b0 long, b1 long, b2 long, b3 long"
 
 
 def shingles(text: str | None, size: int) -> np.ndarray:
@@ -79,6 +83,13 @@ def mark(grams: np.ndarray) -> bytes:
     return np.array([mix(grams).sum(dtype=U64), mix(grams ^ U64(0xA5A5A5A55A5A5A5A)).sum(dtype=U64) + U64(len(grams))], U64).tobytes()
 
 
+def parities(grams: np.ndarray) -> np.ndarray:
+    """For each of the bits whether an odd number of shingles falls on it, as 64-bit numbers."""
+    width = 64 * len(BITS)
+    odd = np.bincount((mix(grams) & U64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def prefix_size(n, least: int):
     """Length of the prefix of a set of ``n`` shingles."""
     return n - -(-least * n // 100) + 1
@@ -97,7 +108,7 @@ def _sketches(frames: Iterator[pd.DataFrame], size: int, least: int) -> Iterator
     """Steps 1 and 2: sizes and marks of a chunk's sets; of its classes, the shingles a prefix can come from."""
     chunk = TaskContext.get().partitionId() << 32
     for frame in chunks(frames, byte_sizes("text"), CHUNK_BYTES):
-        sizes, marks, heads, lengths, parts, seen = [], [], [], [], [], set()
+        sizes, marks, heads, bits, lengths, parts, seen = [], [], [], [], [], [], set()
         for i, text in enumerate(frame["text"]):
             grams = shingles(text, size)
             sizes.append(len(grams))
@@ -107,6 +118,7 @@ def _sketches(frames: Iterator[pd.DataFrame], size: int, least: int) -> Iterator
                 counted = int(np.searchsorted(grams, COUNTED))
                 take = max(counted, prefix_size(len(grams), least))  # in order of hash, so the counted ones come first
                 heads.append(i)
+                bits.append(parities(grams))
                 lengths.append(take)
                 parts.append(grams[:take])
         yield pd.DataFrame(
@@ -117,6 +129,7 @@ def _sketches(frames: Iterator[pd.DataFrame], size: int, least: int) -> Iterator
                 "sizes": [pack(np.array(sizes, np.int64))],
                 "marks": [b"".join(marks)],
                 "heads": [pack(np.array(heads, np.int32))],
+                "bits": [b"".join(b.tobytes() for b in bits)],
                 "lengths": [pack(np.array(lengths, np.int32))],
                 "grams": [pack(np.concatenate(parts) if parts else np.empty(0, U64))],
             }
@@ -143,7 +156,8 @@ def _prefixes(frames: Iterator[pd.DataFrame], least: int) -> Iterator[pd.DataFra
             free = grams >= COUNTED
             order_count = np.where(free, np.iinfo(np.int64).max, counts)
             out, start = [], 0
-            for head, length in zip(heads.tolist(), lengths.tolist(), strict=True):
+            bits = np.frombuffer(row.bits, np.int64).reshape(-1, len(BITS)).tolist()
+            for head, length, own in zip(heads.tolist(), lengths.tolist(), bits, strict=True):
                 n = int(sizes[head])
                 mine = slice(start, start + length)
                 start += length
@@ -153,20 +167,14 @@ def _prefixes(frames: Iterator[pd.DataFrame], least: int) -> Iterator[pd.DataFra
                 if len(shared):
                     group = mark(np.append(prefix, U64(n)))
                     x = row.marks[16 * head : 16 * head + 16]
-                    out.append((x, n, row.ids[head], keys[head], group, shared.view(np.int64).tolist()))
-            yield pd.DataFrame(out, columns=["x", "n", "id", "key", "g", "tokens"])
+                    out.append((x, n, row.ids[head], keys[head], group, shared.view(np.int64).tolist(), *own))
+            yield pd.DataFrame(out, columns=["x", "n", "id", "key", "g", "tokens", *BITS])
 
 
 def _sets(frames: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
-    """The whole set of each class, with its bitmap: the parity of the shingles that fall on a bit."""
+    """The whole set of each class."""
     for frame in frames:
-        bits, blobs = [], []
-        for text in frame["text"]:
-            grams = shingles(text, size)
-            odd = np.bincount((mix(grams) & U64(BITMAP - 1)).astype(np.int64), minlength=BITMAP) & 1
-            bits.append(np.packbits(odd.astype(np.uint8)).tobytes())
-            blobs.append(pack_sorted(grams))
-        yield pd.DataFrame({"x": frame["x"], "n": frame["n"], "bits": bits, "grams": blobs})
+        yield pd.DataFrame({"x": frame["x"], "grams": [pack_sorted(shingles(text, size)) for text in frame["text"]]})
 
 
 def linked(a: np.ndarray, b: np.ndarray, least: int) -> bool:
@@ -179,22 +187,14 @@ def linked(a: np.ndarray, b: np.ndarray, least: int) -> bool:
 
 def _verify(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
     """Pairs (a, b) whose sets reach the similarity, stored."""
-    left = sets.select(F.col("x").alias("a"), F.col("n").alias("na"), F.col("bits").alias("ba"), F.col("grams").alias("ga"))
-    right = sets.select(F.col("x").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bb"), F.col("grams").alias("gb"))
+    left = sets.select(F.col("x").alias("a"), F.col("grams").alias("ga"))
+    right = sets.select(F.col("x").alias("b"), F.col("grams").alias("gb"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            if not len(frame):
-                continue
-            ba = np.frombuffer(b"".join(frame["ba"]), np.uint8).reshape(len(frame), -1)
-            bb = np.frombuffer(b"".join(frame["bb"]), np.uint8).reshape(len(frame), -1)
-            apart = np.bitwise_count(ba ^ bb).sum(axis=1, dtype=np.int64)  # never more than the sets differ by
-            total = (frame["na"] + frame["nb"]).to_numpy(np.int64)
-            common = (total - apart) // 2
-            hopeful = 100 * common >= least * (total - common)
             known: dict[bytes, np.ndarray] = {}
             good = []
-            for a, b, ga, gb in frame.loc[hopeful, ["a", "b", "ga", "gb"]].itertuples(index=False, name=None):
+            for a, b, ga, gb in frame[["a", "b", "ga", "gb"]].itertuples(index=False, name=None):
                 if len(known) > 500:
                     known.clear()
                 for x, g in ((a, ga), (b, gb)):
@@ -204,13 +204,16 @@ def _verify(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
                     good.append((a, b))
             yield pd.DataFrame(good, columns=["a", "b"])
 
-    sized = pairs.join(left, "a").join(right, "b")
-    return store(sized.mapInPandas(run, "a binary, b binary"), "jaccard-links")
+    paired = pairs.join(left, "a").join(right, "b")
+    return store(paired.mapInPandas(run, "a binary, b binary"), "jaccard-links")
 
 
-def _close(one: str, other: str, least: int) -> Column:
-    """Whether two sizes allow the similarity."""
-    return F.least(one, other) * 100 >= F.greatest(one, other) * least
+def _hopeful(one: str, other: str, least: int) -> Column:
+    """Whether sizes and parity bits of two rows allow the similarity; names are prefixed by either string."""
+    n, m = F.col(f"{one}n"), F.col(f"{other}n")
+    apart = sum((F.bit_count(F.col(one + b).bitwiseXOR(F.col(other + b))) for b in BITS[1:]), F.bit_count(F.col(one + BITS[0]).bitwiseXOR(F.col(other + BITS[0]))))
+    common = F.shiftright(n + m - apart, 1)
+    return (F.least(n, m) * 100 >= F.greatest(n, m) * least) & (common * 100 >= (n + m - common) * least)
 
 
 def similarity_classes(
@@ -246,78 +249,98 @@ def similarity_classes(
 
     counts = count_tables(sketch.select("chunk", "grams").mapInPandas(ask, ASKED), "shingle_counts")
     prefixes = sketch.join(counts, "chunk").mapInPandas(lambda f: _prefixes(f, least), PREFIXES)
-    first = F.min(F.struct("id", "key"))
     classes = store(
-        prefixes.groupBy("x").agg(F.first("n").alias("n"), first.alias("at"), F.first("g").alias("g"), F.first("tokens").alias("tokens")),
+        prefixes.groupBy("x").agg(
+            F.min(F.struct("id", "key")).alias("at"), *[F.first(c).alias(c) for c in ("n", "g", "tokens", *BITS)]
+        ),
         "jaccard-classes",
     )
+    groups = classes.groupBy("g").agg(
+        F.min(F.struct("x", *BITS)).alias("head"),
+        F.count(F.lit(1)).alias("m"),
+        F.first("n").alias("n"),
+        F.first("tokens").alias("tokens"),
+    )
     groups = store(
-        classes.groupBy("g").agg(F.first("n").alias("n"), F.min("x").alias("head"), F.first("tokens").alias("tokens")),
-        "jaccard-groups",
+        groups.select("g", F.monotonically_increasing_id().alias("gid"), "m", "n", "head.*", "tokens"), "jaccard-groups"
     )
-    entries = groups.select("g", "n", "head", F.explode("tokens").alias("token"))
-    alone = entries.groupBy("token").agg(F.min("g").alias("p"), F.max("g").alias("q")).filter("p = q").select("token")
+    classes = store(classes.drop("tokens").join(groups.select("g", "gid"), "g").drop("g"), "jaccard-members")
+    entries = groups.select("gid", F.explode("tokens").alias("token"))
+    alone = entries.groupBy("token").agg(F.min("gid").alias("p"), F.max("gid").alias("q")).filter("p = q").select("token")
     entries = store(entries.join(alone, "token", "left_anti"), "jaccard-entries")
-    # classes that share a block or a group with another one need their sets
-    crowded = classes.groupBy("g").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("g")
-    needed = classes.join(entries.select("g").union(crowded).distinct(), "g").select(
-        "x", "n", F.col("at.id").alias("id"), F.col("at.key").alias("key")
+    groups = store(
+        groups.drop("g", "tokens").join(entries.select("gid").distinct().withColumn("open", F.lit(True)), "gid", "left"),
+        "jaccard-groups",
     )
-    texts = keyed.join(needed, ["id", "key"]).dropDuplicates(["id", "key"])  # rows repeated whole
-    sets = store(texts.mapInPandas(lambda f: _sets(f, size), "x binary, n long, bits binary, grams binary"), "jaccard-sets")
+
+    def fetch(pairs: DataFrame) -> DataFrame:
+        """Sets of the classes in pairs."""
+        wanted = pairs.select(F.col("a").alias("x")).union(pairs.select("b")).distinct()
+        at = classes.join(wanted, "x").select("x", F.col("at.id").alias("id"), F.col("at.key").alias("key"))
+        texts = keyed.join(at, ["id", "key"]).dropDuplicates(["id", "key"])  # rows repeated whole
+        return store(texts.mapInPandas(lambda f: _sets(f, size), "x binary, grams binary"), "jaccard-sets")
 
     # step 4: members with their group's first, groups with their block's first
-    inside = classes.join(groups.select("g", "head"), "g").filter("x <> head").select(F.col("x").alias("a"), F.col("head").alias("b"))
-    links = _verify(inside, sets, least)
-    labels = None
-    for shift in (0.0, 0.5):
-        band = F.floor(F.log("n") / np.log(100 / least) + shift)
-        blocks = entries.withColumn("band", band)
-        if labels is not None:
-            blocks = blocks.join(labels.select(F.col("node").alias("head"), "label"), "head", "left")
-            blocks = blocks.withColumn("label", F.coalesce("label", "head"))
-        else:
-            blocks = blocks.withColumn("label", F.col("head"))
-        lead = blocks.groupBy("token", "band").agg(F.min(F.struct("label", "head", "n")).alias("lead"), F.max("label").alias("top"))
-        lead = lead.filter("lead.label <> top").select("token", "band", "lead")
-        pairs = (
-            blocks.join(lead, ["token", "band"])
-            .filter((F.col("label") != F.col("lead.label")) & _close("n", "lead.n", least))
-            .select(F.least("head", "lead.head").alias("a"), F.greatest("head", "lead.head").alias("b"))
+    inside = (
+        classes.join(groups.filter("m > 1").select("gid", F.col("x").alias("b"), *[F.col(c).alias(f"h{c}") for c in ("n", *BITS)]), "gid")
+        .filter((F.col("x") != F.col("b")) & _hopeful("", "h", least))
+        .select(F.col("x").alias("a"), "b")
+    )
+    blocks = entries.join(groups.filter("open").drop("m", "open"), "gid")
+    first = [inside]
+    for shift in (0.0, 0.5):  # ranges of sizes that overlap by a half
+        banded = blocks.withColumn("band", F.floor(F.log("n") / np.log(100 / least) + shift))
+        lead = banded.groupBy("token", "band").agg(F.min(F.struct("x", "n", *BITS)).alias("lead"), F.max("x").alias("top"))
+        lead = lead.filter("lead.x <> top").select("token", "band", *[F.col(f"lead.{c}").alias(f"l{c}") for c in ("x", "n", *BITS)])
+        first.append(
+            banded.join(lead, ["token", "band"])
+            .filter((F.col("x") != F.col("lx")) & _hopeful("", "l", least))
+            .select(F.least("x", "lx").alias("a"), F.greatest("x", "lx").alias("b"))
             .distinct()
         )
-        links = links.unionByName(_verify(pairs, sets, least))
-        labels = components(links)
+    pairs = store(first[0].union(first[1]).union(first[2]).distinct(), "jaccard-pairs")
+    links = _verify(pairs, fetch(pairs), least)
+    labels = components(links)
 
     # step 5: what is left between components of a block
-    marked = classes.join(labels.select(F.col("node").alias("x"), "label"), "x", "left").select(
-        "x", "n", "g", F.coalesce("label", "x").alias("label")
+    marked = store(
+        classes.join(labels.select(F.col("node").alias("x"), "label"), "x", "left").select(
+            "x", "n", "gid", *BITS, F.coalesce("label", "x").alias("label")
+        ),
+        "jaccard-marked",
+    )
+    state = marked.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    # a group of one class has the bits of that class; a larger one passes the bound and expands
+    held = [F.when(F.col("m") == 1, F.col(c)).alias(c) for c in BITS]
+    blocks = store(
+        entries.join(groups.filter("open").select("gid", "n", *held).join(state, "gid"), "gid"), "jaccard-blocks"
     )
-    marked = store(marked, "jaccard-marked")
-    state = marked.groupBy("g").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    blocks = store(entries.select("token", "g", "n").join(state, "g"), "jaccard-blocks")
-    sizes = blocks.filter("low = high").groupBy("token", "low").agg(F.count(F.lit(1)).alias("m"))
-    major = sizes.groupBy("token").agg(F.max(F.struct("m", "low")).alias("most")).select("token", F.col("most.low").alias("major"))
-    blocks = blocks.join(major, "token", "left")
-    minor = blocks.filter((F.col("low") != F.col("high")) | (F.col("low") != F.col("major"))).select(
-        "token", F.col("g").alias("g1"), F.col("n").alias("n1"), F.col("low").alias("low1"), F.col("high").alias("high1")
+    sizes = blocks.filter("low = high").groupBy("token", "low").agg(F.count(F.lit(1)).alias("size"))
+    major = sizes.groupBy("token").agg(F.max(F.struct("size", "low")).alias("most")).select("token", F.col("most.low").alias("major"))
+    minor = (
+        blocks.join(major, "token", "left")
+        .filter(~F.coalesce((F.col("low") == F.col("high")) & (F.col("low") == F.col("major")), F.lit(False)))
+        .select("token", *[F.col(c).alias(f"o{c}") for c in ("gid", "n", "low", "high", *BITS)])
     )
+    together = (F.col("low") == F.col("high")) & (F.col("olow") == F.col("ohigh")) & (F.col("low") == F.col("olow"))
     group_pairs = (
         blocks.join(minor, "token")
-        .filter(~((F.col("low") == F.col("high")) & (F.col("low1") == F.col("high1")) & (F.col("low") == F.col("low1"))))
-        .filter(_close("n", "n1", least))
-        .select(F.least("g", "g1").alias("g1"), F.greatest("g", "g1").alias("g2"))
+        .filter(~together & (F.col("gid") != F.col("ogid")) & F.coalesce(_hopeful("", "o", least), F.lit(True)))
+        .filter(F.least("n", "on") * 100 >= F.greatest("n", "on") * least)
+        .select(F.least("gid", "ogid").alias("g1"), F.greatest("gid", "ogid").alias("g2"))
+    )
+    mixed = state.filter("low <> high").select(F.col("gid").alias("g1"), F.col("gid").alias("g2"))
+    one = marked.select(F.col("gid").alias("g1"), F.col("x").alias("a"), F.col("label").alias("la"), *[F.col(c).alias(f"p{c}") for c in ("n", *BITS)])
+    two = marked.select(F.col("gid").alias("g2"), F.col("x").alias("b"), F.col("label").alias("lb"), *[F.col(c).alias(f"q{c}") for c in ("n", *BITS)])
+    expanded = (
+        group_pairs.union(mixed).distinct().join(one, "g1").join(two, "g2")
+        .filter((F.col("la") != F.col("lb")) & _hopeful("p", "q", least))
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .distinct()
     )
-    mixed = state.filter("low <> high").select(F.col("g").alias("g1"), F.col("g").alias("g2"))
-    group_pairs = group_pairs.union(mixed).distinct()
-    one = marked.select(F.col("g").alias("g1"), F.col("x").alias("a"), F.col("label").alias("la"))
-    two = marked.select(F.col("g").alias("g2"), F.col("x").alias("b"), F.col("label").alias("lb"))
-    expanded = group_pairs.join(one, "g1").join(two, "g2").filter("la <> lb").select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-    ).distinct()
-    more = _verify(expanded, sets, least)
-    labels = components(links.unionByName(more)) if not more.isEmpty() else labels
+    rest = store(expanded.join(pairs, ["a", "b"], "left_anti"), "jaccard-pairs")  # those compared before are not linked
+    more = _verify(rest, fetch(rest), least)
+    labels = components(links.unionByName(more))
 
     return _with_components(members, labels, docs, id_col)
 

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from territory.llm.blocks import store
+from territory.llm.blocks import store, wrapped
 
 #: Words that a run of lines needs to be deleted when it repeats.
 RUN_WORDS = 50
@@ -139,9 +139,7 @@ def mark_repeats(
     later = repeated_windows(docs, least, id_col, text_col)
     runs = later.groupBy("id", "key").agg(F.collect_list(F.struct("first", "last")).alias("_runs"))
     id_, key, _ = _keyed(docs, id_col, text_col)
-    joined = docs.withColumns({"_id": id_, "_key": key}).join(
-        runs.withColumnsRenamed({"id": "_id", "key": "_key"}), ["_id", "_key"], "left"
-    )
+    joined = wrapped(docs, id_, key, F.col(text_col).alias("text")).join(runs, ["id", "key"], "left")
 
     @F.pandas_udf("kept_text string, n_lines long, n_removed long, n_runs long")
     def rewrite(texts: pd.Series, found: pd.Series) -> pd.DataFrame:
@@ -160,8 +158,8 @@ def mark_repeats(
             out.append(("\n".join(left), len(solid), len(gone), len(spans)))
         return pd.DataFrame(out, columns=new)
 
-    made = joined.withColumn("_made", rewrite(F.col(text_col), F.col("_runs")))
-    return made.select(*docs.columns, *(F.col(f"_made.{n}").alias(n) for n in new))
+    made = joined.withColumn("_made", rewrite("text", "_runs"))
+    return made.select("_doc.*", *(F.col(f"_made.{n}").alias(n) for n in new))
 
 
 def drop_repeats(
@@ -173,6 +171,7 @@ def drop_repeats(
     Columns stay the same; a count of characters beside the text is the
     caller's to renew.
     """
-    marked = mark_repeats(docs, least, id_col, text_col)
+    rows = wrapped(docs, docs[id_col], docs[text_col])
+    marked = mark_repeats(rows, least, id_col, text_col)
     left = marked.filter((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines")))
-    return left.withColumn(text_col, F.col("kept_text")).select(*docs.columns)
+    return left.select(F.col("_doc").withField(f"`{text_col}`", F.col("kept_text")).alias("_doc")).select("_doc.*")

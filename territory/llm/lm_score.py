@@ -40,7 +40,7 @@ from territory.llm.blocks import (
 from territory.llm.subword import LOWER, stretches, word_hashes
 
 BACKOFF = 0.4
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 
 STATE = "chunk long, ids array<string>, sizes binary, vocabulary binary, words binary, n long"
 SCORES = "id string, n_words long, n_trigrams long, n_bigrams long, n_unigrams long, n_unseen long, log_score double"
@@ -121,7 +121,8 @@ def _score(row, total_words: int, backoff: float, leave_out: bool) -> pd.DataFra
     _, _, uni_at, bi_ends, bi_at = chunk.short()
     short = totals_of(row.lm_short)
     n = len(chunk.words)
-    uni, bi, tri = short[uni_at][chunk.words], np.zeros(n, np.int64), np.zeros(n, np.int64)
+    uni, bi = short[uni_at][chunk.words], np.zeros(n, np.int64)
+    tri = (chunk.place >= 2).astype(np.int64)  # one that was not asked for occurs here only
     bi[bi_ends] = short[bi_at]
     _, _, tri_ends, tri_at = chunk.long(bi)
     tri[tri_ends] = totals_of(row.lm_long)[tri_at]
@@ -129,6 +130,9 @@ def _score(row, total_words: int, backoff: float, leave_out: bool) -> pd.DataFra
     if leave_out:
         uni = uni - _own(chunk.document, chunk.words)
         bi[bi_ends] -= _own(chunk.document[bi_ends], bi_at)
+        asked = np.zeros(n, bool)
+        asked[tri_ends] = True
+        tri[~asked] = 0
         tri[tri_ends] -= _own(chunk.document[tri_ends], tri_at)
         words_elsewhere -= chunk.sizes
     context2, context1 = np.zeros(n, np.int64), np.zeros(n, np.int64)

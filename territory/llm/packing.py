@@ -44,6 +44,7 @@ class WordIds(dict):
     def __init__(self, tokenizer):
         super().__init__()
         self.tokenizer = tokenizer
+        self.kind = np.dtype("<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         (self.line_end,) = tokenizer.encode("\n", add_special_tokens=False).ids
 
     @staticmethod
@@ -79,32 +80,32 @@ class WordIds(dict):
         for start in range(0, len(plain), LINES):
             block = plain[start : start + LINES]
             text = "\n".join(block) + "\n"
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind)
             ends = np.flatnonzero(ids == self.line_end)
             if len(ends) != len(block):
                 continue  # left to the others below
-            raw, begin = ids.tobytes(), 0
-            for part, end in zip(block, (ends * 4).tolist(), strict=True):
+            raw, begin, width = ids.tobytes(), 0, self.kind.itemsize
+            for part, end in zip(block, (ends * width).tolist(), strict=True):
                 self[part] = raw[begin:end]
-                begin = end + 4
+                begin = end + width
         rest = [part for part in todo if part not in self]
         for part, code in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False), strict=True):
-            self[part] = np.array(code.ids, np.uint32).tobytes()
+            self[part] = np.array(code.ids, self.kind).tobytes()
         for part, (head, tail) in ended.items():
             self[part] = self[head] + self[tail]
 
-    def batch(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """The ids of every text; the distinct parts that are still unknown are encoded first."""
+    def batch(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of every text as little-endian integers; distinct parts that are still unknown are encoded first."""
         if len(self) > REMEMBERED_WORDS:
             self.clear()
         split = []
         for text in texts:
             simple = "\x00" not in text and _single_spaces(text)
             split.append(self.plain_parts(text) if simple else self.parts(text))
-        self.learn(list({part for parts in split for part in parts if part not in self}))
+        self.learn([part for part in set().union(*split) if part not in self])
         look = self.__getitem__
         for parts in split:
-            yield np.frombuffer(b"".join(map(look, parts)), np.uint32)
+            yield b"".join(map(look, parts))
 
 
 #: A part without white space but for one blank before it.
@@ -144,19 +145,16 @@ def token_rows(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
 
     Columns: ``_part`` (partition), ``_before`` (tokens before it there),
     ``_id``, ``n`` and ``ids`` (little-endian unsigned integers of 16 bits if
-    all fit, else 32). ``tokenizer_path`` names a file that every worker has.
+    the vocabulary fits, else 32). ``tokenizer_path`` names a file that every worker has.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words, part, before = word_ids(tokenizer_path), TaskContext.get().partitionId(), 0
         for frame in chunks(frames, byte_sizes("text"), CHUNK_BYTES):
             texts = frame["text"].where(frame["text"].notna(), "").tolist()
-            counts, blobs = [], []
-            for ids in words.batch(texts):
-                ids = np.append(ids, np.uint32(END_ID))
-                counts.append(len(ids))
-                blobs.append((ids.astype("<u2") if ids.max() < 1 << 16 else ids.astype("<u4")).tobytes())
-            n = np.array(counts, np.int64)
+            end = np.array([END_ID], words.kind).tobytes()
+            blobs = [ids + end for ids in words.batch(texts)]
+            n = np.array([len(blob) // words.kind.itemsize for blob in blobs], np.int64)
             yield pd.DataFrame(
                 {"_part": part, "_before": before + np.cumsum(n) - n, "_id": frame["id"], "n": n, "ids": blobs}
             )

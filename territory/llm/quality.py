@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from territory.llm import subword
+from territory.llm.blocks import wrapped
 
 FEATURES = subword.Features(grams=(3, 4), words=True, repeats=True, bits=16)
 #: Labelled rows that training takes at most (about).
@@ -75,4 +76,5 @@ def score(docs: DataFrame, model: subword.Model, text_col: str = "text", name: s
 
 def accept(docs: DataFrame, model: subword.Model, text_col: str = "text", least: float = ACCEPT) -> DataFrame:
     """The rows of ``docs`` whose score reaches ``least``, with the columns of ``docs``."""
-    return score(docs, model, text_col, "_quality").filter(F.col("_quality") >= least).drop("_quality")
+    rows = wrapped(docs, docs[text_col])
+    return score(rows, model, text_col, "_quality").filter(F.col("_quality") >= least).select("_doc.*")

@@ -31,13 +31,30 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from territory.llm.blocks import U64, bucket_bounds, buckets_of, byte_sizes, chunks, join_hashes, mix, pack, pack_sorted, store, unpack, unpack_sorted
+from territory.llm.blocks import (
+    U64,
+    bucket_bounds,
+    buckets_of,
+    byte_sizes,
+    chunks,
+    join_hashes,
+    mix,
+    pack,
+    pack_sorted,
+    store,
+    unpack,
+    unpack_sorted,
+    wrapped,
+)
 
 LENGTH = 100
 GRAM = 32
 CHUNK_BYTES = 8 << 20
 #: Windows that are hashed at a time.
 STRETCH = 1 << 18
+#: Buckets of gram hashes per shuffle partition, in step 2 and in step 3: a bucket is one
+#: group in memory, and ranking takes some 100 bytes for each byte of context.
+ANCHOR_BUCKETS, CONTEXT_BUCKETS = 4, 16
 #: Different contexts of one gram beyond which its windows are dealt out one by one.
 SPREAD_OVER = 20_000
 #: A null id comes after all others.
@@ -351,7 +368,8 @@ def repeated_runs(
 
     The runs of a document may overlap and come in several rows.
     """
-    buckets = buckets_of(docs.sparkSession)
+    partitions = buckets_of(docs.sparkSession)
+    buckets, fine = ANCHOR_BUCKETS * partitions, CONTEXT_BUCKETS * partitions
     keyed = docs.select(*_keyed(docs, id_col, text_col))
     rows = keyed.mapInPandas(lambda f: _chunk_rows(f, length, gram, buckets), ROWS)
     salted = rows.withColumn("part", F.when(F.col("bucket") < 0, F.xxhash64("id") % 4096).otherwise(0))
@@ -364,7 +382,7 @@ def repeated_runs(
         .groupBy("id", "key")
         .agg(F.collect_list(F.struct("first", "last", "gram", "spread")).alias("wanted"))
     )
-    fetched = keyed.join(wanted, ["id", "key"]).mapInPandas(lambda f: _fetch(f, length, buckets), CONTEXTS)
+    fetched = keyed.join(wanted, ["id", "key"]).mapInPandas(lambda f: _fetch(f, length, fine), CONTEXTS)
     compared = store(fetched.groupBy("bucket").applyInPandas(lambda f: _compare(f, length), RUNS), "repeat-compared")
     return settled.unionByName(compared)
 
@@ -389,9 +407,7 @@ def mark_repeats(
     runs = repeated_runs(docs, length, gram, id_col, text_col)
     grouped = runs.groupBy("id", "key").agg(F.collect_list(F.struct("first", "last")).alias("_runs"))
     id_, key, _ = _keyed(docs, id_col, text_col)
-    joined = docs.withColumns({"_id": id_, "_key": key}).join(
-        grouped.withColumnsRenamed({"id": "_id", "key": "_key"}), ["_id", "_key"], "left"
-    )
+    joined = wrapped(docs, id_, key, F.col(text_col).alias("text")).join(grouped, ["id", "key"], "left")
 
     @F.pandas_udf("kept binary, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>")
     def cut(texts: pd.Series, found: pd.Series) -> pd.DataFrame:
@@ -409,5 +425,5 @@ def mark_repeats(
             out.append((kept, len(data), len(data) - len(kept), [{"start": a, "end": b} for a, b in spans]))
         return pd.DataFrame(out, columns=new)
 
-    made = joined.withColumn("_made", cut(F.col(text_col), F.col("_runs")))
-    return made.select(*docs.columns, *(F.col(f"_made.{n}").alias(n) for n in new))
+    made = joined.withColumn("_made", cut("text", "_runs"))
+    return made.select("_doc.*", *(F.col(f"_made.{n}").alias(n) for n in new))
