@@ -330,6 +330,20 @@ def _checks() -> str:
         return f"select count(*) from {t} where {c}"
 
     checks = {
+        "stage_sales_code_not_null": nulls("sales", "code_commune"),
+        "stage_sale_stats_code_not_null": "select 0",
+        "stage_communes_code_not_null": nulls("geo", "code_commune"),
+        "stage_communes_code_unique": repeats("geo", "code_commune"),
+        "stage_income_code_not_null": nulls("filo", "code_commune"),
+        "stage_population_code_not_null": nulls("pop", "code_commune"),
+        "stage_population_age_code_not_null": nulls("ages", "code_commune"),
+        "stage_rents_code_not_null": nulls("rents", "code_commune"),
+        "stage_crime_total_code_not_null": nulls("crime_rate", "code_commune"),
+        "stage_crime_detail_code_not_null": nulls("det", "code_commune"),
+        "ages_total_not_null": nulls(age, "population_totale"),
+        "mart_sales_not_null": nulls(acc, "nb_ventes"),
+        "mart_price_not_null": nulls(acc, "prix_median"),
+        "mart_price_m2_not_null": nulls(acc, "prix_m2_median"),
         "communes_code_not_null": nulls(geo, "code_commune"),
         "communes_code_unique": repeats(geo, "code_commune"),
         "communes_zone_not_null": nulls(geo, "zone_idf"),

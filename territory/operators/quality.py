@@ -76,47 +76,6 @@ def count_violations(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
 # --- rules on the models ----------------------------------------------------
 
 
-def negative_crime_rate(accessibility: DataFrame) -> DataFrame:
-    rows = accessibility.select("code_commune", "annee", "taux_delinquance_pour_mille")
-    return check_expression(rows, F.col("taux_delinquance_pour_mille") < 0)
-
-
-def rent_not_positive(accessibility: DataFrame) -> DataFrame:
-    rows = accessibility.select("code_commune", "loyer_m2_median")
-    return check_expression(rows, F.col("loyer_m2_median") <= 0)
-
-
-def young_share_out_of_range(ages: DataFrame) -> DataFrame:
-    rows = ages.select("code_commune", "part_25_39")
-    return check_expression(rows, ~F.col("part_25_39").between(0, 1))
-
-
-def age_shares_inconsistent(ages: DataFrame) -> DataFrame:
-    rows = ages.select("code_commune", "part_25_39", "part_60_plus")
-    off_range = ~F.col("part_60_plus").between(0, 1)
-    too_much = F.col("part_25_39") + F.col("part_60_plus") > 1.01
-    return check_expression(rows, off_range | too_much)
-
-
-def price_m2_not_positive(accessibility: DataFrame) -> DataFrame:
-    rows = accessibility.select("code_commune", "annee", "prix_m2_median")
-    return check_expression(rows, F.col("prix_m2_median") <= 0)
-
-
-def purchase_ratio_implausible(accessibility: DataFrame) -> DataFrame:
-    """Outside 1-150 years of income where at least ten sales were seen."""
-    ratio = F.col("ratio_achat_revenu_annuel")
-    rows = accessibility.select(
-        "code_commune", "nom_commune", "annee", "ratio_achat_revenu_annuel", "nb_ventes"
-    )
-    return check_expression(rows, (F.col("nb_ventes") >= 10) & ~ratio.between(1, 150))
-
-
-def median_area_implausible(accessibility: DataFrame) -> DataFrame:
-    rows = accessibility.select("code_commune", "annee", "surface_mediane")
-    return check_expression(rows, ~F.col("surface_mediane").between(5, 500))
-
-
 def _outside(column: str, low: float, high: float) -> Column:
     return ~F.col(column).between(low, high)
 
@@ -134,6 +93,15 @@ def check_all(models: Mapping[str, DataFrame]) -> DataFrame:
     ratio = (F.col("nb_ventes") >= 10) & _outside("ratio_achat_revenu_annuel", 1, 150)
     shares = _outside("part_60_plus", 0, 1) | (F.col("part_25_39") + F.col("part_60_plus") > 1.01)
     row_rules = {
+        "sales": {"stage_sales_code_not_null": missing("code_commune")},
+        "sale_stats": {"stage_sale_stats_code_not_null": missing("code_geo")},
+        "communes": {"stage_communes_code_not_null": missing("code_commune")},
+        "income_stage": {"stage_income_code_not_null": missing("code_commune")},
+        "population": {"stage_population_code_not_null": missing("code_commune")},
+        "population_age": {"stage_population_age_code_not_null": missing("code_commune")},
+        "rents": {"stage_rents_code_not_null": missing("code_commune")},
+        "crime_total": {"stage_crime_total_code_not_null": missing("code_commune")},
+        "crime_detail": {"stage_crime_detail_code_not_null": missing("code_commune")},
         "communes_region": {
             "communes_code_not_null": missing("code_commune"),
             "communes_zone_not_null": missing("zone_idf"),
@@ -147,6 +115,7 @@ def check_all(models: Mapping[str, DataFrame]) -> DataFrame:
         "income": {"income_code_not_null": missing("code_commune")},
         "age_structure": {
             "ages_code_not_null": missing("code_commune"),
+            "ages_total_not_null": missing("population_totale"),
             "young_share_range": _outside("part_25_39", 0, 1),
             "age_shares_consistent": shares,
         },
@@ -155,6 +124,9 @@ def check_all(models: Mapping[str, DataFrame]) -> DataFrame:
             "mart_year_not_null": missing("annee"),
             "mart_zone_not_null": missing("zone_idf"),
             "mart_zone_accepted": zone,
+            "mart_sales_not_null": missing("nb_ventes"),
+            "mart_price_not_null": missing("prix_median"),
+            "mart_price_m2_not_null": missing("prix_m2_median"),
             "crime_rate_positive": F.col("taux_delinquance_pour_mille") < 0,
             "rent_positive": F.col("loyer_m2_median") <= 0,
             "price_m2_positive": F.col("prix_m2_median") <= 0,
@@ -172,7 +144,10 @@ def check_all(models: Mapping[str, DataFrame]) -> DataFrame:
         },
     }
     geo = models["communes_region"]
-    others = {"communes_code_unique": check_unique(geo, "code_commune")}
+    others = {
+        "stage_communes_code_unique": check_unique(models["communes"], "code_commune"),
+        "communes_code_unique": check_unique(geo, "code_commune"),
+    }
     for prefix, name in (("income", "income"), ("ages", "age_structure")):
         others[f"{prefix}_code_unique"] = check_unique(models[name], "code_commune")
     for prefix, name in (
@@ -181,3 +156,37 @@ def check_all(models: Mapping[str, DataFrame]) -> DataFrame:
         others[f"{prefix}_code_known"] = check_relationship(models[name], geo, "code_commune")
     results = [count_violations(models[name], rules) for name, rules in row_rules.items()]
     return reduce(DataFrame.unionByName, [*results, row_counts(others)])
+
+
+class QualityError(Exception):
+    """Rules that do not hold, with the number of violations of each."""
+
+    def __init__(self, violations: Mapping[str, int]):
+        super().__init__(", ".join(f"{rule}: {n}" for rule, n in sorted(violations.items())))
+        self.violations = dict(violations)
+
+
+def gate(counts: DataFrame) -> DataFrame:
+    """The counts of ``check_all``, computed once; raises if any rule is violated."""
+    rows = counts.collect()  # one row per rule
+    violations = {r["table_name"]: r["n"] for r in rows if r["n"]}
+    if violations:
+        raise QualityError(violations)
+    return counts.sparkSession.createDataFrame(rows, counts.schema)
+
+
+#: Days without new data after which a source is reported, and after which it is refused.
+FRESHNESS = {"sales": ("date_mutation", 90, 180)}
+
+
+def check_sources(models: Mapping[str, DataFrame], today: Column) -> DataFrame:
+    """Freshness of the dated sources: table_name, last_date, age_days, status.
+
+    Only sales carry a date of their own; the other sources are as old as
+    their load, which a refresh makes new.
+    """
+    found = [
+        check_freshness(models[name], column, today, warn, error).select(F.lit(name).alias("table_name"), "*")
+        for name, (column, warn, error) in FRESHNESS.items()
+    ]
+    return reduce(DataFrame.unionByName, found)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,9 +12,10 @@ def checkpoint_folder(spark: SparkSession) -> str:
     """Folder for checkpoints and intermediate tables, taken from the session.
 
     The cluster names a shared folder in ``spark.checkpoint.dir``. Only a
-    local session without that setting gets a folder of its own; on a
-    cluster a machine-local folder would be lost with its executor, so a
-    missing setting is an error there.
+    session whose tasks run in the driver's own process gets a folder beside
+    its warehouse without that setting; with executors elsewhere a
+    machine-local folder would be lost with them, so a missing setting is an
+    error there.
     """
     context = spark.sparkContext
     current = context.getCheckpointDir()
@@ -22,9 +23,9 @@ def checkpoint_folder(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        configured = tempfile.mkdtemp(prefix="territory-checkpoint-")
+        configured = f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoint"
     context.setCheckpointDir(configured)
     return configured
 

@@ -19,12 +19,14 @@ def build_models(
     limits: S.Thresholds = S.Thresholds(),
     sales: DataFrame | None = None,
     store: bool = True,
+    tension: bool = True,
 ) -> dict[str, DataFrame]:
     """All models by name, from the raw tables or an already loaded sales table.
 
     With ``store`` the tables that several others read (communes, income, age
     structure, prices and the accessibility mart) are computed once into the
-    checkpoint folder. Everything else stays lazy.
+    checkpoint folder. So is the tension ranking's score, which is ranked
+    twice; without ``tension`` it is left out. Everything else stays lazy.
     """
     def keep(df: DataFrame) -> DataFrame:
         return materialise(df) if store else df
@@ -43,6 +45,12 @@ def build_models(
     prices = keep(I.prices_by_commune_year(sales, region, limits))
     mart = keep(M.accessibility(prices, income, ages, T.crime_total(raw["crime"]), limits))
     return {
+        "sale_stats": T.clean_sale_stats(raw["sale_stats"]),
+        "income_stage": T.clean_income(raw["income"]),
+        "population": T.clean_population(raw["population"]),
+        "population_age": T.clean_population_age(raw["population_age"]),
+        "rents": T.clean_rents(raw["rents"]),
+        "crime_total": T.crime_total(raw["crime"]),
         "sales": sales,
         "communes": communes,
         "communes_region": region,
@@ -52,7 +60,7 @@ def build_models(
         "accessibility": mart,
         "zones": M.zone_summary(mart),
         "evolution": M.price_evolution(prices, region, limits),
-        "tension": M.tension(mart),
+        **({"tension": M.tension(mart)} if tension else {}),
         "crime_detail": T.crime_detail(raw["crime"]),
         "city_rooms": M.city_prices_by_rooms(sales, limits),
         "diplomas": T.diplomas(raw["diplomas"]),

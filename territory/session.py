@@ -7,7 +7,6 @@ from pyspark.sql import SparkSession
 MB = 1 << 20
 SCAN_BYTES = 256 * MB
 SHUFFLE_BYTES = 192 * MB
-MOST_PARTITIONS = 50_000
 
 
 def scale_conf(input_bytes: int, cores: int) -> dict[str, str]:
@@ -19,7 +18,7 @@ def scale_conf(input_bytes: int, cores: int) -> dict[str, str]:
     splits only when there are enough of them to keep all cores busy.
     """
     by_size = -(-input_bytes // SHUFFLE_BYTES)
-    partitions = max(1, min(MOST_PARTITIONS, max(by_size, 2 * cores)))
+    partitions = max(1, by_size, 2 * cores)
     per_core = max(16 * MB, input_bytes // max(1, 2 * cores))
     return {
         "spark.sql.shuffle.partitions": str(partitions),

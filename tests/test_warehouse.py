@@ -2,10 +2,12 @@
 
 import gzip
 import json
+from pathlib import Path
 
 import pytest
 
 from territory import schemas
+from territory.operators import quality
 from territory.plans import serving, warehouse
 from territory.sources import records
 from territory.session import folder_bytes, scale_conf
@@ -71,7 +73,7 @@ def folder(tmp_path_factory):
 def test_two_refreshes(spark, folder, tmp_path):
     target = str(tmp_path / "warehouse")
     first = {r["table_name"]: r["n"] for r in warehouse.refresh(spark, str(folder), target).collect()}
-    assert len(first) == 31 and not any(first.values())
+    assert len(first) == 45 and not any(first.values())
     tables = {n: spark.read.parquet(f"{target}/v1/tables/{n}") for n in ("accessibility", "velib_stations", "metro_stations", "cyclable_paris")}
     assert sorted((r["code_commune"], r["nb_ventes"], r["taux_delinquance_pour_mille"]) for r in tables["accessibility"].collect()) == [
         ("75101", 6, 5.0), ("92001", 6, None)
@@ -104,9 +106,29 @@ def test_two_refreshes(spark, folder, tmp_path):
     assert serving.city_transit(cards).count() == 1
 
 
+def test_bad_input_is_not_published(spark, folder, tmp_path):
+    target = str(tmp_path / "warehouse")
+    warehouse.refresh(spark, str(folder), target)
+    before = sorted(p.relative_to(target) for p in Path(target).rglob("*"))
+    rents = folder / "loyers_communes_2025.csv"
+    good = rents.read_bytes()
+    rents.write_bytes(good.replace(b";30,5;", b";-30,5;"))
+    with pytest.raises(quality.QualityError) as bad:
+        warehouse.refresh(spark, str(folder), target, version=2)
+    rents.write_bytes(good)
+    assert "rent_positive" in bad.value.violations
+    assert not (Path(target) / "v2" / "tables").exists()
+    assert [p for p in sorted(q.relative_to(target) for q in Path(target).rglob("*")) if p.parts[0] == "v1"] == before
+
+
+def test_stale_sales_are_refused(spark, folder, tmp_path):
+    with pytest.raises(quality.QualityError, match="sales_fresh"):
+        warehouse.refresh(spark, str(folder), str(tmp_path / "warehouse"), today="2031-01-01")
+
+
 def test_settings_follow_the_input(spark, folder):
     assert folder_bytes(spark, str(folder)) > 0
     small, large = scale_conf(10**9, 8), scale_conf(100 * 10**12, 4000)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
-    assert int(large["spark.sql.shuffle.partitions"]) == 50000
+    assert int(large["spark.sql.shuffle.partitions"]) == -(-100 * 10**12 // (192 << 20))
     assert int(large["spark.sql.files.maxPartitionBytes"]) == 256 << 20
