@@ -518,6 +518,9 @@ OPERATORS: dict[str, str] = {
     "csv_many_headers": """
         select o_orderkey, o_totalprice, o_orderstatus,
                case when o_orderstatus = 'O' then o_orderpriority end as o_orderpriority from orders""",
+    "csv_many_headers_latin1": """
+        select c_custkey as k, c_name as name, cast(null as int) as nation from customer union all
+        select c_custkey, null, c_nationkey from customer""",
     "csv_typed": "select p_partkey, p_brand, p_size, p_retailprice from part",
     "csv_export": "select code_commune, annee, prix_median, loyer_m2_median from acc",
     "serving_copies": """

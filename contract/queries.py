@@ -381,6 +381,17 @@ def csv_many_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def csv_many_headers_latin1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gzip files in a legacy encoding, with accents in differing headers."""
+    people = load(spark, sf_dir, "customer").select(F.col("c_custkey").alias("clé"), F.col("c_name").alias("libellé"), "c_nationkey")
+    one, two = scratch(spark, sf_dir, "latin_headers_1"), scratch(spark, sf_dir, "latin_headers_2")
+    for path, frame in ((one, people.drop("c_nationkey")), (two, people.select("c_nationkey", "clé"))):
+        frame.write.mode("overwrite").options(header=True, sep=";", encoding="ISO-8859-1", compression="gzip").csv(path)
+    files = [f for path in (one, two) for f in spark.read.text(path).inputFiles()]
+    back = text.read_many_by_name(spark, files, sep=";", encoding="ISO-8859-1", spread=text.spread_of(spark, files))
+    return back.select(F.col("clé").cast("bigint").alias("k"), F.col("libellé").alias("name"), F.col("c_nationkey").cast("int").alias("nation"))
+
+
 def csv_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, sf_dir, "typed")
     part = load(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size", "p_retailprice")
@@ -711,7 +722,7 @@ OPERATORS: dict[str, Query] = {
         age_group_shares, rate_per_thousand_user, category_rate_day, star_enrichment,
         region_restriction, latest_period, top_k_members, lookup_last_record,
         having_small_groups, distinct_by_user, zone_weighted_means, education_shares,
-        incremental_orders, union_orders_by_name, csv_gzip_latin1, csv_many_headers, csv_typed,
+        incremental_orders, union_orders_by_name, csv_gzip_latin1, csv_many_headers, csv_many_headers_latin1, csv_typed,
         csv_export, serving_copies, versioned_load, geojson_lines, geojson_zone_documents,
         geojson_zone_lines, raw_full_replace, view_layer, table_layer, csv_ragged, records_stations,
         records_stops, records_counters, optional_source, sales_incremental,

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from territory.operators.joins import exclude
 
 
+#: Folder name for rows without a date.
+NO_YEAR = "none"
+
+
 def newer_than_stored(existing: DataFrame, incoming: DataFrame, ts: Column | str, stored: str) -> DataFrame:
     """Incoming rows dated strictly after the stored maximum; all of them when
     nothing is stored yet."""
@@ -31,21 +37,62 @@ def incremental_load(
     return replace_by_key(existing, newer_than_stored(existing, incoming, ts, ts), key)
 
 
+def _manifest(spark: SparkSession, root: str, version: int) -> dict[str, str]:
+    """Folder of each year of a version: one entry per year."""
+    rows = spark.read.parquet(f"{root}/manifest/v{version}").collect()
+    return {r["year"]: r["folder"] for r in rows}
+
+
+def _read(spark: SparkSession, root: str, folders: dict[str, str]) -> DataFrame:
+    """Rows of some years, each with its year."""
+    frames = [
+        spark.read.parquet(f"{root}/{folder}").withColumn("_year", F.lit(year)) for year, folder in folders.items()
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def read_version(spark: SparkSession, root: str, version: int) -> DataFrame:
+    """The rows of a version, whichever loads wrote them."""
+    return _read(spark, root, _manifest(spark, root, version)).drop("_year")
+
+
 def load_version(
     spark: SparkSession, root: str, incoming: DataFrame, ts: str, key: str, version: int
 ) -> DataFrame:
-    """Write ``root/v<version>`` from ``root/v<version - 1>`` and the new rows.
+    """Version ``version`` of the table under ``root``: the previous one and the new rows.
 
-    A frame cannot overwrite the files it reads, so each load writes a new
-    folder; the previous one stays until the caller drops it. The first load
-    has version 1. Rows are stored by year, so a reader of recent years skips
-    the other folders.
+    Rows lie in a folder per year, and a version is a list of such folders. A
+    load takes the watermark from the newest year, finds the years that the
+    new rows or the rows they replace lie in (for the latter only the key
+    column is read), and writes these years anew; all others are listed as
+    they are, so a daily load costs what it touches. Nothing that an older
+    version lists is changed. The first load has version 1; a load that is
+    repeated gives the same version again.
     """
-    if version > 1:
-        existing = spark.read.parquet(f"{root}/v{version - 1}")
-        state = incremental_load(existing, incoming, ts, key)
+    year = F.coalesce(F.year(ts).cast("string"), F.lit(NO_YEAR))
+    stored = _manifest(spark, root, version - 1) if version > 1 else {}
+    dated = sorted(y for y in stored if y != NO_YEAR)
+    if dated:
+        mark = _read(spark, root, {dated[-1]: stored[dated[-1]]}).agg(F.max(ts)).first()[0]
+        incoming = incoming.filter(F.col(ts) > F.lit(mark))
+    new = incoming.withColumn("_year", year)
+    touched = set(stored)
+    if stored:
+        old_keys = _read(spark, root, stored).select(key, "_year")
+        replaced = old_keys.join(incoming.select(key).distinct(), key, "left_semi").select("_year")
+        touched = {r["_year"] for r in replaced.union(new.select("_year")).distinct().collect()}  # a row per year
+    again = {y: folder for y, folder in stored.items() if y in touched}
+    state = replace_by_key(_read(spark, root, again), new, key) if again else new
+    if stored and not touched:
+        folders = stored
     else:
-        state = incoming
-    target = f"{root}/v{version}"
-    state.withColumn("_year", F.year(ts)).write.mode("overwrite").partitionBy("_year").parquet(target)
-    return spark.read.parquet(target).drop("_year")
+        data = f"data/v{version}"
+        # Rows of a year meet in tasks of the advised size, so a year is a few large files.
+        state.hint("rebalance", "_year").write.mode("overwrite").partitionBy("_year").parquet(f"{root}/{data}")
+        written = spark.read.option("recursiveFileLookup", False).schema("_year string").parquet(f"{root}/{data}")
+        years = [r["_year"] for r in written.distinct().collect()]
+        folders = {y: f for y, f in stored.items() if y not in touched} | {y: f"{data}/_year={y}" for y in years}
+    rows = sorted(folders.items())
+    manifest = spark.createDataFrame(rows, "year string, folder string")
+    manifest.coalesce(1).write.mode("overwrite").parquet(f"{root}/manifest/v{version}")
+    return read_version(spark, root, version)

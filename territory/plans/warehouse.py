@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from territory import schemas, sinks
 from territory import settings as S
 from territory.functions import clean as C
-from territory.operators import geo, quality
+from territory.operators import geo, incremental, quality
 from territory.operators.storage import materialise
 from territory.plans import mobility, staging
 from territory.plans.build import build_models
@@ -48,7 +48,7 @@ def raw_sales(
         print("sales: no file, skipped")
         return spark.createDataFrame([], schemas.raw_schema("sales"))
     empty = spark.createDataFrame([], schemas.raw_schema("sales"))
-    return text.union_by_name([empty, text.read_many_by_name(spark, found)])
+    return text.union_by_name([empty, text.read_many_by_name(spark, found, spread=text.spread_of(spark, found))])
 
 
 def raw_tables(
@@ -120,8 +120,9 @@ def refresh(
 ) -> DataFrame:
     """Rebuild all result tables from the files in ``folder``.
 
-    Everything goes to ``target/v<version>``: the sales table, which extends
-    that of the previous version, the result tables and their CSV copies. An
+    Everything goes to ``target/v<version>``: the result tables and their CSV
+    copies. Sales are loaded into ``target/sales``, where a version rewrites
+    only the years that it touches. An
     interrupted refresh leaves the previous version as it is, so readers move
     on once the new one is complete. Returns the violation count of every
     data-quality rule.
@@ -131,11 +132,10 @@ def refresh(
     ``QualityError`` and no result table is written.
     """
     raw = raw_tables(spark, folder, **scope)
-    root, stored = f"{target}/v{version}", None
-    if version > 1:
-        stored = spark.read.parquet(f"{target}/v{version - 1}/sales").drop("_year")
-    sales = staging.load_sales(stored, raw["sales"]).withColumn("_year", F.col("annee"))
-    loaded = sinks.write_parquet(sales, f"{root}/sales", by="_year").drop("_year")
+    root = f"{target}/v{version}"
+    loaded = incremental.load_version(
+        spark, f"{target}/sales", staging.clean_sales(raw["sales"]), "date_mutation", "id_mutation", version
+    )
     models = build_models(raw, limits, sales=loaded)
     results = {
         name: models[name]

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,16 +33,18 @@ def read_text_table(
     encoding: str = "UTF-8",
     skip_malformed: bool = False,
     spread: int | None = None,
+    multiline: bool = False,
 ) -> DataFrame:
     """Header file with every column as text; gzip is read by its suffix.
 
     Short rows are padded with nulls, or dropped when ``skip_malformed``.
-    A gzip file is one task: ``spread`` redistributes its rows when few large
-    archives would otherwise keep most tasks idle.
+    A gzip file is one task: ``spread`` deals its rows to that many tasks when
+    few large archives would otherwise keep most tasks idle. A quoted field may
+    hold line breaks with ``multiline``; a file is then one task too.
     """
     reader = spark.read.options(
         header=True, inferSchema=False, sep=sep, quote=quote, escape=quote, encoding=encoding,
-        mode="DROPMALFORMED" if skip_malformed else "PERMISSIVE",
+        mode="DROPMALFORMED" if skip_malformed else "PERMISSIVE", multiLine=multiline,
     )
     if skip_malformed:
         # A row can only be checked against the header if all of it is parsed.
@@ -52,34 +53,30 @@ def read_text_table(
     return df.repartition(spread) if spread else df
 
 
-def _headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """First line of each file; a few bytes per file are read."""
-    from pyarrow import fs
-
-    for batch in batches:
-        lines = []
-        for path in batch["path"]:
-            system, name = (
-                fs.FileSystem.from_uri(path) if ":/" in path else (fs.LocalFileSystem(), path)
-            )
-            with system.open_input_stream(name, compression="detect") as stream:
-                data = b""
-                while b"\n" not in data and (block := stream.read(65536)):
-                    data += block
-            lines.append(data.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r"))
-        yield pd.DataFrame({"path": batch["path"], "header": lines})
-
-
-def header_groups(spark: SparkSession, paths: Sequence[str]) -> list[list[str]]:
-    """Files grouped by identical header line; headers are read on executors."""
-    schema = T.StructType([T.StructField("path", T.StringType())])
-    listed = spark.createDataFrame([(p,) for p in paths], schema)
-    tasks = min(len(paths), spark.sparkContext.defaultParallelism)
-    headers = listed.repartition(tasks).mapInPandas(_headers, "path string, header string")
-    # One short row per file comes back: the list the caller passed in.
-    groups: dict[str, list[str]] = {}
-    for row in headers.collect():
-        groups.setdefault(row["header"], []).append(row["path"])
+#: Files whose headers one job reads.
+HEADERS_PER_JOB = 64
+
+
+def header_groups(spark: SparkSession, paths: Sequence[str], **options) -> list[list[str]]:
+    """Files grouped by identical header: the column names as Spark reads them.
+
+    A limit of one row ends each file's scan at its first line, on any file
+    system, in any encoding and through gzip.
+    """
+    reader_options = {"sep": options.get("sep", ","), "quote": options.get("quote", '"'), "escape": options.get("quote", '"')}
+    reader = spark.read.options(header=False, encoding=options.get("encoding", "UTF-8"), **reader_options)
+    groups: dict[tuple, list[str]] = {}
+    for start in range(0, len(paths), HEADERS_PER_JOB):
+        block = list(paths[start : start + HEADERS_PER_JOB])
+        firsts = []
+        for n, path in enumerate(block):
+            line = reader.csv(path).limit(1)
+            names = F.array(*[F.col(f"`{c}`") for c in line.columns])
+            firsts.append(line.select(F.lit(n).alias("n"), names.alias("names")))
+        # One short row per file of the caller's list.
+        for row in reduce(DataFrame.unionByName, firsts).collect():
+            names = tuple((name or "").lstrip("\ufeff") for name in row["names"])
+            groups.setdefault(names, []).append(block[row["n"]])
     return [sorted(files) for _, files in sorted(groups.items())]
 
 
@@ -95,9 +92,8 @@ def read_many_by_name(spark: SparkSession, paths: Sequence[str], **options) -> D
     header, however many files share it.
     """
     options.setdefault("skip_malformed", True)
-    return union_by_name(
-        [read_text_table(spark, files, **options) for files in header_groups(spark, paths)]
-    )
+    groups = header_groups(spark, paths, **options)
+    return union_by_name([read_text_table(spark, files, **options) for files in groups])
 
 
 def read_raw(spark: SparkSession, table: str, *paths: str) -> DataFrame:
@@ -107,7 +103,14 @@ def read_raw(spark: SparkSession, table: str, *paths: str) -> DataFrame:
     if path is None:
         print(f"{table}: no file, skipped")
         return spark.createDataFrame([], schemas.raw_schema(table))
-    return read_text_table(spark, path, **schemas.RAW_FORMATS[table])
+    return read_text_table(spark, path, spread=spread_of(spark, [path]), **schemas.RAW_FORMATS[table])
+
+
+def spread_of(spark: SparkSession, paths: Sequence[str]) -> int | None:
+    """Tasks to deal the rows of gzip archives to; None where no file is one."""
+    if not any(path.endswith(".gz") for path in paths):
+        return None
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def read_typed_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ";") -> DataFrame:

@@ -1,4 +1,5 @@
 import datetime
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -99,7 +100,7 @@ def test_versioned_load(spark, rows, tmp_path):
     incremental.load_version(spark, root, sales(rows, ("a", DAY(2023, 5, 1), 1), ("b", DAY(2024, 1, 1), 2)), "day", "id", 1)
     second = incremental.load_version(spark, root, sales(rows, ("a", DAY(2024, 3, 1), 5), ("z", DAY(2023, 1, 1), 6)), "day", "id", 2)
     assert sorted((r["id"], r["v"]) for r in second.collect()) == [("a", 5), ("b", 2)]
-    assert spark.read.parquet(f"{root}/v1").count() == 2
+    assert incremental.read_version(spark, root, 1).count() == 2
 
 
 def test_quality_checks(rows):
@@ -122,3 +123,22 @@ def test_freshness_states(rows, spark):
     assert states == {"2024-03-31": "pass", "2024-04-01": "warn", "2024-07-01": "error"}
     empty = spark.createDataFrame([], "d date")
     assert quality.check_freshness(empty, "d", F.lit("2024-01-01").cast("date"), 1, 2).first()["status"] == "error"
+
+
+def test_a_load_leaves_the_files_of_other_years_alone(spark, rows, tmp_path):
+    root = str(tmp_path / "store")
+    day = lambda t: datetime.date.fromisoformat(t)
+    first = rows("k int, day date, v string", *[(i, day(f"{2019 + i % 4}-03-0{1 + i % 9}"), "old") for i in range(40)], (99, None, "undated"))
+    incremental.load_version(spark, root, first, "day", "k", 1)
+    files = {str(p): p.stat().st_mtime_ns for p in (tmp_path / "store" / "data").rglob("*.parquet")}
+    late = rows("k int, day date, v string", (1, day("2023-01-01"), "new"), (50, day("2023-01-02"), "new"), (2, day("2018-01-01"), "too late"))
+    second = incremental.load_version(spark, root, late, "day", "k", 2)
+    expected = {(i, "old") for i in range(40) if i != 1} | {(99, "undated"), (1, "new"), (50, "new")}
+    assert {(r.k, r.v) for r in second.collect()} == expected
+    listed = {p.removeprefix("file:").replace("///", "/") for p in second.inputFiles()}
+    kept = {p for p in files if "_year=2020" not in p}
+    assert kept <= listed and not (set(files) - kept) & listed
+    assert all(Path(p).stat().st_mtime_ns == at for p, at in files.items())
+    assert {(r.k, r.v) for r in incremental.read_version(spark, root, 1).collect()} == {(i, "old") for i in range(40)} | {(99, "undated")}
+    third = incremental.load_version(spark, root, late, "day", "k", 3)
+    assert {(r.k, r.v) for r in third.collect()} == expected and not (tmp_path / "store" / "data" / "v3").exists()
