@@ -50,13 +50,15 @@ from territory.llm.blocks import (
 LENGTH = 100
 GRAM = 32
 CHUNK_BYTES = 8 << 20
+#: Bytes of contexts that a task gathers before it hands them on.
+FETCH_BYTES = 8 << 20
 #: Windows that are hashed at a time.
 STRETCH = 1 << 18
 #: Buckets of gram hashes per shuffle partition, in step 2 and in step 3: a bucket is one
 #: group in memory, and ranking takes some 100 bytes for each byte of context.
 ANCHOR_BUCKETS, CONTEXT_BUCKETS = 4, 16
 #: Different contexts of one gram beyond which its windows are dealt out one by one.
-SPREAD_OVER = 20_000
+SPREAD_OVER = 3_000
 #: A null id comes after all others.
 LAST_ID = (1 << 63) - 1
 
@@ -243,44 +245,43 @@ def _bucket(frame: pd.DataFrame, length: int) -> pd.DataFrame:
 
 
 def _fetch(frames: Iterator[pd.DataFrame], length: int, buckets: int) -> Iterator[pd.DataFrame]:
-    """Step 3a: the bytes of open contexts, an array row per chunk and bucket."""
-    for frame in chunks(frames, byte_sizes("data"), CHUNK_BYTES):
-        bucket, id_, key, first, texts = [], [], [], [], []
+    """Step 3a: the bytes of open contexts, an array row per bucket and some megabytes of them."""
+    held, total = [], 0
+    for frame in frames:
         for i, k, data, wanted in frame[["id", "key", "data", "wanted"]].itertuples(index=False, name=None):
             for w in wanted:
                 if w["spread"]:
                     for s in range(w["first"], w["last"] + 1):
                         text = data[s : s + length]
                         spot = int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "big")
-                        bucket.append(spot * buckets >> 64)
-                        texts.append(text)
-                        first.append(s)
+                        held.append((spot * buckets >> 64, i, k, s, text))
                 else:
-                    bucket.append((w["gram"] & ((1 << 64) - 1)) * buckets >> 64)
-                    texts.append(data[w["first"] : w["last"] + length])
-                    first.append(w["first"])
-                id_.extend([i] * (len(first) - len(id_)))
-                key.extend([k] * (len(first) - len(key)))
-        if not bucket:
-            continue
-        order = np.argsort(np.array(bucket), kind="stable")
-        bucket, id_, key = np.array(bucket)[order], np.array(id_, np.int64)[order], np.array(key, np.int64)[order]
-        first, texts = np.array(first, np.int32)[order], [texts[i] for i in order]
-        edge = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
-        rows = []
-        for lo, hi in zip(edge[:-1], edge[1:], strict=True):
-            blob = b"".join(texts[lo:hi])
-            rows.append(
-                {
-                    "bucket": int(bucket[lo]),
-                    "id": pack(id_[lo:hi]),
-                    "key": pack(key[lo:hi]),
-                    "first": pack(first[lo:hi]),
-                    "size": pack(np.array([len(t) for t in texts[lo:hi]], np.int32)),
-                    "data": pack(np.frombuffer(blob, np.uint8)),
-                }
-            )
-        yield pd.DataFrame(rows)
+                    text = data[w["first"] : w["last"] + length]
+                    held.append(((w["gram"] & ((1 << 64) - 1)) * buckets >> 64, i, k, w["first"], text))
+                total += (w["last"] - w["first"] + 1) * length if w["spread"] else len(text)
+                if total > FETCH_BYTES:
+                    yield _context_rows(held)
+                    held, total = [], 0
+    if held:
+        yield _context_rows(held)
+
+
+def _context_rows(held: list[tuple]) -> pd.DataFrame:
+    held.sort(key=lambda row: row[0])
+    bucket, id_, key, first, texts = zip(*held, strict=True)
+    edge = np.append(np.flatnonzero(np.diff(np.array(bucket), prepend=-1)), len(bucket))
+    rows = [
+        {
+            "bucket": bucket[lo],
+            "id": pack(np.array(id_[lo:hi], np.int64)),
+            "key": pack(np.array(key[lo:hi], np.int64)),
+            "first": pack(np.array(first[lo:hi], np.int32)),
+            "size": pack(np.array([len(t) for t in texts[lo:hi]], np.int32)),
+            "data": pack(np.frombuffer(b"".join(texts[lo:hi]), np.uint8)),
+        }
+        for lo, hi in zip(edge[:-1], edge[1:], strict=True)
+    ]
+    return pd.DataFrame(rows)
 
 
 def dense_ranks(values: np.ndarray) -> np.ndarray:

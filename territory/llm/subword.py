@@ -19,6 +19,8 @@ from territory.llm.blocks import U64, mix
 
 #: Bytes that are hashed at a time; a longer text is read in stretches that end at white space.
 STRETCH_BYTES = 1 << 20
+#: Updates that a small sample is repeated for.
+LEAST_STEPS = 5000
 #: Buckets of the sampling hash.
 SAMPLE_BUCKETS = 1 << 20
 
@@ -193,6 +195,7 @@ def train(
     seen = np.zeros(1 << what.bits, bool)
     for _, ids, _ in fit:
         seen[ids] = True
+    epochs = max(epochs, -(-LEAST_STEPS // max(len(fit), 1)))
     steps, done = epochs * max(len(fit), 1), 0
     for _ in range(epochs):
         for i in rng.permutation(len(fit)):
