@@ -13,7 +13,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -26,8 +26,8 @@ from territory.llm.blocks import byte_sizes, chunks, store
 SEQUENCE_TOKENS = 1024
 #: Id that ends every document.
 END_ID = 0
-#: Words whose ids a worker remembers before it starts anew.
-REMEMBERED_WORDS = 800_000
+#: Words whose ids a worker remembers (about); those not seen for half as many new words are forgotten.
+REMEMBERED_WORDS = 1_200_000
 CHUNK_BYTES = 4 << 20
 
 PIECES = "_id string, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -43,7 +43,7 @@ class WordIds(dict):
 
     def __init__(self, tokenizer):
         super().__init__()
-        self.tokenizer = tokenizer
+        self.tokenizer, self.older = tokenizer, {}
         self.kind = np.dtype("<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         (self.line_end,) = tokenizer.encode("\n", add_special_tokens=False).ids
 
@@ -63,6 +63,18 @@ class WordIds(dict):
         """As ``parts``, for a text whose white space runs are single characters."""
         return text.replace(" ", "\x00 ").split("\x00")
 
+    def unknown(self, parts: Iterable[str]) -> list[str]:
+        """Parts whose ids are not remembered; those of the older half are taken over."""
+        out = []
+        for part in parts:
+            if part not in self:
+                known = self.older.get(part)
+                if known is None:
+                    out.append(part)
+                else:
+                    self[part] = known
+        return out
+
     def learn(self, parts: list[str]) -> None:
         """Ids of distinct parts.
 
@@ -75,7 +87,7 @@ class WordIds(dict):
         ended = {part: found.groups() for part in parts if (found := ENDED.fullmatch(part))}
         bare = {piece for pieces in ended.values() for piece in pieces}
         bare.update(part for part in parts if part not in ended)
-        todo = [part for part in bare if part not in self]
+        todo = self.unknown(bare)
         plain = [part for part in todo if SOLID.fullmatch(part)]
         for start in range(0, len(plain), LINES):
             block = plain[start : start + LINES]
@@ -96,13 +108,14 @@ class WordIds(dict):
 
     def batch(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of every text as little-endian integers; distinct parts that are still unknown are encoded first."""
-        if len(self) > REMEMBERED_WORDS:
+        if len(self) > REMEMBERED_WORDS // 2:
+            self.older = dict(self)
             self.clear()
         split = []
         for text in texts:
             simple = "\x00" not in text and _single_spaces(text)
             split.append(self.plain_parts(text) if simple else self.parts(text))
-        self.learn([part for part in set().union(*split) if part not in self])
+        self.learn(self.unknown(set().union(*split)))
         look = self.__getitem__
         for parts in split:
             yield b"".join(map(look, parts))
