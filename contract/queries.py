@@ -31,7 +31,7 @@ def models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     play the part of the warehouse that the cards read."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _models:
-        _models[key] = build_models(D.raw_tables(spark, sf_dir), LIMITS)
+        _models[key] = build_models(D.raw_tables(spark, sf_dir), LIMITS, tension=True)
     return _models[key]
 
 

@@ -19,14 +19,15 @@ def build_models(
     limits: S.Thresholds = S.Thresholds(),
     sales: DataFrame | None = None,
     store: bool = True,
-    tension: bool = True,
+    tension: bool = False,
 ) -> dict[str, DataFrame]:
     """All models by name, from the raw tables or an already loaded sales table.
 
     With ``store`` the tables that several others read (communes, income, age
     structure, prices and the accessibility mart) are computed once into the
-    checkpoint folder. So is the tension ranking's score, which is ranked
-    twice; without ``tension`` it is left out. Everything else stays lazy.
+    checkpoint folder. Everything else stays lazy, but for the ``tension``
+    ranking, which is made if asked for: its score is stored between its two
+    rankings.
     """
     def keep(df: DataFrame) -> DataFrame:
         return materialise(df) if store else df

@@ -136,7 +136,7 @@ def refresh(
     loaded = incremental.load_version(
         spark, f"{target}/sales", staging.clean_sales(raw["sales"]), "date_mutation", "id_mutation", version
     )
-    models = build_models(raw, limits, sales=loaded)
+    models = build_models(raw, limits, sales=loaded, tension=True)
     results = {
         name: models[name]
         for name in (

@@ -145,7 +145,7 @@ def small(spark):
             "P21_NSCOL15P_SUP34": "30.06", "P21_NSCOL15P_SUP5": "60.12",
         }, {"CODGEO": "92001", "P21_NSCOL15P": "0"}),
     }
-    return build_models(inputs)
+    return build_models(inputs, tension=True)
 
 
 def test_contracts(small):
