@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from territory.llm.blocks import U64, mix
+from territory.llm.blocks import U64, mix, pack, pack_sorted, unpack, unpack_sorted
 
 #: Bytes that are hashed at a time; a longer text is read in stretches that end at white space.
 STRETCH_BYTES = 1 << 20
@@ -137,10 +137,11 @@ def softmax(x: np.ndarray) -> np.ndarray:
 
 
 def labelled_bags(rows: DataFrame, label: Column, key: Column, text_col: str, what: Features, most: int) -> list:
-    """A bounded sample of labelled rows as bags: [(label, buckets, counts)].
+    """A bounded sample of labelled rows as packed bags: [(label, buckets, counts)].
 
     About ``most`` rows with a label are taken, chosen by a hash of ``key``;
-    fewer rows are all taken. Bags are made on the executors.
+    fewer rows are all taken. Bags are made on the executors and stay packed
+    (some kilobytes each) until a training step opens one.
     """
     spot = F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(SAMPLE_BUCKETS))
     known = rows.filter(label.isNotNull())
@@ -156,15 +157,21 @@ def labelled_bags(rows: DataFrame, label: Column, key: Column, text_col: str, wh
                 {
                     "label": frame["label"],
                     "spot": frame["spot"],
-                    "ids": [b[0].astype("<u4").tobytes() for b in bags],
-                    "counts": [b[1].astype("<f4").tobytes() for b in bags],
+                    "ids": [pack_sorted(b[0]) for b in bags],
+                    "counts": [pack(b[1].astype(np.uint32)) for b in bags],
                 }
             )
 
     made = taken.select(label.cast("string").alias("label"), spot.alias("spot"), F.col(text_col).alias("text"))
     bags = made.mapInPandas(run, "label string, spot long, ids binary, counts binary").collect()
     bags.sort(key=lambda r: (r["spot"], r["label"], bytes(r["ids"])))
-    return [(r["label"], np.frombuffer(r["ids"], "<u4"), np.frombuffer(r["counts"], "<f4")) for r in bags]
+    return [(r["label"], bytes(r["ids"]), bytes(r["counts"])) for r in bags]
+
+
+def _opened(bag: tuple) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of a packed bag and their shares of it."""
+    counts = unpack(bag[2], np.uint32).astype(np.float32)
+    return unpack_sorted(bag[1], np.uint32), counts / max(counts.sum(), 1)
 
 
 def train(
@@ -184,7 +191,7 @@ def train(
     """
     rng = np.random.default_rng(seed)
     at = {c: k for k, c in enumerate(classes)}
-    kept = [(at[label], ids, n / n.sum()) for label, ids, n in bags if len(ids)]
+    kept = [bag for bag in bags if len(_opened(bag)[0])]
     split = int(len(kept) * (1 - held_back)) if len(kept) >= 50 else len(kept)
     order = rng.permutation(len(kept))
     fit, rest = [kept[i] for i in order[:split]], [kept[i] for i in order[split:]]
@@ -193,13 +200,14 @@ def train(
     vectors = rng.uniform(-1 / size, 1 / size, (1 << what.bits, size)).astype(np.float32)
     layer, bias = np.zeros((size, len(classes)), np.float32), prior.astype(np.float32)
     seen = np.zeros(1 << what.bits, bool)
-    for _, ids, _ in fit:
-        seen[ids] = True
+    for bag in fit:
+        seen[_opened(bag)[0]] = True
     epochs = max(epochs, -(-LEAST_STEPS // max(len(fit), 1)))
     steps, done = epochs * max(len(fit), 1), 0
     for _ in range(epochs):
         for i in rng.permutation(len(fit)):
-            label, ids, share_of = fit[i]
+            label = at[fit[i][0]]
+            ids, share_of = _opened(fit[i])
             part = vectors[ids]
             mean = share_of @ part
             error = softmax(mean @ layer + bias)
@@ -213,8 +221,9 @@ def train(
     vectors[~seen] = 0
     model = Model(what, classes, np.ascontiguousarray((vectors @ layer).T), bias.astype(np.float64))
     if rest:
-        logits = np.array([(model.scores[:, ids] * n).sum(axis=1) + bias for _, ids, n in rest], np.float64)
-        truth = np.array([label for label, _, _ in rest])
+        opened = map(_opened, rest)
+        logits = np.array([(model.scores[:, ids] * n).sum(axis=1) + bias for ids, n in opened], np.float64)
+        truth = np.array([at[label] for label, _, _ in rest])
         heats = np.geomspace(0.2, 5, 41)
         loss = [-np.log(softmax(logits / t)[np.arange(len(truth)), truth] + 1e-12).mean() for t in heats]
         model.heat = float(heats[int(np.argmin(loss))])
