@@ -78,6 +78,16 @@ def bucket_bounds(ordered: np.ndarray, buckets: int) -> np.ndarray:
     return np.append(np.searchsorted(ordered, np.array(edges, U64)), len(ordered))
 
 
+#: Rows that go to a Python worker at a time: rows hold whole texts.
+BATCH_ROWS = 1000
+
+
+def text_batches(spark: SparkSession) -> SparkSession:
+    """Let the session hand texts to Python workers in smaller batches than the default of 10,000 rows."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return spark
+
+
 def buckets_of(spark: SparkSession) -> int:
     """Number of hash buckets: the session's shuffle partitions, which follow the input."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from territory.llm.blocks import wrapped
+from territory.llm.blocks import text_batches, wrapped
 
 WINDOW_WORDS = 10
 #: Item bytes that go into one automaton; more items make further scans.
@@ -136,7 +136,7 @@ def find_leaks(
     document clean; equal items are all reported. Rows stay as they are, one
     out for each in.
     """
-    spark, out = docs.sparkSession, docs.drop(*ADDED)
+    spark, out = text_batches(docs.sparkSession), docs.drop(*ADDED)
     blocks = item_blocks(benchmark, item_col, item_text_col, block_bytes)
     first = next(blocks, [])
     out = _scan(out, spark.sparkContext.broadcast(first), window, text_col, False)

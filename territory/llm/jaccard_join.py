@@ -46,6 +46,7 @@ from territory.llm.blocks import (
     pack,
     pack_sorted,
     store,
+    text_batches,
     totals_of,
     unpack,
     unpack_sorted,
@@ -236,7 +237,7 @@ def similarity_classes(
     a text are rows of their own. An empty table gives no rows; other columns
     are ignored. Shingles are 64-bit hashes, equal sets share 128 bits.
     """
-    buckets = buckets_of(docs.sparkSession)
+    buckets = buckets_of(text_batches(docs.sparkSession))
     keyed = docs.select(*_keyed(docs, id_col, text_col))
     sketch = store(keyed.mapInPandas(lambda f: _sketches(f, size, least), SKETCH), "jaccard-sketch")
     members = sketch.select("ids", "keys", "sizes", "marks").mapInPandas(_members, MEMBERS)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from territory.llm import subword
+from territory.llm.blocks import text_batches
 
 FEATURES = subword.Features(grams=(2, 3, 4), words=True, lower=True, bits=16)
 #: Labelled rows that training takes at most (about).
@@ -52,7 +53,7 @@ def predict(docs: DataFrame, model: subword.Model, text_col: str = "text") -> Da
     model has learned no language. One row for each row.
     """
     docs = docs.drop(*NEW.names)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = text_batches(docs.sparkSession).sparkContext.broadcast(model)
     fields = docs.schema.fields
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

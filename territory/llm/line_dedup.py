@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from territory.llm.blocks import store, wrapped
+from territory.llm.blocks import store, text_batches, wrapped
 
 #: Words that a run of lines needs to be deleted when it repeats.
 RUN_WORDS = 50
@@ -98,6 +98,7 @@ def repeated_windows(
                     out = []
             yield pd.DataFrame(out, columns=names)
 
+    text_batches(docs.sparkSession)
     found = store(docs.select(*_keyed(docs, id_col, text_col)).mapInPandas(run, WINDOWS), "line-windows")
     place = F.struct("id", "key", "anchor")
     shared = found.groupBy("fp").agg(F.min(place).alias("a"), F.max(place).alias("z")).filter("a != z").select("fp")

@@ -33,6 +33,7 @@ from territory.llm.blocks import (
     pack,
     pack_sorted,
     store,
+    text_batches,
     totals_of,
     unpack,
     unpack_sorted,
@@ -186,7 +187,7 @@ def lm_scores(
     megabyte counts as several. A null or empty text has no words and score 0.
     Ids may be null or repeat; each row counts. An empty table gives no rows.
     """
-    spark = docs.sparkSession
+    spark = text_batches(docs.sparkSession)
     buckets = buckets_of(spark)
     plain = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
     state = store(plain.mapInPandas(_states, STATE), "lm-state")

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from territory.llm.blocks import byte_sizes, chunks, store
+from territory.llm.blocks import byte_sizes, chunks, store, text_batches
 
 SEQUENCE_TOKENS = 1024
 #: Id that ends every document.
@@ -173,6 +173,7 @@ def token_rows(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
             )
             before += int(n.sum())
 
+    text_batches(docs.sparkSession)
     plain = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
     out = plain.mapInPandas(run, "_part long, _before long, _id string, n long, ids binary")
     return store(out, "token-rows")

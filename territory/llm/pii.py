@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from territory.llm.blocks import store
+from territory.llm.blocks import store, text_batches
 
 KINDS = ("email", "ip", "card", "phone")
 #: Candidates that train the classifier at most.
@@ -258,6 +258,7 @@ def candidates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 )
             yield pd.DataFrame({"id": frame["id"], "found": found})
 
+    text_batches(docs.sparkSession)
     plain = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
     return store(plain.mapInPandas(run, f"id string, found {CANDIDATES}"), "pii-candidates")
 

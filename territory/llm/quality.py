@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from territory.llm import subword
-from territory.llm.blocks import wrapped
+from territory.llm.blocks import text_batches, wrapped
 
 FEATURES = subword.Features(grams=(3, 4), words=True, repeats=True, bits=16)
 #: Labelled rows that training takes at most (about).
@@ -60,7 +60,7 @@ def score(docs: DataFrame, model: subword.Model, text_col: str = "text", name: s
     label 1 among the rows learned from, as calibrated. One row for each row.
     """
     docs = docs.drop(name)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = text_batches(docs.sparkSession).sparkContext.broadcast(model)
     fields = docs.schema.fields
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

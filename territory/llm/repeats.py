@@ -42,6 +42,7 @@ from territory.llm.blocks import (
     pack,
     pack_sorted,
     store,
+    text_batches,
     unpack,
     unpack_sorted,
     wrapped,
@@ -49,14 +50,14 @@ from territory.llm.blocks import (
 
 LENGTH = 100
 GRAM = 32
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 #: Bytes of contexts that a task gathers before it hands them on.
-FETCH_BYTES = 8 << 20
+FETCH_BYTES = 4 << 20
 #: Windows that are hashed at a time.
-STRETCH = 1 << 18
+STRETCH = 1 << 17
 #: Buckets of gram hashes per shuffle partition, in step 2 and in step 3: a bucket is one
 #: group in memory, and ranking takes some 100 bytes for each byte of context.
-ANCHOR_BUCKETS, CONTEXT_BUCKETS = 4, 16
+ANCHOR_BUCKETS, CONTEXT_BUCKETS = 4, 48
 #: Different contexts of one gram beyond which its windows are dealt out one by one.
 SPREAD_OVER = 3_000
 #: A null id comes after all others.
@@ -369,7 +370,7 @@ def repeated_runs(
 
     The runs of a document may overlap and come in several rows.
     """
-    partitions = buckets_of(docs.sparkSession)
+    partitions = buckets_of(text_batches(docs.sparkSession))
     buckets, fine = ANCHOR_BUCKETS * partitions, CONTEXT_BUCKETS * partitions
     keyed = docs.select(*_keyed(docs, id_col, text_col))
     rows = keyed.mapInPandas(lambda f: _chunk_rows(f, length, gram, buckets), ROWS)

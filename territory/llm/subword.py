@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from territory.llm.blocks import U64, mix, pack, pack_sorted, unpack, unpack_sorted
+from territory.llm.blocks import U64, mix, pack, pack_sorted, text_batches, unpack, unpack_sorted
 
 #: Bytes that are hashed at a time; a longer text is read in stretches that end at white space.
 STRETCH_BYTES = 1 << 20
@@ -162,6 +162,7 @@ def labelled_bags(rows: DataFrame, label: Column, key: Column, text_col: str, wh
                 }
             )
 
+    text_batches(rows.sparkSession)
     made = taken.select(label.cast("string").alias("label"), spot.alias("spot"), F.col(text_col).alias("text"))
     bags = made.mapInPandas(run, "label string, spot long, ids binary, counts binary").collect()
     bags.sort(key=lambda r: (r["spot"], r["label"], bytes(r["ids"])))
