@@ -5,9 +5,11 @@ import pytest
 import __spark_entry__ as entry
 from conftest import plan_of
 from contract.compare import connect, difference, to_pandas
+from contract.oracles import all_oracles
+from contract.queries import all_queries
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +19,7 @@ def duck():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

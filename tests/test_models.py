@@ -132,6 +132,7 @@ def small(spark):
             {"CODGEO": c, "SEXE": "1", "AGED100": a, "NB": n}
             for c, a, n in (("75101", "030", "30"), ("75101", "065", "70"), ("92001", "030", "50"), ("92001", "065", "50"))
         ]),
+        "sale_stats": spark.createDataFrame([], schemas.raw_schema("sale_stats")),
         "rents": raw(spark, "rents", {"INSEE_C": "75101", "loypredm2": "30,5"}),
         "crime": raw(spark, "crime", *[
             {"CODGEO_2025": c, "annee": "2024", "indicateur": o, "est_diffuse": d, "nombre": n, "insee_pop": "1000"}
