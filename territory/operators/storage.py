@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,6 +32,22 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return configured
 
 
+_copies: list[str] = []
+
+
+@contextmanager
+def temporary_copies(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end, the copies that ``materialise`` made inside."""
+    before = len(_copies)
+    try:
+        yield
+    finally:
+        for path in _copies[before:]:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        del _copies[before:]
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Compute ``df`` once, as a Parquet table in the checkpoint folder.
 
@@ -38,5 +56,6 @@ def materialise(df: DataFrame) -> DataFrame:
     size: a small dimension is broadcast from the start, a large one is not.
     """
     path = f"{checkpoint_folder(df.sparkSession)}/tables/{uuid.uuid4().hex}"
+    _copies.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

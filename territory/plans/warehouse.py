@@ -11,7 +11,7 @@ from territory import schemas, sinks
 from territory import settings as S
 from territory.functions import clean as C
 from territory.operators import geo, incremental, quality
-from territory.operators.storage import materialise
+from territory.operators.storage import materialise, temporary_copies
 from territory.plans import mobility, staging
 from territory.plans.build import build_models
 from territory.sources import records, text
@@ -122,15 +122,29 @@ def refresh(
 
     Everything goes to ``target/v<version>``: the result tables and their CSV
     copies. Sales are loaded into ``target/sales``, where a version rewrites
-    only the years that it touches. An
-    interrupted refresh leaves the previous version as it is, so readers move
-    on once the new one is complete. Returns the violation count of every
-    data-quality rule.
+    only the years that it touches. An interrupted refresh leaves the previous
+    version as it is, so readers move on once the new one is complete. Tables
+    stored on the way are deleted at the end. Returns the violation count of
+    every data-quality rule.
 
     The rules run before anything is published: a violated rule, or sales
     older than allowed on the day ``today`` if that is given, raises
     ``QualityError`` and no result table is written.
     """
+    with temporary_copies(spark):
+        return _refresh(spark, folder, target, version, limits, zone_documents, today, scope)
+
+
+def _refresh(
+    spark: SparkSession,
+    folder: str,
+    target: str,
+    version: int,
+    limits: S.Thresholds,
+    zone_documents: bool,
+    today: str | None,
+    scope: Mapping[str, Sequence[str]],
+) -> DataFrame:
     raw = raw_tables(spark, folder, **scope)
     root = f"{target}/v{version}"
     loaded = incremental.load_version(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from territory import sinks
 from territory.operators.geo import GEOMETRY_TYPE
-from territory.operators.storage import checkpoint_folder, materialise
+from territory.operators.storage import checkpoint_folder, materialise, temporary_copies
 from territory.sources.records import read_geojson
 
 
@@ -86,6 +86,14 @@ def test_materialise_uses_the_session_folder(spark):
     assert checkpoint_folder(spark).removeprefix("file:") in kept.inputFiles()[0]
 
 
+def test_temporary_copies_are_deleted(spark):
+    kept = materialise(spark.range(3))
+    with temporary_copies(spark):
+        gone = materialise(spark.range(5)).inputFiles()[0].removeprefix("file:").replace("///", "/")
+        assert Path(gone).exists()
+    assert not Path(gone).parent.exists() and kept.count() == 3
+
+
 def test_bucketed_table_needs_no_shuffle_per_key(spark):
     from conftest import plan_of
     from territory.operators.dedup import keep_largest
