@@ -23,8 +23,8 @@ from pyspark.sql.types import StructType
 from territory.llm.blocks import text_batches, wrapped
 
 WINDOW_WORDS = 10
-#: Item bytes that go into one automaton; more items make further scans.
-BLOCK_BYTES = 8 << 20
+#: Item bytes that go into one automaton (some hundred megabytes of nodes); more items make further scans.
+BLOCK_BYTES = 256 << 10
 
 #: Fixed value: a word of the original text (code points).
 WORD = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
