@@ -255,10 +255,10 @@ def _fetch(frames: Iterator[pd.DataFrame], length: int, buckets: int) -> Iterato
                     for s in range(w["first"], w["last"] + 1):
                         text = data[s : s + length]
                         spot = int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "big")
-                        held.append((spot * buckets >> 64, i, k, s, text))
+                        held.append((spot * buckets >> 64, i, k, s, text, True))
                 else:
                     text = data[w["first"] : w["last"] + length]
-                    held.append(((w["gram"] & ((1 << 64) - 1)) * buckets >> 64, i, k, w["first"], text))
+                    held.append(((w["gram"] & ((1 << 64) - 1)) * buckets >> 64, i, k, w["first"], text, False))
                 total += (w["last"] - w["first"] + 1) * length if w["spread"] else len(text)
                 if total > FETCH_BYTES:
                     yield _context_rows(held)
@@ -268,9 +268,16 @@ def _fetch(frames: Iterator[pd.DataFrame], length: int, buckets: int) -> Iterato
 
 
 def _context_rows(held: list[tuple]) -> pd.DataFrame:
+    """Rows of contexts per bucket. Of equal windows that are dealt out alone only the first
+    is sent on; the others are settled here, in a row of bucket -1 without bytes."""
+    lead: dict[bytes, tuple] = {}
+    for _, *place, text, alone in held:
+        if alone and tuple(place) < lead.get(text, (np.inf,)):
+            lead[text] = tuple(place)
+    held = [row if not row[5] or lead[row[4]] == row[1:4] else (-1, *row[1:4], b"", True) for row in held]
     held.sort(key=lambda row: row[0])
-    bucket, id_, key, first, texts = zip(*held, strict=True)
-    edge = np.append(np.flatnonzero(np.diff(np.array(bucket), prepend=-1)), len(bucket))
+    bucket, id_, key, first, texts, _ = zip(*held, strict=True)
+    edge = np.append(np.flatnonzero(np.diff(np.array(bucket), prepend=-2)), len(bucket))
     rows = [
         {
             "bucket": bucket[lo],
@@ -351,6 +358,8 @@ def _compare(frame: pd.DataFrame, length: int) -> pd.DataFrame:
     """Step 3b: longest previous factors of a bucket's suffixes; runs of windows that go."""
     id_, key = (np.concatenate([unpack(x, np.int64) for x in frame[c]]) for c in ("id", "key"))
     first, size = (np.concatenate([unpack(x, np.int32) for x in frame[c]]).astype(np.int64) for c in ("first", "size"))
+    if frame["bucket"].iloc[0] < 0:
+        return _touching(id_, key, first, first, length)
     data = np.concatenate([unpack(x, np.uint8) for x in frame["data"]])
     begin = np.cumsum(size) - size
     count = size - length + 1
@@ -374,9 +383,10 @@ def repeated_runs(
     buckets, fine = ANCHOR_BUCKETS * partitions, CONTEXT_BUCKETS * partitions
     keyed = docs.select(*_keyed(docs, id_col, text_col))
     rows = keyed.mapInPandas(lambda f: _chunk_rows(f, length, gram, buckets), ROWS)
-    salted = rows.withColumn("part", F.when(F.col("bucket") < 0, F.xxhash64("id") % 4096).otherwise(0))
+    # rows of bucket -1 are settled and need not meet: each is a group of its own
+    part = F.when(F.col("bucket") < 0, F.xxhash64("id", "key", "first")).otherwise(0)
     found = store(
-        salted.groupBy("bucket", "part").applyInPandas(lambda f: _bucket(f, length), FOUND), "repeat-runs"
+        rows.withColumn("part", part).groupBy("bucket", "part").applyInPandas(lambda f: _bucket(f, length), FOUND), "repeat-runs"
     )
     settled = found.filter("gram is null").select("id", "key", "first", "last")
     wanted = (
@@ -385,7 +395,7 @@ def repeated_runs(
         .agg(F.collect_list(F.struct("first", "last", "gram", "spread")).alias("wanted"))
     )
     fetched = keyed.join(wanted, ["id", "key"]).mapInPandas(lambda f: _fetch(f, length, fine), CONTEXTS)
-    compared = store(fetched.groupBy("bucket").applyInPandas(lambda f: _compare(f, length), RUNS), "repeat-compared")
+    compared = store(fetched.withColumn("part", part).groupBy("bucket", "part").applyInPandas(lambda f: _compare(f, length), RUNS), "repeat-compared")
     return settled.unionByName(compared)
 
 
