@@ -10,8 +10,9 @@ share a shingle among their rarest |s| - ceil(t |s|) + 1, their prefix.
 3. Classes with the same prefix and size are one group. Groups that share a
    prefix shingle and may reach the similarity by their sizes are candidates.
 4. In a block (a shared shingle and a range of sizes) every group is compared
-   with the block's first group, then every member with its group's first;
+   with the block's first group, and every member with its group's first;
    links found make components, and pairs inside one component need no look.
+   Blocks of several components do so once more, with another group.
 5. In the blocks that still hold several components the groups outside the
    block's largest component meet all others; groups expand to their members,
    and the sets of what is left are compared.
@@ -61,13 +62,13 @@ CHUNK_BYTES = 8 << 20
 #: Shingle hashes below this are counted for the order.
 COUNTED = U64(1 << 62)
 #: Bits of the parity bound, as columns of 64.
-BITS = ("b0", "b1", "b2", "b3")
+BITS = tuple(f"b{k}" for k in range(8))
 #: A null id comes after all others.
 LAST_ID = (1 << 63) - 1
 
 SKETCH = "chunk long, ids array<long>, keys binary, sizes binary, marks binary, heads binary, bits binary, lengths binary, grams binary"
 MEMBERS = "id long, key long, n long, x binary"
-PREFIXES = "x binary, n long, id long, key long, g binary, tokens array<long>, b0 long, b1 long, b2 long, b3 long"
+PREFIXES = ", ".join(["x binary, n long, id long, key long, g binary, tokens array<long>", *(f"{b} long" for b in BITS)])
 
 
 def shingles(text: str | None, size: int) -> np.ndarray:
@@ -303,6 +304,24 @@ def similarity_classes(
     links = _verify(pairs, fetch(pairs), least)
     labels = components(links)
 
+    # once more in blocks of several components, with the last group of the block's last component
+    named = blocks.join(labels.select(F.col("node").alias("x"), "label"), "x", "left").withColumn(
+        "label", F.coalesce("label", "x")
+    )
+    lead = named.groupBy("token").agg(F.max(F.struct("label", "x", "n", *BITS)).alias("lead"), F.min("label").alias("low"))
+    lead = lead.filter("lead.label <> low").select("token", *[F.col(f"lead.{c}").alias(f"l{c}") for c in ("label", "x", "n", *BITS)])
+    again = (
+        named.join(lead, "token")
+        .filter((F.col("label") != F.col("llabel")) & _hopeful("", "l", least))
+        .select(F.least("x", "lx").alias("a"), F.greatest("x", "lx").alias("b"))
+        .distinct()
+        .join(pairs, ["a", "b"], "left_anti")
+    )
+    again = store(again, "jaccard-pairs")
+    links = links.unionByName(_verify(again, fetch(again), least))
+    pairs = pairs.unionByName(again)
+    labels = components(links)
+
     # step 5: what is left between components of a block
     marked = store(
         classes.join(labels.select(F.col("node").alias("x"), "label"), "x", "left").select(
