@@ -51,6 +51,7 @@ from territory.llm.blocks import (
     totals_of,
     unpack,
     unpack_sorted,
+    wrapped,
 )
 from territory.llm.components import components
 from territory.llm.lm_score import words_of
@@ -63,6 +64,8 @@ CHUNK_BYTES = 8 << 20
 COUNTED = U64(1 << 62)
 #: Bits of the parity bound, as columns of 64.
 BITS = tuple(f"b{k}" for k in range(8))
+#: A word's first character, as ``words_of`` reads it.
+WORD = r"[^\x20\x09-\x0D]"
 #: A null id comes after all others.
 LAST_ID = (1 << 63) - 1
 
@@ -238,6 +241,12 @@ def similarity_classes(
     a text are rows of their own. An empty table gives no rows; other columns
     are ignored. Shingles are 64-bit hashes, equal sets share 128 bits.
     """
+    members, named = _named_classes(docs, least, size, id_col, text_col)
+    return _with_components(members, named, docs, id_col)
+
+
+def _named_classes(docs: DataFrame, least: int, size: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """All rows with their class, and the classes with their first row (id, key) and component's label."""
     buckets = buckets_of(text_batches(docs.sparkSession))
     keyed = docs.select(*_keyed(docs, id_col, text_col))
     sketch = store(keyed.mapInPandas(lambda f: _sketches(f, size, least), SKETCH), "jaccard-sketch")
@@ -362,14 +371,13 @@ def similarity_classes(
     more = _verify(rest, fetch(rest), least)
     labels = components(links.unionByName(more))
 
-    return _with_components(members, labels, docs, id_col)
+    low = members.filter("x is not null").groupBy("x").agg(F.min(F.struct("id", "key")).alias("low"))
+    named = low.join(labels.select(F.col("node").alias("x"), "label"), "x", "left").withColumn("label", F.coalesce("label", "x"))
+    return members, store(named, "jaccard-named")
 
 
-def _with_components(members: DataFrame, labels: DataFrame, docs: DataFrame, id_col: str) -> DataFrame:
-    ids = members.filter("x is not null").groupBy("x").agg(F.min("id").alias("low"))
-    named = ids.join(labels.select(F.col("node").alias("x"), "label"), "x", "left").withColumn("label", F.coalesce("label", "x"))
-    named = store(named, "jaccard-named")
-    lowest = named.groupBy("label").agg(F.min("low").alias("component"))
+def _with_components(members: DataFrame, named: DataFrame, docs: DataFrame, id_col: str) -> DataFrame:
+    lowest = named.groupBy("label").agg(F.min("low.id").alias("component"))
     per_class = named.join(lowest, "label").select("x", "component")
     real = lambda c: F.when(F.col(c) != LAST_ID, F.col(c)).cast(docs.schema[id_col].dataType)
     out = members.join(per_class, "x", "left").withColumn("component", F.coalesce("component", "id"))
@@ -377,7 +385,15 @@ def _with_components(members: DataFrame, labels: DataFrame, docs: DataFrame, id_
 
 
 def keep_first(docs: DataFrame, least: int = LEAST, size: int = SHINGLE_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each component: the one with the smallest id. Ids are unique and not null."""
-    found = similarity_classes(docs, least, size, id_col, text_col)
-    stays = found.filter(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_stay"))
-    return docs.join(stays, docs[id_col] == stays["_stay"], "left_semi")
+    """``docs`` with one row of each component: the one with the smallest id.
+
+    Null ids come last; of rows with the same id the smallest text hash stays,
+    and of rows that repeat id and text any one. Every text without words is a
+    component of its own and stays. Columns stay the same.
+    """
+    _, named = _named_classes(docs, least, size, id_col, text_col)
+    stays = named.groupBy("label").agg(F.min("low").alias("low")).select("low.id", "low.key")
+    id_, key, text = _keyed(docs, id_col, text_col)
+    rows = wrapped(docs, id_, key, text.rlike(WORD).alias("worded"))
+    first = rows.filter("worded").join(stays, ["id", "key"], "left_semi").dropDuplicates(["id", "key"])
+    return first.select("_doc.*").unionByName(rows.filter("not worded").select("_doc.*"))

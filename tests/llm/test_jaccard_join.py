@@ -1,8 +1,9 @@
 import random
 import re
+from collections import Counter
 
 import pytest
-from helpers import EDGE, frame, variants
+from helpers import COPY, EDGE, frame, variants
 
 from territory.llm import jaccard_join
 from territory.llm.components import components
@@ -67,6 +68,20 @@ def test_keep_first_keeps_columns(spark):
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 2, 4]
 
 
+def test_keep_first_with_null_and_repeated_ids(spark):
+    kept = [(r.doc_id, r.text) for r in jaccard_join.keep_first(frame(spark, EDGE)).collect()]
+    expected = [e for e in EDGE if e[1] != COPY and e[0] != 6 and e != (7, COPY + " ")] + [(5, COPY)]
+    assert Counter(kept) == Counter(expected)
+
+
+def test_keep_first_leaves_one_row_of_each_component(spark):
+    near = " ".join(f"w{i}" for i in range(100))
+    other = near + " more"  # a near copy under the same id
+    pairs = [(8, near), (8, near), (8, other), (9, near), (None, near), (None, "z"), (None, "z"), (4, None), (4, None)]
+    kept = Counter((r.doc_id, r.text) for r in jaccard_join.keep_first(frame(spark, pairs)).collect())
+    assert kept[None, "z"] == 1 and kept[4, None] == 2 and kept[8, near] + kept[8, other] == 1 and sum(kept.values()) == 4
+
+
 def test_parity_bits_differ_at_most_as_sets_do():
     rng = random.Random(9)
     import numpy as np
