@@ -38,7 +38,7 @@ from territory.llm.blocks import (
     unpack,
     unpack_sorted,
 )
-from territory.llm.subword import LOWER, stretches, word_hashes
+from territory.llm.subword import LOWER, long_word_hashes, stretches
 
 BACKOFF = 0.4
 CHUNK_BYTES = 8 << 20
@@ -52,8 +52,8 @@ BLANK = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
 
 def words_of(text: str | None) -> np.ndarray:
     """Hashes of the words of a text, A-Z lowered."""
-    parts = [word_hashes(LOWER[part], BLANK[part]) for part in stretches((text or "").encode("utf-8", "surrogatepass"))]
-    return np.concatenate(parts) if parts else np.empty(0, U64)
+    parts = stretches((text or "").encode("utf-8", "surrogatepass"))
+    return long_word_hashes((LOWER[part], BLANK[part]) for part in parts)
 
 
 def _states(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -183,8 +183,8 @@ def lm_scores(
     words from N) before it is scored: a text is judged by all other rows, its
     copies included. Without it, every n-gram has been seen.
 
-    Words are runs without ASCII white space, A-Z lowered; a word of over a
-    megabyte counts as several. A null or empty text has no words and score 0.
+    Words are runs without ASCII white space, A-Z lowered, of any length. A
+    null or empty text has no words and score 0.
     Ids may be null or repeat; each row counts. An empty table gives no rows.
     """
     spark = text_batches(docs.sparkSession)

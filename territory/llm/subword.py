@@ -7,7 +7,7 @@ is that bucket's score, so a worker needs one small table to read any text.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -24,6 +24,8 @@ LEAST_STEPS = 5000
 #: Buckets of the sampling hash.
 SAMPLE_BUCKETS = 1 << 20
 
+#: Fixed value: bytes between words.
+BLANK_BYTES = (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r")
 LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 STEP = U64(0x5851F42D4C957F2D | 1)
 
@@ -54,23 +56,51 @@ def _tables() -> list[np.ndarray]:
     return _TABLES
 
 
-def word_hashes(data: np.ndarray, blank: np.ndarray) -> np.ndarray:
-    """Hashes of the maximal runs of bytes that are not blank, in order (at most a stretch long)."""
+def word_sums(data: np.ndarray, blank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums that hash the maximal runs of bytes that are not blank, in order (at most a stretch long), and their lengths."""
     values, up, down = _tables()
     edge = np.flatnonzero(np.diff(blank, prepend=True, append=True))
     starts, ends = edge[::2], edge[1::2]
     total = np.append(U64(0), np.cumsum(values[data] * up[: len(data)], dtype=U64))
-    return mix((total[ends] - total[starts]) * down[starts])
+    return (total[ends] - total[starts]) * down[starts], ends - starts
+
+
+def word_hashes(data: np.ndarray, blank: np.ndarray) -> np.ndarray:
+    """Hashes of the words of a stretch."""
+    return mix(word_sums(data, blank)[0])
+
+
+def long_word_hashes(parts: Iterable[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Hashes of the words of a text in stretches; a word may go over any number of them."""
+    out, begun, length = [], np.empty(0, U64), 0  # the sum of a word that may go on, and its bytes so far
+    for data, blank in parts:
+        sums, sizes = word_sums(data, blank)
+        if length and blank[0]:
+            out.append(begun)
+            length = 0
+        if length:
+            sums[:1] = begun + sums[:1] * np.array([pow(int(STEP), length, 1 << 64)], U64)
+        if blank[-1]:
+            out.append(sums)
+            length = 0
+        else:
+            out.append(sums[:-1])
+            begun, length = sums[-1:], int(sizes[-1]) + (length if len(sums) == 1 else 0)
+    if length:
+        out.append(begun)
+    return mix(np.concatenate(out)) if out else np.empty(0, U64)
 
 
 def stretches(data: bytes) -> Iterator[np.ndarray]:
-    """A text's bytes in parts of at most ``STRETCH_BYTES``, cut at white space where there is any."""
-    while len(data) > STRETCH_BYTES:
-        cut = data.rfind(b" ", 1, STRETCH_BYTES) + 1 or STRETCH_BYTES
-        yield np.frombuffer(data[:cut], np.uint8)
-        data = data[cut:]
-    if data:
-        yield np.frombuffer(data, np.uint8)
+    """A text's bytes in parts of at most ``STRETCH_BYTES``, cut after white space where there is any."""
+    start = 0
+    while len(data) - start > STRETCH_BYTES:
+        end = start + STRETCH_BYTES
+        cut = max(data.rfind(b, start + 1, end) for b in BLANK_BYTES) + 1 or end
+        yield np.frombuffer(data, np.uint8, cut - start, start)
+        start = cut
+    if start < len(data):
+        yield np.frombuffer(data, np.uint8, offset=start)
 
 
 def feature_ids(data: np.ndarray, what: Features) -> np.ndarray:

@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 from helpers import EDGE, frame
 
-from territory.llm import blocks, lm_score
+from territory.llm import blocks, jaccard_join, lm_score, subword
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -71,3 +71,30 @@ def test_packed_arrays_come_back():
         assert blocks.unpack_sorted(blocks.pack_sorted(values)).tolist() == values.tolist()
     some = np.array([-5, 7, 2**31 - 1], np.int32)
     assert blocks.unpack(blocks.pack(some), np.int32).tolist() == some.tolist()
+
+
+@pytest.mark.parametrize("gap", ["\n", "\t", "\r\n", " ", "\x0b"])
+def test_words_of_texts_of_several_stretches(gap):
+    rng = random.Random(7)
+    words = [f"Wörd{rng.randrange(10**6)}" for _ in range(250_000)]
+    text = gap.join(words)
+    assert len(text.encode()) > 2 * subword.STRETCH_BYTES
+    assert lm_score.words_of(text).tolist() == lm_score.words_of(gap.join(words[:60_000])).tolist() + [
+        h for k in range(60_000, 250_000, 60_000) for h in lm_score.words_of(gap.join(words[k : k + 60_000])).tolist()
+    ]
+    shifted = jaccard_join.shingles("x" + gap + text, 3)
+    assert len(set(jaccard_join.shingles(text, 3).tolist()) - set(shifted.tolist())) == 0
+
+
+@pytest.mark.parametrize("edge", [-2, -1, 0, 1, 2])
+def test_words_of_more_than_a_stretch(edge):
+    size = subword.STRETCH_BYTES
+    long, longer = "a" * (size + edge), "b" * (3 * size + edge)
+    texts = [longer, f"{long} x", f"{long}\n{longer}", f"x\t{longer}\ty\n", f"{long} ", f" {longer}", f"{' ' * size}{long}{' ' * size}z"]
+    parts = {w: lm_score.words_of("c" + w)[:1].tolist() for w in (long, longer)}
+    for text in texts:
+        found = lm_score.words_of(text).tolist()
+        assert len(found) == len(text.split())
+    assert lm_score.words_of(f"{long} x {long}").tolist()[::2] == lm_score.words_of(f"y\n{long}\t{long}").tolist()[1:]
+    assert lm_score.words_of(longer).tolist() == lm_score.words_of(f"q {longer.upper()}\n").tolist()[1:]
+    assert parts[long] != lm_score.words_of(long).tolist() and parts[longer] != lm_score.words_of(longer).tolist()
