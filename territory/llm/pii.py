@@ -51,6 +51,7 @@ HIDDEN_EMAIL = re.compile(
     r"(?:\s?(?:\.|[\[({]\s?dot\s?[\])}])\s?[A-Za-z0-9-]{1,63}){1,6}",
     re.IGNORECASE,
 )
+HIDDEN_AT = re.compile(r"[\[({]\s?at\s?[\])}]", re.IGNORECASE)  # a part of every hidden address
 HIDDEN_IP = re.compile(r"(?<![0-9.])[0-9]{1,3}(?:(?:\[\.\]|\(\.\)|\.)[0-9]{1,3}){3}(?![0-9])")
 LONG_IP = re.compile(r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])")
 CARD_RUN = re.compile(r"(?<![0-9])[0-9]{14,19}(?![0-9])|(?<![0-9])[0-9]{4}(?:[\x20./-][0-9]{4}){3}(?![0-9])")
@@ -120,8 +121,7 @@ def base_spans(text: str | None) -> list[tuple[int, int, str]]:
 def wider_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     """Candidates beyond the base spans, none overlapping a base span or each other."""
     found: list[tuple[int, int, str]] = []
-    folded = text.lower() if "at" in text else ""
-    if any(mark in folded for mark in ("at)", "at]", "at}", "at )", "at ]", "at }")):
+    if HIDDEN_AT.search(text):
         found += [(*m.span(), "email") for m in HIDDEN_EMAIL.finditer(text)]
     if DIGIT.search(text):
         if "[.]" in text or "(.)" in text:

@@ -56,6 +56,11 @@ def test_spans_beyond_the_base(spark):
     assert all(b in r.spans for r in rows.values() for b in r.base)
 
 
+@pytest.mark.parametrize("text", ["JANE (AT) EXAMPLE (DOT) ORG", "jane (at\t) example.org", "JANE [\u00a0At\n] EXAMPLE.ORG", "jane {at} example.org"])
+def test_hidden_addresses_in_any_case_and_with_any_blank(text):
+    assert pii.wider_spans(text, []) == [(0, len(text), "email")]
+
+
 def test_edge_cases(spark):
     pairs = [*EDGE, (30, "a@b.co " * 30_000), (31, "+1 415 555 0100"), (31, "+1 415 555 0100")]
     out = pii.find_pii(frame(spark, pairs)).collect()
