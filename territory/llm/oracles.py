@@ -135,9 +135,127 @@ r AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(plain) AS text_sha256 FROM r
 """
 
+#: A value as its length in bytes, a colon and its text; null as a dash.
+FIELD = "coalesce(strlen({0}::VARCHAR)::VARCHAR || ':' || {0}::VARCHAR, '-')"
+LEAF = " || ".join(FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars", "{0}"))
+
+
+def _tree(name: str, leaves: str) -> str:
+    """The levels of the trees of all groups: l, g, pos, n, h."""
+    return f"""{name} AS (
+    SELECT 0 AS l, g, row_number() OVER (PARTITION BY g ORDER BY k) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n, h FROM {leaves}
+    UNION ALL
+    SELECT l + 1, g, pos // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY pos)) FROM {name} WHERE n > 1 GROUP BY l, g, pos // 3, n
+)"""
+
+
+def _steps(tree: str) -> str:
+    """Siblings to the left and right of each leaf's node, level by level."""
+    return f"""SELECT x.g, x.pos, s.l, coalesce(string_agg(s.h, '' ORDER BY s.pos) FILTER (WHERE s.pos < x.pos // (3 ** s.l)::BIGINT), '') AS a,
+        coalesce(string_agg(s.h, '' ORDER BY s.pos) FILTER (WHERE s.pos > x.pos // (3 ** s.l)::BIGINT), '') AS z
+    FROM {tree} x JOIN {tree} s ON x.l = 0 AND s.g = x.g AND s.n > 1 AND s.pos // 3 = x.pos // (3 ** (s.l + 1))::BIGINT
+    GROUP BY x.g, x.pos, s.l"""
+
+
+OP11 = f"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, '+' || source AS s, sha256({LEAF.format("text")}) AS leaf, sha256({LEAF.format("replace(text, chr(10), '')")}) AS cut
+    FROM documents
+),
+leaves AS (SELECT coalesce(s, '') AS g, doc_id AS k, leaf AS h FROM d),
+{_tree("lower_t", "leaves")},
+sources AS (SELECT '' AS g, g AS k, h FROM lower_t WHERE n = 1),
+{_tree("upper_t", "sources")},
+x AS (SELECT d.*, coalesce(s, '') AS g, row_number() OVER (PARTITION BY s ORDER BY doc_id) - 1 AS pos FROM d),
+place AS (SELECT k AS g, row_number() OVER (ORDER BY k) - 1 AS top FROM sources),
+steps AS (
+    SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY part, l) AS i, a, z FROM (
+        SELECT doc_id, 0 AS part, l, a, z FROM x JOIN ({_steps("lower_t")}) q USING (g, pos)
+        UNION ALL
+        SELECT doc_id, 1 AS part, l, a, z FROM x JOIN place USING (g) JOIN ({_steps("upper_t")}) q ON q.pos = place.top
+    )
+),
+crc AS (
+    SELECT doc_id, 0 AS i, doc_id::VARCHAR AS t, 4294967295::BIGINT AS c FROM d WHERE doc_id IS NOT NULL
+    UNION ALL
+    SELECT doc_id, i + 1, t, {{round}} FROM crc WHERE i < strlen(t)
+),
+odd AS (SELECT doc_id, xor(c, 4294967295) % 2 = 1 AS odd FROM crc WHERE i = strlen(t)),
+fold AS (
+    SELECT doc_id, 0 AS i, CASE WHEN odd.odd THEN leaf ELSE cut END AS h FROM d LEFT JOIN odd USING (doc_id)
+    UNION ALL
+    SELECT doc_id, s.i, sha256(s.a || h || s.z) FROM fold JOIN steps s USING (doc_id) WHERE s.i = fold.i + 1
+),
+folded AS (SELECT doc_id, arg_max(h, i) AS folded_root FROM fold GROUP BY doc_id),
+proof AS (SELECT doc_id, string_agg(a || z, '' ORDER BY i) AS siblings FROM steps GROUP BY doc_id)
+SELECT x.doc_id, leaf, t.h AS subroot, r.h AS root, sha256(coalesce(siblings, '')) AS proof_sha256, folded_root, folded_root = r.h AS verified
+FROM x JOIN lower_t t ON t.g = x.g AND t.n = 1 JOIN upper_t r ON r.n = 1 JOIN folded USING (doc_id) LEFT JOIN proof USING (doc_id)
+"""
+
+#: One byte of CRC-32, bit by bit: the polynomial is a fixed value.
+_byte = "xor(c, ascii(t[i + 1]))"
+for _ in range(8):
+    _byte = f"(SELECT CASE WHEN b % 2 = 1 THEN xor(b >> 1, 3988292384) ELSE b >> 1 END FROM (SELECT {_byte} AS b))"
+OP11 = OP11.replace("{round}", _byte)
+
+OP12 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+b AS (
+    SELECT *, min(page_id) OVER (PARTITION BY html) AS head,
+        array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+            1 + ((('0x' || substr(hex, 1 + 5 * (i // 4), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31), 1) FOR i IN range(32)], '') AS digest
+    FROM p
+)
+SELECT page_id, strlen(html) AS payload_bytes, digest AS payload_digest,
+    CASE WHEN page_id = head THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> head THEN head END AS refers_to
+FROM b
+"""
+
+
+def _codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Product codes, a few common table expressions per round."""
+    sql = [f"""WITH v AS MATERIALIZED (
+    SELECT vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+x AS MATERIALIZED (
+    SELECT vec_id, i // w AS part, i % w AS pos, q[i + 1] AS v FROM (SELECT vec_id, q, len(q) // {parts} AS w, unnest(range(len(q))) AS i FROM v)
+),
+c0 AS MATERIALIZED (
+    SELECT part, entry, pos, v FROM x JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM v) USING (vec_id)
+    WHERE entry < {entries}
+)"""]
+    for r in range(rounds + 1):
+        sql.append(f"""a{r} AS MATERIALIZED (
+    SELECT vec_id, part, min(d * {entries} + entry) AS k FROM (
+        SELECT vec_id, part, entry, sum((x.v - c.v) * (x.v - c.v)) AS d FROM x JOIN c{r} c USING (part, pos) GROUP BY ALL
+    ) GROUP BY ALL
+)""")
+        if r < rounds:
+            sql.append(f"""c{r + 1} AS MATERIALIZED (
+    SELECT c.part, c.entry, c.pos, CASE WHEN n IS NULL THEN c.v ELSE (s - ((s % n) + n) % n) // n END AS v FROM c{r} c LEFT JOIN (
+        SELECT part, k % {entries} AS entry, pos, sum(v) AS s, count(*) AS n FROM a{r} JOIN x USING (vec_id, part) GROUP BY ALL
+    ) USING (part, entry, pos)
+)""")
+    return ",\n".join(sql) + f""",
+coded AS (
+    SELECT vec_id, string_agg(printf('%02x', (k % {entries})::INT), '' ORDER BY part) AS code, sum(k // {entries})::BIGINT AS error
+    FROM a{rounds} GROUP BY vec_id
+),
+books AS (SELECT sha256(string_agg(v::BIGINT::VARCHAR, ',' ORDER BY part, entry, pos)) AS codebooks_sha256 FROM c{rounds})
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+FROM coded JOIN v USING (vec_id), books
+"""
+
+
+OP13 = _codes_sql()
+
 ORACLE_SQL = {
     "op1_lm_scoring": OP1,
     "op2_line_dedup": OP2,
     "op5_decontamination": OP5,
     "op7_exact_dedup": OP7,
+    "op11_merkle_manifest": OP11,
+    "op12_warc": OP12,
+    "op13_vector_codes": OP13,
 }

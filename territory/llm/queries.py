@@ -1,4 +1,4 @@
-"""The registered queries of the operators, over the whole ``documents`` table."""
+"""The registered queries of the operators, over whole tables."""
 
 from __future__ import annotations
 
@@ -7,7 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from territory.llm import decontaminate, exact_dedup, jaccard_join, language, line_dedup, lm_score, packing, pii, quality, repeats
+from territory.llm import (
+    decontaminate, exact_dedup, jaccard_join, language, line_dedup, lm_score, manifest, packing, pii, quality, repeats,
+    vector_codes, warc,
+)
+from territory.llm.blocks import store
 from territory.llm.oracles import ORACLE_SQL
 
 
@@ -111,6 +115,47 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    cut = F.when(fold("doc_id", 2) == 0, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    leaves = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        "source",
+        manifest.leaf_digest(*fields).alias("leaf"),
+        manifest.leaf_digest(*fields[:-1], cut).alias("tampered"),
+    )
+    folded = manifest.fold("tampered", "path")
+    proofs = manifest.manifest(leaves, "leaf").withColumn("folded_root", folded)
+    return proofs.select(
+        "doc_id", "leaf", "subroot", "root", manifest.proof_digest("path").alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    kind = pages.schema["page_id"].dataType
+    records = warc.round_trip(pages, payloads=False)
+    return records.select(
+        F.col("page_id").cast(kind).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast(kind).alias("refers_to"),
+    )
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    coded, books = vector_codes.compress(vectors)
+    coded = store(coded, "vector-codes")
+    sums = coded.groupBy(F.col("label").alias("_label")).agg(F.sum("error").alias("label_error"))
+    code = F.array_join(F.transform("codes", lambda c: F.lpad(F.lower(F.hex(c)), 2, "0")), "")
+    return coded.join(sums, F.col("label").eqNullSafe(F.col("_label"))).select(
+        "vec_id", code.alias("code"), "error", "label_error", F.lit(vector_codes.books_digest(books)).alias("codebooks_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_line_dedup": op2_line_dedup,
@@ -122,6 +167,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_repeats": op9_repeats,
     "op10_quality": op10_quality,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_warc": op12_warc,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 ORACLES = ORACLE_SQL
