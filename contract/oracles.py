@@ -535,7 +535,7 @@ OPERATORS: dict[str, str] = {
     "geojson_lines": "select code, nom, flat as area from area",
     "geojson_zone_documents": _zone_rows,
     "geojson_zone_lines": _zone_rows,
-    "raw_full_replace": "select o_orderkey, o_totalprice + 1 as o_totalprice from orders where o_orderkey % 2 = 0",
+    "raw_full_replace": "select -1 - o_orderkey as o_orderkey, o_totalprice + 1 as o_totalprice from orders",
     "view_layer": "select o_orderkey, o_totalprice from orders where o_orderstatus = 'F'",
     "table_layer": "select o_orderkey, o_totalprice, o_orderstatus from orders where o_orderstatus = 'F'",
     "csv_ragged": """
@@ -585,6 +585,39 @@ OPERATORS: dict[str, str] = {
         )
         select region, cast(x1 as double) as x1, cast(y1 as double) as y1, cast(x2 as double) as x2, cast(y2 as double) as y2
         from side group by all having count(*) = 1""",
+    "keyed_load": """
+        select o_orderkey, cast(o_orderdate as date) as day, o_totalprice from orders where o_orderkey % 100 <> 7 union all
+        select o_orderkey, cast(o_orderdate as date) + 10000, o_totalprice * 2 from orders where o_orderkey % 100 = 7""",
+    "csv_sniffed": """
+        select cast(kind as int) as kind, c_custkey, 'a,b;c' || chr(9) || '|' || c_name || ';,|' as label, c_nationkey
+        from customer, range(4) k(kind)""",
+    "source_ages": """
+        select 'customer' as table_name, 100 as age_days, 'pass' as status, count(*) as n from customer union all
+        select 'part', 400, 'warn', count(*) from part union all
+        select 'supplier', 800, 'error', count(*) from supplier""",
+    "points_in_large_polygons": """
+        , corner as (
+          select o_orderkey // 8192 as block, o_orderkey % 8192 as x, floor(o_totalprice % 997) / 8 + 1 as h,
+                 lead(o_orderkey % 8192) over (partition by o_orderkey // 8192 order by o_orderkey) as nx,
+                 lead(floor(o_totalprice % 997) / 8 + 1) over (partition by o_orderkey // 8192 order by o_orderkey) as nh
+          from orders
+        ),
+        spot as (select l_orderkey, l_linenumber, l_orderkey // 8192 as block, l_orderkey % 8192 as x, floor(l_extendedprice % 1009) / 8 + 0.0137::double as y from lineitem)
+        select l_orderkey, l_linenumber, block from spot join corner using (block)
+        where corner.x <= spot.x and spot.x < nx and y < h + (nh - h) * (spot.x + 0.5::double - corner.x) / (nx - corner.x)""",
+    "department_rings": """
+        , brick as (select c_custkey // 32 // 16 as region, 2 * (c_custkey % 32) + (c_custkey // 32) % 2 as x, c_custkey // 32 as y from customer where c_acctbal > 0),
+        half as (select region, x + i as x, y + j as y from brick, range(2) a(i), range(2) b(j)),
+        upright as (select region, x + 2 * i as x, y from brick, range(2) a(i)),
+        vertex as (select distinct region, x + i as x, y + j as y from brick, range(3) a(i), range(2) b(j)),
+        h as (select region, x, y, count(*) as n from half group by all),
+        u as (select region, x, y, count(*) as n from upright group by all)
+        select region, cast(count(*) as double) as area,
+               cast((select count(*) from h where n = 1 and h.region = brick.region) / 2 + (select count(*) from u where n = 1 and u.region = brick.region) as double) as length,
+               (select count(*) from vertex where vertex.region = brick.region) - (select count(*) from h where h.region = brick.region)
+                 - (select count(*) from u where u.region = brick.region) + count(*) as parts_less_holes,
+               true as closed
+        from brick group by region""",
     "merged_features": f"""
         select code, nom, {rnd('cx + r + 0.123456::double', 4)} as x, {rnd('cy + 0.123456::double', 4)} as y
         from area where code <> '75101'""",

@@ -11,7 +11,7 @@ from contract import derive as D
 from contract.derive import LIMITS, PERIODS, load
 from territory.functions import clean as C
 from territory.operators import aggregate as A
-from territory.operators import dedup, geo, incremental, joins, quality, trend
+from territory.operators import dedup, geo, incremental, joins, quality, rings, trend
 from territory.operators.order_stats import exact_medians, value_ranks, percent_rank_of
 from territory.operators.storage import checkpoint_folder, materialise
 from territory.plans import mobility, serving, staging
@@ -428,6 +428,30 @@ def versioned_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental.load_version(spark, root, later, "day", "o_orderkey", 2)
 
 
+def keyed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads: most orders, later ones, then new days that replace some old keys; only files that can hold one are opened."""
+    root = scratch(spark, sf_dir, "keyed")
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day"), "o_totalprice")
+    incremental.load_version(spark, root, orders.filter("day < date'1997-01-01'"), "day", "o_orderkey", 1)
+    incremental.load_version(spark, root, orders.filter("day >= date'1997-01-01'"), "day", "o_orderkey", 2)
+    again = orders.filter("o_orderkey % 100 = 7").withColumns({"day": F.date_add("day", 10_000), "o_totalprice": F.col("o_totalprice") * 2})
+    return incremental.load_version(spark, root, again, "day", "o_orderkey", 3)
+
+
+def csv_sniffed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables with four separators, their text quoted and full of the others; read without naming one."""
+    frames = []
+    customers = load(spark, sf_dir, "customer").select(
+        "c_custkey", F.concat(F.lit("a,b;c\t|"), F.col("c_name"), F.lit(";,|")).alias("label"), "c_nationkey"
+    )
+    for n, sep in enumerate(text.SEPARATORS):
+        path = scratch(spark, sf_dir, f"sniffed_{n}")
+        customers.write.mode("overwrite").options(header=True, sep=sep, quoteAll=True, escape='"').csv(path)
+        back = text.read_text_table(spark, path, sep=None)
+        frames.append(back.select(F.lit(n).alias("kind"), F.col("c_custkey").cast("bigint").alias("c_custkey"), "label", F.col("c_nationkey").cast("int").alias("c_nationkey")))
+    return text.union_by_name(frames)
+
+
 def geojson_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Areas written as one feature per line, read back, measured."""
     path = scratch(spark, sf_dir, "features")
@@ -463,12 +487,12 @@ def geojson_zone_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_full_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A stored table replaced as a whole by another content."""
+    """A stored table replaced as a whole by other rows: no old key is left."""
     name = "raw_orders_" + sf_dir.rstrip("/").rsplit("/", 1)[-1].replace(".", "_").replace("-", "_")
     orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
     sinks.replace_table(orders, name)
-    even = orders.filter("o_orderkey % 2 = 0").withColumn("o_totalprice", F.col("o_totalprice") + 1)
-    return sinks.replace_table(even, name, bucket_by="o_orderkey", buckets=8)
+    other = orders.select((-1 - F.col("o_orderkey")).alias("o_orderkey"), (F.col("o_totalprice") + 1).alias("o_totalprice"))
+    return sinks.replace_table(other, name, bucket_by="o_orderkey", buckets=8)
 
 
 def view_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -484,13 +508,15 @@ def table_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows that lack their last field, in a gzip file: padded with nulls, or skipped."""
+    """Rows that lack their last field, in gzip files: padded with nulls, or skipped."""
     path = scratch(spark, sf_dir, "ragged")
     line = F.concat_ws(";", D.text("p_partkey"), "p_brand", F.when(F.col("p_partkey") % 5 != 0, D.text("p_size")))
-    part = load(spark, sf_dir, "part").select(F.lit(1).alias("o"), line.alias("value"))
-    header = spark.range(1).select(F.lit(0).alias("o"), F.lit("p_partkey;p_brand;p_size").alias("value"))
-    # One file with its header first, as such archives come.
-    header.union(part).repartition(1).sortWithinPartitions("o").select("value").write.mode("overwrite").text(path, compression="gzip")
+    file = F.floor(F.col("p_partkey") / 5000).alias("file")
+    part = load(spark, sf_dir, "part").select(file, F.lit(1).alias("o"), line.alias("value"))
+    header = part.select("file", F.lit(0).alias("o"), F.lit("p_partkey;p_brand;p_size").alias("value")).distinct()
+    # Files with their header first, as such archives come; as many as there are ranges of keys.
+    rows = header.union(part).repartition("file").sortWithinPartitions("file", "o")
+    rows.select("file", "value").write.mode("overwrite").partitionBy("file").text(path, compression="gzip")
     frames = [
         text.read_text_table(spark, path, sep=";", skip_malformed=skip, spread=8).select(
             F.col("p_partkey").cast("bigint").alias("p_partkey"), "p_brand",
@@ -501,15 +527,17 @@ def csv_ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.union_by_name(frames)
 
 
-def _pages(df: DataFrame, path: str, root: str, record: Column, order: str, pages: int) -> None:
-    """Records as JSON documents of a listing in several pages, in order."""
-    numbered = df.select(F.ntile(pages).over(Window.orderBy(order)).alias("page"), F.struct(order, record.alias("r")).alias("s"))
+def _pages(df: DataFrame, path: str, root: str, record: Column, order: str, width: int) -> None:
+    """Records as JSON documents of a listing in pages of ``width`` keys, in order."""
+    numbered = df.select(F.floor(F.col(order) / width).alias("page"), F.struct(order, record.alias("r")).alias("s"))
     body = F.transform(F.array_sort(F.collect_list("s")), lambda s: s["r"])
     document = F.struct(body.alias(root.split(".")[-1]))
     for name in reversed(root.split(".")[:-1]):
         document = F.struct(document.alias(name))
     rows = numbered.groupBy("page").agg(F.to_json(document).alias("value"))
-    rows.repartitionByRange(pages, "page").sortWithinPartitions("page").select("value").write.mode("overwrite").text(path)
+    # A document is a file, as such listings come; names ascend with the pages.
+    paged = rows.select(F.lpad(F.col("page").cast("string"), 12, "0").alias("p"), "value")
+    paged.write.mode("overwrite").partitionBy("p").text(path)
 
 
 def records_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -520,7 +548,7 @@ def records_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_custkey").alias("station_id"), "name", F.lit(2.5).alias("lat"), F.lit(48.5).alias("lon"),
         (F.col("c_custkey") % 40).cast("int").alias("capacity"),
     )
-    _pages(people, path, "data.stations", record, "c_custkey", 3)
+    _pages(people, path, "data.stations", record, "c_custkey", 500)
     return records.read_stations(spark, path)
 
 
@@ -531,12 +559,12 @@ def records_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("s_name").alias("stop_name"), D.text("s_suppkey").alias("stop_lat"), F.lit("48").alias("stop_lon"),
         F.lit("Metro").alias("mode"), F.concat(F.lit("M"), D.text(F.col("s_suppkey") % 14)).alias("shortname"),
     )
-    _pages(load(spark, sf_dir, "supplier"), one, "results", first, "s_suppkey", 2)
+    _pages(load(spark, sf_dir, "supplier"), one, "results", first, "s_suppkey", 50)
     second = F.struct(
         F.col("n_name").alias("stop_name"), D.text("n_nationkey").alias("stop_lat"), F.lit("48").alias("stop_lon"),
         F.lit("RER").alias("mode"), F.concat(F.lit("R"), D.text("n_regionkey")).alias("shortname"),
     )
-    _pages(load(spark, sf_dir, "nation"), two, "results", second, "n_nationkey", 1)
+    _pages(load(spark, sf_dir, "nation"), two, "results", second, "n_nationkey", 50)
     stops = records.read_stops(spark, [one, two])
     return stops.select("seq.source", "stop_name", "lat", "line")
 
@@ -548,7 +576,7 @@ def records_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
         D.text(F.col("s_suppkey") % 50).alias("id_compteur"),
         F.struct(F.col("s_suppkey").cast("double").alias("lat"), F.lit(2.0).alias("lon")).alias("coordinates"),
     )
-    _pages(load(spark, sf_dir, "supplier"), path, "results", record, "s_suppkey", 3)
+    _pages(load(spark, sf_dir, "supplier"), path, "results", record, "s_suppkey", 40)
     counters = records.read_counters(spark, path)
     return counters.groupBy("id_compteur").agg(F.max_by("lat", "seq").alias("lat"))
 
@@ -626,6 +654,48 @@ def dissolve_boundary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return geo.dissolve_boundary(_grid_squares(spark, sf_dir), "region")
 
 
+def points_in_large_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A polygon of up to 8192 corners per block of orders, and a point per line of them."""
+    orders = load(spark, sf_dir, "orders")
+    key, block = F.col("o_orderkey"), F.floor(F.col("o_orderkey") / 8192)
+    height = F.floor(F.col("o_totalprice") % 997) / 8 + 1
+    corner = F.struct((key % 8192).cast("double").alias("x"), (height + block * 256).alias("y"))
+    chains = orders.groupBy(block.alias("block")).agg(F.array_sort(F.collect_list(corner)).alias("top"))
+    base = (F.col("block") * 256).cast("double")
+    top = F.transform("top", lambda p: F.array(p.x, p.y))
+    ends = F.array(F.array(F.element_at("top", -1).x, base), F.array(F.get("top", F.lit(0)).x, base), F.element_at(top, 1))
+    areas = chains.select("block", F.array(F.array(F.concat(top, ends))).alias("geom"))
+    row = F.floor(F.col("l_orderkey") / 8192)
+    points = load(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", (F.col("l_orderkey") % 8192 + 0.5).alias("x"),
+        (row * 256 + F.floor(F.col("l_extendedprice") % 1009) / 8 + 0.0137).alias("y"),
+    )
+    found = geo.points_in_polygons(points, areas, "x", "y", ["block"])
+    return found.select("l_orderkey", "l_linenumber", "block")
+
+
+def department_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outlines of regions of bricks, a brick per customer in credit: their size, length, parts less holes, and open rings."""
+    people = load(spark, sf_dir, "customer").filter("c_acctbal > 0")
+    x, y = F.col("c_custkey") % 32, F.floor(F.col("c_custkey") / 32)
+    left, low = x + (y % 2) / 2, y.cast("double")
+    ring = F.array(*[F.array(left + dx, low + dy) for dx, dy in ((0, 0), (1, 0), (1, 1), (0, 1), (0, 0))])
+    bricks = people.select(F.floor(y / 16).alias("region"), F.array(F.array(ring)).alias("geom"))
+    out = rings.outlines(bricks, "region", digits=1)
+
+    def length(r: Column) -> Column:
+        sides = F.transform(F.sequence(F.lit(1), F.size(r) - 1), lambda i: F.abs(F.element_at(r, i + 1)[0] - F.element_at(r, i)[0]) + F.abs(F.element_at(r, i + 1)[1] - F.element_at(r, i)[1]))
+        return F.aggregate(sides, F.lit(0.0), lambda total, v: total + v)
+
+    loops = F.flatten("geom")
+    whole = F.forall(loops, lambda r: (F.size(r) > 3) & (F.element_at(r, 1) == F.element_at(r, -1)))
+    return out.select(
+        "region", geo.planar_area(F.col("geom")).alias("area"),
+        F.aggregate(F.transform(loops, length), F.lit(0.0), lambda total, v: total + v).alias("length"),
+        (2 * F.size("geom") - F.size(loops)).cast("long").alias("parts_less_holes"), whole.alias("closed"),
+    )
+
+
 def merged_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     areas = D.areas(spark, sf_dir).withColumn("code", F.when(F.col("code") == "75101", S.CITY_CODE).otherwise(F.col("code")))
     shifted = F.transform("geom", lambda p: F.transform(p, lambda r: F.transform(r, lambda xy: F.transform(xy, lambda v: v + 0.123456))))
@@ -639,6 +709,19 @@ def merged_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- quality ------------------------------------------------------------------
 
 
+def source_ages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables without a date, judged by the age of their files, some time after these were written."""
+    found = []
+    for table, days in (("customer", 100), ("part", 400), ("supplier", 800)):
+        path = f"{sf_dir}/{table}.parquet"
+        written = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).agg(F.max("modificationTime")).first()[0]
+        today = F.date_add(F.lit(written).cast("date"), days)
+        ages = quality.check_file_age(spark, path, today, *quality.FILE_AGES["income"])
+        rows = load(spark, sf_dir, table).agg(F.count(F.lit(1)).alias("n"))
+        found.append(ages.join(rows).select(F.lit(table).alias("table_name"), "age_days", "status", "n"))
+    return text.union_by_name(found)
+
+
 def quality_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = D.raw_communes(spark, sf_dir)
     return quality.check_not_null(m, "REG").select("COM", "TYPECOM")
@@ -727,7 +810,7 @@ OPERATORS: dict[str, Query] = {
         geojson_zone_lines, raw_full_replace, view_layer, table_layer, csv_ragged, records_stations,
         records_stops, records_counters, optional_source, sales_incremental,
         points_in_areas, area_km2, bike_density, station_lines, located_counters,
-        dissolve_boundary, merged_features, quality_not_null, quality_unique,
+        dissolve_boundary, points_in_large_polygons, department_rings, keyed_load, csv_sniffed, source_ages, merged_features, quality_not_null, quality_unique,
         quality_accepted_values, quality_relationship, quality_expression, quality_freshness,
         quality_row_counts, quality_all_models, prices_commune_year, tension_ranking,
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -56,6 +57,80 @@ def read_version(spark: SparkSession, root: str, version: int) -> DataFrame:
     return _read(spark, root, _manifest(spark, root, version)).drop("_year")
 
 
+#: Fixed value: bits of one bitmap of ``bitmap_construct_agg``.
+BITMAP_BITS = 32_768
+#: Bits of a key filter per key, and bits that a key sets.
+BITS_PER_KEY = 16
+KEY_BITS = 3
+
+
+def _bits(key: Column) -> Column:
+    return F.array(*[F.pmod(F.xxhash64(key, F.lit(i)), F.lit(BITMAP_BITS)) for i in range(1, KEY_BITS + 1)])
+
+
+def _segment(key: Column, segments: Column) -> Column:
+    return F.pmod(F.xxhash64(key), segments)
+
+
+def write_key_filters(spark: SparkSession, root: str, version: int, key: str) -> None:
+    """What the files that a load wrote can hold: smallest and largest key, and a filter of their keys.
+
+    A filter is a row of bits per segment of the key's hash, with segments (a power of two)
+    enough for ``BITS_PER_KEY`` bits per key, so it grows with its file and no row with it.
+    """
+    place = F.regexp_extract("_metadata.file_path", f"^.*/(data/v{version}/.*)$", 1)
+    keys = spark.read.parquet(f"{root}/data/v{version}").filter(F.col(key).isNotNull()).select(F.col(key).alias("key"), place.alias("file"))
+    needed = F.greatest(F.count(F.lit(1)) * BITS_PER_KEY / BITMAP_BITS, F.lit(1.0))
+    segments = F.pow(F.lit(2.0), F.ceil(F.log2(needed))).cast("long")
+    files = keys.groupBy("file").agg(F.min("key").alias("low"), F.max("key").alias("high"), segments.alias("segments"))
+    files.write.mode("overwrite").parquet(f"{root}/keys/v{version}/files")
+    sized = keys.join(spark.read.parquet(f"{root}/keys/v{version}/files").select("file", "segments"), "file")
+    bits = sized.select("file", "segments", _segment(F.col("key"), F.col("segments")).alias("segment"), F.explode(_bits(F.col("key"))).alias("bit"))
+    filters = bits.groupBy("file", "segments", "segment").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    filters.write.mode("overwrite").parquet(f"{root}/keys/v{version}/filters")
+
+
+def files_with_keys(spark: SparkSession, root: str, folders: Iterable[str], keys: DataFrame) -> list[str]:
+    """Files of ``folders`` that can hold one of ``keys`` (one column), relative to ``root``.
+
+    Some may hold none; none that holds one is missing. Only the statistics
+    are read: a key meets the segments of filters that it falls in, by an equi-join.
+    """
+    listed = sorted(folders)
+    versions = sorted({folder.split("/")[1] for folder in listed})
+
+    def of(kind: str) -> DataFrame:
+        frames = [spark.read.parquet(f"{root}/keys/{v}/{kind}") for v in versions]
+        return reduce(DataFrame.unionByName, frames).filter(F.regexp_extract("file", "^(.*)/[^/]*$", 1).isin(listed))
+
+    name = keys.columns[0]
+    keys = keys.filter(F.col(name).isNotNull()).select(F.col(name).alias("key")).distinct()
+    ends = keys.agg(F.min("key").alias("first"), F.max("key").alias("last")).first()
+    if not listed or ends["first"] is None:
+        return []
+    near = of("files").filter((F.col("high") >= F.lit(ends["first"])) & (F.col("low") <= F.lit(ends["last"])))
+    sizes = [r["segments"] for r in near.select("segments").distinct().collect()]  # powers of two: some 40 at most
+    if not sizes:
+        return []
+    asked = keys.withColumn("segments", F.explode(F.array(*[F.lit(n).cast("long") for n in sorted(sizes)])))
+    asked = asked.withColumn("segment", _segment(F.col("key"), F.col("segments")))
+    met = asked.join(of("filters").join(near.select("file", "low", "high"), "file"), ["segments", "segment"])
+
+    def is_set(bit: Column) -> Column:
+        octet = F.conv(F.hex(F.substring(F.col("bits"), F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        return F.getbit(octet, (bit % 8).cast("int")) == 1
+
+    held = F.col("key").between(F.col("low"), F.col("high")) & F.forall(_bits(F.col("key")), is_set)
+    return sorted(r["file"] for r in met.filter(held).select("file").distinct().collect())  # a row per file to open
+
+
+def drop_version(spark: SparkSession, root: str, version: int) -> None:
+    """Take back the newest version: nothing that an older one lists is touched."""
+    for part in ("manifest", "keys", "data"):
+        target = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{part}/v{version}")
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def load_version(
     spark: SparkSession, root: str, incoming: DataFrame, ts: str, key: str, version: int
 ) -> DataFrame:
@@ -63,9 +138,10 @@ def load_version(
 
     Rows lie in a folder per year, and a version is a list of such folders. A
     load takes the watermark from the newest year, finds the years that the
-    new rows or the rows they replace lie in (for the latter only the key
-    column is read), and writes these years anew; all others are listed as
-    they are, so a daily load costs what it touches. Nothing that an older
+    new rows or the rows they replace lie in (for the latter the key column of
+    those files is read that can hold one of the new keys), and writes these
+    years anew; all others are listed as they are, so a daily load costs what it
+    touches. Nothing that an older
     version lists is changed. The first load has version 1; a load that is
     repeated gives the same version again.
     """
@@ -78,9 +154,13 @@ def load_version(
     new = incoming.withColumn("_year", year)
     touched = set(stored)
     if stored:
-        old_keys = _read(spark, root, stored).select(key, "_year")
-        replaced = old_keys.join(incoming.select(key).distinct(), key, "left_semi").select("_year")
-        touched = {r["_year"] for r in replaced.union(new.select("_year")).distinct().collect()}  # a row per year
+        years = new.select("_year")
+        files = files_with_keys(spark, root, stored.values(), incoming.select(key))
+        if files:
+            year_of = F.regexp_extract("_metadata.file_path", "/_year=([^/]*)/[^/]*$", 1)
+            old_keys = spark.read.parquet(*[f"{root}/{f}" for f in files]).select(key, year_of.alias("_year"))
+            years = years.union(old_keys.join(incoming.select(key).distinct(), key, "left_semi").select("_year"))
+        touched = {r["_year"] for r in years.distinct().collect()}  # a row per year
     again = {y: folder for y, folder in stored.items() if y in touched}
     state = replace_by_key(_read(spark, root, again), new, key) if again else new
     if stored and not touched:
@@ -89,6 +169,7 @@ def load_version(
         data = f"data/v{version}"
         # Rows of a year meet in tasks of the advised size, so a year is a few large files.
         state.hint("rebalance", "_year").write.mode("overwrite").partitionBy("_year").parquet(f"{root}/{data}")
+        write_key_filters(spark, root, version, key)
         written = spark.read.option("recursiveFileLookup", False).schema("_year string").parquet(f"{root}/{data}")
         years = [r["_year"] for r in written.distinct().collect()]
         folders = {y: f for y, f in stored.items() if y not in touched} | {y: f"{data}/_year={y}" for y in years}

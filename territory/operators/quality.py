@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from territory import settings as S
@@ -55,6 +55,41 @@ def check_freshness(
     return last.select("last_date", age.alias("age_days"), status.alias("status"))
 
 
+def check_file_age(spark: SparkSession, path: str, today: Column, warn_days: int, error_days: int) -> DataFrame:
+    """``check_freshness`` of a source without a date: by when the newest of its files was written.
+
+    Files are listed, not read.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return check_freshness(files.select(F.col("modificationTime").alias("written")), "written", today, warn_days, error_days)
+
+
+def check_keys(
+    tables: Mapping[str, tuple[DataFrame, str]], unique: Mapping[str, str], references: Mapping[str, tuple[str, str]]
+) -> DataFrame:
+    """Violations of rules on one kind of key, all rules by one exchange: table_name, n.
+
+    ``tables`` names frames and their key columns; ``unique`` gives the table
+    of each rule, ``references`` the child and the parent. A key's rows are
+    counted per table, partially before the shuffle, so a hot key is one row per
+    task. n is the number of repeated keys, or of child rows without a parent; null keys pass.
+    """
+    sides = {name: f"n{i}" for i, name in enumerate(tables)}
+    tagged = [
+        df.filter(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.lit(name).alias("side"))
+        for name, (df, key) in tables.items()
+    ]
+    counts = reduce(DataFrame.unionByName, tagged).groupBy("key").agg(
+        *[F.count_if(F.col("side") == name).alias(column) for name, column in sides.items()]
+    )
+    found = {rule: F.count_if(F.col(sides[name]) > 1) for rule, name in unique.items()}
+    for rule, (child, parent) in references.items():
+        orphans = F.when(F.col(sides[parent]) == 0, F.col(sides[child]))
+        found[rule] = F.coalesce(F.sum(orphans), F.lit(0).cast("long"))
+    totals = counts.agg(*[n.alias(rule) for rule, n in found.items()])
+    return totals.select(F.inline(F.array(*[F.struct(F.lit(rule).alias("table_name"), F.col(rule).alias("n")) for rule in found])))
+
+
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Rows per table."""
     counts = [
@@ -83,8 +118,8 @@ def _outside(column: str, low: float, high: float) -> Column:
 def check_all(models: Mapping[str, DataFrame]) -> DataFrame:
     """Violations of every rule on every model, one row per check.
 
-    Row-level rules of a model share one pass; uniqueness and references need
-    a shuffle each.
+    Row-level rules of a model share one pass; uniqueness and references share
+    one exchange by commune code.
     """
     def missing(column: str) -> Column:
         return F.col(column).isNull()
@@ -143,19 +178,20 @@ def check_all(models: Mapping[str, DataFrame]) -> DataFrame:
             "evolution_year_not_null": missing("annee"),
         },
     }
-    geo = models["communes_region"]
-    others = {
-        "stage_communes_code_unique": check_unique(models["communes"], "code_commune"),
-        "communes_code_unique": check_unique(geo, "code_commune"),
-    }
-    for prefix, name in (("income", "income"), ("ages", "age_structure")):
-        others[f"{prefix}_code_unique"] = check_unique(models[name], "code_commune")
-    for prefix, name in (
-        ("prices", "prices"), ("income", "income"), ("ages", "age_structure"), ("evolution", "evolution")
-    ):
-        others[f"{prefix}_code_known"] = check_relationship(models[name], geo, "code_commune")
+    names = ("communes", "communes_region", "prices", "income", "age_structure", "evolution")
+    keyed = check_keys(
+        {name: (models[name], "code_commune") for name in names},
+        unique={
+            "stage_communes_code_unique": "communes", "communes_code_unique": "communes_region",
+            "income_code_unique": "income", "ages_code_unique": "age_structure",
+        },
+        references={
+            "prices_code_known": ("prices", "communes_region"), "income_code_known": ("income", "communes_region"),
+            "ages_code_known": ("age_structure", "communes_region"), "evolution_code_known": ("evolution", "communes_region"),
+        },
+    )
     results = [count_violations(models[name], rules) for name, rules in row_rules.items()]
-    return reduce(DataFrame.unionByName, [*results, row_counts(others)])
+    return reduce(DataFrame.unionByName, [*results, keyed])
 
 
 class QualityError(Exception):
@@ -177,16 +213,23 @@ def gate(counts: DataFrame) -> DataFrame:
 
 #: Days without new data after which a source is reported, and after which it is refused.
 FRESHNESS = {"sales": ("date_mutation", 90, 180)}
+#: The same for sources whose rows carry no date, by the age of their file.
+FILE_AGES = {table: (365, 730) for table in ("communes", "income", "population", "population_age", "rents", "crime", "diplomas")}
 
 
-def check_sources(models: Mapping[str, DataFrame], today: Column) -> DataFrame:
-    """Freshness of the dated sources: table_name, last_date, age_days, status.
+def check_sources(models: Mapping[str, DataFrame], today: Column, files: Mapping[str, str] | None = None) -> DataFrame:
+    """Freshness of the sources: table_name, last_date, age_days, status.
 
-    Only sales carry a date of their own; the other sources are as old as
-    their load, which a refresh makes new.
+    Sales carry a date of their own; of other sources, those in ``files`` (their paths) are as old as their newest file.
     """
     found = [
         check_freshness(models[name], column, today, warn, error).select(F.lit(name).alias("table_name"), "*")
         for name, (column, warn, error) in FRESHNESS.items()
+        if name in models
+    ]
+    spark = next(iter(models.values())).sparkSession
+    found += [
+        check_file_age(spark, path, today, *FILE_AGES[name]).select(F.lit(name).alias("table_name"), "*")
+        for name, path in (files or {}).items()
     ]
     return reduce(DataFrame.unionByName, found)

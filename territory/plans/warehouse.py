@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from territory import schemas, sinks
 from territory import settings as S
 from territory.functions import clean as C
-from territory.operators import geo, incremental, quality
+from territory.operators import geo, incremental, quality, rings
 from territory.operators.storage import materialise, temporary_copies
 from territory.plans import mobility, staging
 from territory.plans.build import build_models
@@ -48,7 +48,7 @@ def raw_sales(
         print("sales: no file, skipped")
         return spark.createDataFrame([], schemas.raw_schema("sales"))
     empty = spark.createDataFrame([], schemas.raw_schema("sales"))
-    return text.union_by_name([empty, text.read_many_by_name(spark, found, spread=text.spread_of(spark, found))])
+    return text.union_by_name([empty, text.read_many_by_name(spark, found, spread=text.spread_of(spark, found), **schemas.RAW_FORMATS["sales"])])
 
 
 def raw_tables(
@@ -62,6 +62,12 @@ def raw_tables(
     return tables | {"sales": raw_sales(spark, folder, **scope)}
 
 
+def source_files(spark: SparkSession, folder: str) -> dict[str, str]:
+    """Path of the file of each source that carries no date of its own; sources without a file are left out."""
+    found = {table: text.first_existing(spark, f"{folder}/{FILES[table]}", f"{folder}/{FILES[table]}.gz") for table in quality.FILE_AGES}
+    return {table: path for table, path in found.items() if path}
+
+
 def boundaries(spark: SparkSession, folder: str) -> DataFrame | None:
     """Commune boundaries with the city's districts in place of the city, from
     features by line, from one merged file or from the two it is made of."""
@@ -83,6 +89,11 @@ def outlines(areas: DataFrame) -> DataFrame:
     return geo.dissolve_boundary(areas.withColumn("code_dep", C.department_of("code")), "code_dep")
 
 
+def department_rings(areas: DataFrame) -> DataFrame:
+    """One multipolygon per department, dissolved from its communes."""
+    return rings.outlines(areas.withColumn("code_dep", C.department_of("code")), "code_dep")
+
+
 def mobility_tables(spark: SparkSession, folder: str, areas: DataFrame) -> dict[str, DataFrame]:
     """Mobility tables for the record files present."""
     def path(name: str) -> str | None:
@@ -128,8 +139,8 @@ def refresh(
     every data-quality rule.
 
     The rules run before anything is published: a violated rule, or sales
-    older than allowed on the day ``today`` if that is given, raises
-    ``QualityError`` and no result table is written.
+    or files older than allowed on the day ``today`` if that is given, raises
+    ``QualityError``: no result table is written, and the sales version is dropped.
     """
     with temporary_copies(spark):
         return _refresh(spark, folder, target, version, limits, zone_documents, today, scope)
@@ -146,9 +157,9 @@ def _refresh(
     scope: Mapping[str, Sequence[str]],
 ) -> DataFrame:
     raw = raw_tables(spark, folder, **scope)
-    root = f"{target}/v{version}"
+    root, sales = f"{target}/v{version}", f"{target}/sales"
     loaded = incremental.load_version(
-        spark, f"{target}/sales", staging.clean_sales(raw["sales"]), "date_mutation", "id_mutation", version
+        spark, sales, staging.clean_sales(raw["sales"]), "date_mutation", "id_mutation", version
     )
     models = build_models(raw, limits, sales=loaded, tension=True)
     results = {
@@ -158,18 +169,24 @@ def _refresh(
         )
     }
     results["sale_stats"] = models["sale_stats"]
-    counts = quality.gate(quality.check_all(models))
-    if today is not None:
-        stale = quality.check_sources(models, F.lit(today).cast("date")).filter("status = 'error'").collect()
-        if stale:
-            raise quality.QualityError({f"{r['table_name']}_fresh": 1 for r in stale})
+    try:
+        counts = quality.gate(quality.check_all(models))
+        if today is not None:
+            ages = quality.check_sources(models, F.lit(today).cast("date"), source_files(spark, folder))
+            stale = ages.filter("status = 'error'").collect()  # a row per source
+            if stale:
+                raise quality.QualityError({f"{r['table_name']}_fresh": 1 for r in stale})
+    except quality.QualityError:
+        # Its watermark would hide a corrected delivery from the next version.
+        incremental.drop_version(spark, sales, version)
+        raise
     areas = boundaries(spark, folder)
     if areas is not None:
         areas = materialise(areas)
         results |= mobility_tables(spark, folder, areas)
         results["department_outlines"] = outlines(areas)
         sinks.write_geojson_by_zone(areas, f"{root}/geojson", documents=zone_documents)
-        sinks.write_outlines(results["department_outlines"], f"{root}/geojson_departments")
+        sinks.write_outline_polygons(department_rings(areas), f"{root}/geojson_departments")
     sinks.publish(results, f"{root}/tables")
     stored_tables = {name: spark.read.parquet(f"{root}/tables/{name}") for name in results}
     for name in ("accessibility", "zones", "evolution", "tension"):

@@ -38,11 +38,11 @@ RAW_COLUMNS: dict[str, tuple[str, ...]] = {
     ),
 }
 
-# How each raw text table is written: separator, encoding, ragged rows.
+# How each raw text table is written: separator (None: told by its first lines), encoding, ragged rows.
 RAW_FORMATS: dict[str, dict] = {
-    "sales": {"sep": ","},
-    "sale_stats": {"sep": ","},
-    "communes": {"sep": ","},
+    "sales": {"sep": None},
+    "sale_stats": {"sep": None},
+    "communes": {"sep": None},
     "income": {"sep": ";"},
     "population": {"sep": ","},
     "population_age": {"sep": ";"},

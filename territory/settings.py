@@ -25,6 +25,17 @@ ZONES = (
 )
 ZONE_NAMES = ("Paris", "Petite couronne", "Grande couronne")
 
+DEPARTMENT_NAMES = (
+    ("75", "Paris"),
+    ("77", "Seine-et-Marne"),
+    ("78", "Yvelines"),
+    ("91", "Essonne"),
+    ("92", "Hauts-de-Seine"),
+    ("93", "Seine-Saint-Denis"),
+    ("94", "Val-de-Marne"),
+    ("95", "Val-d'Oise"),
+)
+
 SALE = "Vente"
 FLAT = "Appartement"
 HOUSE = "Maison"

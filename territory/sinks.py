@@ -130,3 +130,10 @@ def write_outlines(segments: DataFrame, folder: str, key: str = "code_dep") -> N
         F.lit('{"type":"Feature","geometry":'), geometry, F.lit(',"properties":'), properties, F.lit("}")
     )
     lines.select(value.alias("value")).write.mode("overwrite").text(folder)
+
+
+def write_outline_polygons(outlines: DataFrame, folder: str, key: str = "code_dep") -> None:
+    """Department outlines as one polygon feature per line, with code and name: the layer of the department maps."""
+    names = F.create_map(*[F.lit(v) for pair in S.DEPARTMENT_NAMES for v in pair])
+    named = outlines.select(F.col(key).alias("code"), F.try_element_at(names, F.col(key)).alias("nom"), "geom")
+    named.select(feature_text("geom", "code", "nom").alias("value")).write.mode("overwrite").text(folder)

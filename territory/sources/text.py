@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 from functools import reduce
 
@@ -25,10 +26,46 @@ def first_existing(spark: SparkSession, *paths: str) -> str | None:
     return next((p for p in paths if path_exists(spark, p)), None)
 
 
+#: Separators to tell apart; the first of equally good ones holds.
+SEPARATORS = (",", ";", "\t", "|")
+#: Lines of a file that its separator is told by.
+SNIFFED_LINES = 200
+
+
+def separator_of(lines: Sequence[str], quote: str = '"') -> str:
+    """The separator that divides most lines into as many fields as the first one, two at least.
+
+    Separators inside quotes do not count. Among equals the one with more
+    fields holds, then the order of ``SEPARATORS``, which also gives the
+    answer for a single column. Blank lines are passed over.
+    """
+    def fields(line: str, sep: str) -> int:
+        try:
+            return len(next(csv.reader([line], delimiter=sep, quotechar=quote, strict=True)))
+        except csv.Error:  # a quote that ends before something else than this separator
+            return 0
+
+    best, chosen = (0, 0), SEPARATORS[0]
+    solid = [line for line in lines if line.strip()]
+    for sep in SEPARATORS if solid else ():
+        counts = [fields(line, sep) for line in solid]
+        fit = sum(n == counts[0] for n in counts), counts[0]
+        if counts[0] > 1 and fit > best:
+            best, chosen = fit, sep
+    return chosen
+
+
+def detect_separator(spark: SparkSession, path: str, quote: str = '"', encoding: str = "UTF-8") -> str:
+    """Separator of a text table, told by its first lines; a few are read, through gzip and in any encoding."""
+    # A separator that no text holds gives whole lines.
+    raw = spark.read.options(header=False, sep="\x00", quote="", encoding=encoding).schema("line string").csv(path)
+    return separator_of([(r["line"] or "").lstrip("\ufeff") for r in raw.limit(SNIFFED_LINES).collect()], quote)
+
+
 def read_text_table(
     spark: SparkSession,
     path: str | Sequence[str],
-    sep: str = ",",
+    sep: str | None = ",",
     quote: str = '"',
     encoding: str = "UTF-8",
     skip_malformed: bool = False,
@@ -37,11 +74,13 @@ def read_text_table(
 ) -> DataFrame:
     """Header file with every column as text; gzip is read by its suffix.
 
-    Short rows are padded with nulls, or dropped when ``skip_malformed``.
+    Without ``sep`` the separator is told by the first lines (of the first file). Short rows are padded with nulls, or dropped when ``skip_malformed``.
     A gzip file is one task: ``spread`` deals its rows to that many tasks when
     few large archives would otherwise keep most tasks idle. A quoted field may
     hold line breaks with ``multiline``; a file is then one task too.
     """
+    if sep is None:
+        sep = detect_separator(spark, path if isinstance(path, str) else path[0], quote, encoding)
     reader = spark.read.options(
         header=True, inferSchema=False, sep=sep, quote=quote, escape=quote, encoding=encoding,
         mode="DROPMALFORMED" if skip_malformed else "PERMISSIVE", multiLine=multiline,
@@ -89,9 +128,13 @@ def read_many_by_name(spark: SparkSession, paths: Sequence[str], **options) -> D
     """Files with differing headers as one table; malformed rows are skipped.
 
     Spark applies one header to all files of a read, so files are read per
-    header, however many files share it.
+    header, however many files share it. With ``sep`` None the first file's
+    separator is told by its lines, and holds for all.
     """
     options.setdefault("skip_malformed", True)
+    if options.get("sep", ",") is None:
+        told = {k: options[k] for k in ("quote", "encoding") if k in options}
+        options["sep"] = detect_separator(spark, paths[0], **told)
     groups = header_groups(spark, paths, **options)
     return union_by_name([read_text_table(spark, files, **options) for files in groups])
 

@@ -97,6 +97,76 @@ def test_no_cross_join_in_containment(points, polygons):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+def comb(teeth, width=1.0, depth=0.0):
+    """A polygon of many edges: teeth of unequal height over a block, horizontal edges included."""
+    ring = [[0.0, -depth]]
+    for i in range(teeth):
+        h = 1.0 + (i * 37 % 11) / 4
+        ring += [[i * width, h], [(i + 0.5) * width, h], [(i + 0.5) * width, 0.5]]
+    return [*ring, [teeth * width, -depth], [0.0, -depth]]
+
+
+@pytest.mark.parametrize("dealt", [False, True])
+def test_small_cells_give_the_same_answers(points, polygons, monkeypatch, dealt):
+    """Cells of few edges, points on vertices and edges, nested and overlapping shapes of all sizes."""
+    monkeypatch.setattr(G, "CELL_EDGES", 3)
+    monkeypatch.setattr(G, "MOST_SPLITS", 7)
+    if dealt:
+        monkeypatch.setattr(G, "BROADCAST_BYTES", 0)
+        monkeypatch.setattr(G, "HOT_SHARE", 5)
+    rng = random.Random(11)
+    shapes = {f"s{i}": [[star(rng.uniform(-9, 9), rng.uniform(-9, 9), 10 ** rng.uniform(-2, 1), rng)]] for i in range(12)}
+    shapes["comb"] = [[comb(40, 0.25)]]
+    shapes["lattice"] = [[square(-4, -4, 8), square(-2, -2, 2)], [square(5, 5, 0.5)]]
+    shapes["fan"] = [[[[0.0, 0.0], *[p for k in range(12) for p in ([3.0, k / 4], [3.0, k / 4 + 0.125], [0.0, 0.0])]]]]
+    xy = [(rng.uniform(-10, 10), rng.uniform(-10, 10)) for _ in range(300)]
+    xy += [(rng.randint(-80, 80) / 8, rng.randint(-40, 40) / 8) for _ in range(600)] + [(1.0, 0.25)] * 300
+    expected = sorted((i, code) for i, (x, y) in enumerate(xy) for code, geom in shapes.items() if brute(x, y, geom))
+    assert inside(points(*xy), polygons(**shapes)) == expected
+    if not dealt:
+        cells = G.polygon_cells(polygons(block=[[comb(40, 0.25, 8.0)]]), ["code"], "geom")
+        whole = cells.filter("size(edges) = 0 and size(turns) = 0")
+        assert whole.count() > 0 and whole.filter("base = 0").count() == 0
+
+
+def test_a_polygon_of_many_edges_gives_bounded_cells(spark, polygons):
+    geom = [[comb(10_000, depth=5000.0)]]
+    cells = G.polygon_cells(polygons(big=geom), ["code"], "geom")
+    weight = F.size("edges") + F.size("turns")
+    assert cells.select(F.max(weight)).first()[0] <= G.CELL_EDGES
+    assert cells.select(F.sum(F.size("edges"))).first()[0] < 4 * 30_000
+    xy = [(i + 0.125, 0.25 + (i % 13) / 4) for i in range(0, 10_000, 20)]
+    df = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(xy)], "id int, x double, y double")
+    expected = [(i, "big") for i, (x, y) in enumerate(xy) if y < 1.0 + (int(x) * 37 % 11) / 4]
+    assert inside(df, polygons(big=geom)) == expected
+
+
+def test_points_are_not_multiplied_and_hot_cells_are_dealt(spark, polygons, monkeypatch):
+    from conftest import plan_of
+
+    monkeypatch.setattr(G, "BROADCAST_BYTES", 0)
+    shapes = {f"p{i}": [[square(i % 30, i // 30, 10.0 ** (i % 4 - 3))]] for i in range(300)}
+    at = F.when(F.col("id") % 10 < 9, 1.05).otherwise(F.col("id") % 30 + 0.0005)
+    df = spark.range(20_000).select("id", at.alias("x"), F.lit(0.0005).alias("y")).repartition(8)
+    found = G.points_in_polygons(df, polygons(**shapes), "x", "y", ["code"])
+    points_side = plan_of(found).split("SortMergeJoin")[-1].split("Generate")[0]
+    assert "monotonically_increasing_id" in points_side
+    seen = []
+    monkeypatch.setattr(G, "_dealt", lambda a, b, on, f=G._dealt: seen.append(f(a, b, on)) or seen[-1])
+    G.points_in_polygons(df, polygons(**shapes), "x", "y", ["code"])
+    located = seen[0][0]
+    assert located.count() == 20_000
+    most = located.groupBy("_jx", "_jy", "_salt").count().agg(F.max("count")).first()[0]
+    assert most <= 2 * 20_000 / G.HOT_SHARE
+
+
+def test_join_side_bounds_the_copies():
+    assert G.join_side({1.0: 10}) == 1.0
+    sides = {2.0**-20: 10_000_000, 2.0**5: 100}
+    chosen = G.join_side(sides)
+    assert sum(n * max(1.0, s / chosen) ** 2 for s, n in sides.items()) <= 4 * sum(sides.values()) + 10_000
+
+
 def test_area(polygons):
     geom = [[square(0, 0, 10), square(4, 4, 2)], [square(20, 0, 1)]]
     df = polygons(m=geom)

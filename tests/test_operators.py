@@ -1,6 +1,7 @@
 import datetime
 from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan_of
@@ -142,3 +143,70 @@ def test_a_load_leaves_the_files_of_other_years_alone(spark, rows, tmp_path):
     assert {(r.k, r.v) for r in incremental.read_version(spark, root, 1).collect()} == {(i, "old") for i in range(40)} | {(99, "undated")}
     third = incremental.load_version(spark, root, late, "day", "k", 3)
     assert {(r.k, r.v) for r in third.collect()} == expected and not (tmp_path / "store" / "data" / "v3").exists()
+
+
+def test_a_load_opens_only_files_that_can_hold_its_keys(spark, tmp_path):
+    import random
+
+    from territory.operators import incremental
+
+    root, rng = str(tmp_path / "t"), random.Random(4)
+    keys = [f"k{rng.randrange(10**9)}" for _ in range(6000)]
+    days = [f"{2001 + i % 6}-03-04" for i in range(6000)]
+    old = spark.createDataFrame(list(zip(keys, days, strict=True)), "key string, day string").withColumn("day", F.to_date("day"))
+    incremental.load_version(spark, root, old, "day", "key", 1)
+    folders = [f"data/v1/_year={y}" for y in range(2001, 2007)]
+
+    def opened(*asked):
+        df = spark.createDataFrame([(k,) for k in asked], "key string")
+        return {f.split("/")[2] for f in incremental.files_with_keys(spark, root, folders, df)}
+
+    for i in range(0, 6000, 1500):
+        assert f"_year={2001 + i % 6}" in opened(keys[i])
+    assert opened(keys[0], keys[6], None) == {"_year=2001"}
+    assert opened(*keys) == {f"_year={y}" for y in range(2001, 2007)}
+    assert opened("a", "zz") == opened(None) == opened() == set()
+    assert sum(len(opened(*[f"k{rng.randrange(10**9)}" for _ in range(20)])) for _ in range(3)) <= 4
+    new = spark.createDataFrame([(keys[1], "2030-01-01"), ("k_new", "2030-01-02"), (None, "2030-01-02")], "key string, day string")
+    incremental.load_version(spark, root, new.withColumn("day", F.to_date("day")), "day", "key", 2)
+    manifest = {r.year: r.folder for r in spark.read.parquet(f"{root}/manifest/v2").collect()}
+    assert {y for y, f in manifest.items() if f.startswith("data/v2")} == {"2002", "2030"}
+    assert incremental.read_version(spark, root, 2).count() == 6002
+    incremental.drop_version(spark, root, 2)
+    assert incremental.read_version(spark, root, 1).count() == 6000
+
+
+def test_key_rules_by_one_exchange(spark, rows):
+    from conftest import plan_of
+    from territory.operators import quality as Q
+
+    parent = rows("id int", (1,), (2,), (2,), (None,), (5,), (5,), (5,))
+    child = rows("ref int", (1,), (1,), (3,), (3,), (None,), (4,))
+    found = Q.check_keys(
+        {"p": (parent, "id"), "c": (child, "ref"), "none": (child.filter("false"), "ref")},
+        unique={"p_unique": "p", "c_unique": "c", "none_unique": "none"}, references={"c_known": ("c", "p"), "none_known": ("none", "p")},
+    )
+    assert {r.table_name: r.n for r in found.collect()} == {"p_unique": 2, "c_unique": 2, "none_unique": 0, "c_known": 3, "none_known": 0}
+    assert Q.check_unique(parent, "id").count() == 2 and Q.check_relationship(child.withColumnRenamed("ref", "id"), parent, "id").count() == 3
+    plan = plan_of(found)
+    assert plan.split("Initial Plan")[-1].count("Exchange hashpartitioning") == 1
+
+
+def test_file_ages(spark, tmp_path):
+    from territory.operators import quality as Q
+
+    spark.range(3).write.parquet(str(tmp_path / "t"))
+    today = F.current_date()
+    states = [Q.check_file_age(spark, str(tmp_path / "t"), F.date_add(today, d), 365, 730).first() for d in (0, 400, 800)]
+    assert [s.status for s in states] == ["pass", "warn", "error"] and states[1].age_days == 400
+
+
+def test_inner_ring_perimeter(rows):
+    from territory.functions import clean as C
+
+    df = rows("zone string, dep string, code string", ("Petite couronne", "92", "92001"), ("Paris", "75", "75101"), ("Grande couronne", "77", "77001"), (None, None, None))
+    for scope in ({"zone": "zone"}, {"department": "dep"}, {"code": "code"}, {"zone": "zone", "code": "code"}):
+        for city, expected in ((False, [True, False, False, None]), (True, [True, True, False, None])):
+            assert [r[0] for r in df.select(C.in_inner_ring(city, **scope)).collect()] == expected
+    with pytest.raises(ValueError):
+        C.in_inner_ring()

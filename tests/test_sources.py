@@ -133,3 +133,29 @@ def test_geojson(spark, tmp_path, lines):
 def test_union_by_name(spark):
     a, b = spark.createDataFrame([(1, 2)], "x int, y int"), spark.createDataFrame([(3, 4)], "y int, z int")
     assert tuples(text.union_by_name([a, b]).fillna(0)) == [(0, 3, 4), (1, 2, 0)]
+
+
+def test_separators_are_told(spark, tmp_path):
+    from territory.sources import text
+
+    assert text.separator_of(["a;b;c", "1;2,5;3", "4;5,1;6"]) == ";"
+    assert text.separator_of(['a|b', '"x|y;z";1|2', "3|4"]) == "|"
+    assert text.separator_of(['"a,b";"c,d"', '"1,2";"3,4"']) == ";"
+    assert text.separator_of(["a\tb", "1\t2"]) == "\t"
+    # Ragged rows count less, they do not decide; among equals the wider one, then the order of the list.
+    assert text.separator_of(["a;b;c", "1;2;3", "1;2"]) == ";"
+    assert text.separator_of(["a,b;c", "1,2;3"]) == ","
+    assert text.separator_of(["a,b;c;d", "1,2;3;4"]) == ";"
+    assert text.separator_of(["alone", "1"]) == text.separator_of([]) == text.separator_of(["", " "]) == ","
+    for name, data in {
+        "bom.csv": b"\xef\xbb\xbfa;b\n1;x\n", "gz.csv.gz": gzip.compress(b"a|b\n1|x\n"), "one.csv": b"a\n1\n", "none.csv": b"",
+    }.items():
+        (tmp_path / name).write_bytes(data)
+    assert text.detect_separator(spark, str(tmp_path / "bom.csv")) == ";"
+    assert text.detect_separator(spark, str(tmp_path / "gz.csv.gz")) == "|"
+    assert text.detect_separator(spark, str(tmp_path / "one.csv")) == text.detect_separator(spark, str(tmp_path / "none.csv")) == ","
+    (tmp_path / "latin.csv").write_bytes("clé;libellé\n1;é,è\n2;ù,à\n".encode("latin-1"))
+    back = text.read_text_table(spark, str(tmp_path / "latin.csv"), sep=None, encoding="ISO-8859-1")
+    assert [tuple(r) for r in back.collect()] == [("1", "é,è"), ("2", "ù,à")]
+    many = text.read_many_by_name(spark, [str(tmp_path / "latin.csv")], sep=None, encoding="ISO-8859-1")
+    assert many.columns == ["clé", "libellé"]

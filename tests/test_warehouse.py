@@ -85,6 +85,8 @@ def test_two_refreshes(spark, folder, tmp_path):
     counters = spark.read.parquet(f"{target}/v1/tables/comptage_velo_paris")
     assert sorted(tuple(r) for r in counters.collect()) == [("A", 3.0, 4.0, 5), ("C", 5.0, 6.0, 7)]
     assert spark.read.parquet(f"{target}/v1/tables/department_outlines").count() == 4
+    drawn = records.read_geojson(spark, f"{target}/v1/geojson_departments", lines=True).collect()
+    assert [(r.code, r.nom, len(r.geom), len(r.geom[0][0])) for r in drawn] == [("75", "Paris", 1, 5)]
     city = records.read_geojson(spark, f"{target}/v1/geojson/zone=paris_arrondissements", lines=True)
     assert [(r["code"], r["geom"][0][0][0]) for r in city.collect()] == [("75101", [2.0, 48.0])]
     write_raw(folder, ["2025"])
@@ -118,12 +120,16 @@ def test_bad_input_is_not_published(spark, folder, tmp_path):
     rents.write_bytes(good)
     assert "rent_positive" in bad.value.violations
     assert not (Path(target) / "v2" / "tables").exists()
+    # The refused version of the sales is gone: a corrected delivery finds the old watermark.
+    assert not (Path(target) / "sales" / "manifest" / "v2").exists() and (Path(target) / "sales" / "manifest" / "v1").exists()
     assert sorted((p, p.stat().st_mtime_ns) for p in Path(target, "v1").rglob("*")) == before
 
 
 def test_stale_sales_are_refused(spark, folder, tmp_path):
-    with pytest.raises(quality.QualityError, match="sales_fresh"):
+    with pytest.raises(quality.QualityError, match="sales_fresh") as old:
         warehouse.refresh(spark, str(folder), str(tmp_path / "warehouse"), today="2031-01-01")
+    # Files of this day are too old by then as well; sources without a file are not judged.
+    assert "income_fresh" in old.value.violations and "diplomas_fresh" not in old.value.violations
 
 
 def test_settings_follow_the_input(spark, folder):
