@@ -1,13 +1,19 @@
 """Line deduplication by winnowing over line hashes.
 
-The lines of a document that are not blank form a sequence. A window is the
-shortest run of lines from some line on that holds at least ``RUN_WORDS``
-words. Of every window the line with the smallest hash (the leftmost, if
-several) is its fingerprint: equal windows choose the same line, so a run that
-repeats is sure to share a fingerprint. Fingerprints that occur at more than
-one place are joined to their positions; from each position the match is
-extended both ways over the windows that hold it; a window that stands earlier
-too is deleted, and the deleted windows of a document unite to runs.
+The lines of a document that are not blank form a sequence. A window is a
+shortest run of lines that holds at least ``RUN_WORDS`` words: one that begins at
+a line and goes on until it has them, or one that ends at a line and goes back
+until it has them. Of every window the line with the smallest hash (the leftmost,
+if several) is its fingerprint: equal windows choose the same line, so a run that
+repeats is sure to share a fingerprint, and only windows whose fingerprint occurs
+at several places are joined to positions.
+
+A match is extended both ways from there, line by line: a line before it
+belongs to the run if the window that begins at it stands earlier too, a line after
+it if the window that ends at it does. The runs so found are the maximal ones:
+a line goes if and only if it lies in a run of at least ``RUN_WORDS`` words that
+stands earlier, whichever earlier place that is, and no two documents are ever
+compared as a pair. What is left of a run's first place stays.
 """
 
 from __future__ import annotations
@@ -48,28 +54,52 @@ def solid_lines(text: str) -> list[tuple[int, str]]:
 
 
 def windows(lines: list[str], least: int) -> Iterator[tuple[int, int, int, int, bytes]]:
-    """(fingerprint, its place, first, last, 128-bit mark) of every window.
+    """(fingerprint, its place, first, last, 128-bit mark) of every window, each once.
 
-    Places count solid lines from 0. The two ends only move forward, and a
+    Places count solid lines from 0. Windows that begin at each line come first, then those that end at
+    each line and are no shortest run from their own first line. The two ends only move forward, and a
     queue of ascending hashes gives each window's minimum, so the work is in
     proportion to the lines and to the lines of the windows.
     """
     ends = list(accumulate((len(WORD.findall(line)) for line in lines), initial=0))
     hashes = [hash_of(line) for line in lines]
     raw = [h.to_bytes(8, "big", signed=True) for h in hashes]
-    last, queue, head = -1, [], 0
-    for first in range(len(lines)):
-        while last < first or ends[last + 1] - ends[first] < least:
+    for spans in (_forward(ends, least), _backward(ends, least)):
+        upto, queue, head = -1, [], 0
+        for first, last in spans:
+            for n in range(upto + 1, last + 1):
+                while len(queue) > head and hashes[queue[-1]] > hashes[n]:
+                    queue.pop()
+                queue.append(n)
+            upto = max(upto, last)
+            while queue[head] < first:
+                head += 1
+            mark = hashlib.blake2b(b"".join(raw[first : last + 1]), digest_size=16).digest()
+            yield hashes[queue[head]], queue[head], first, last, mark
+
+
+def _forward(ends: list[int], least: int) -> Iterator[tuple[int, int]]:
+    """The shortest run from each line on that holds ``least`` words; ``ends`` are running counts of words."""
+    last, count = 0, len(ends) - 1
+    for first in range(count):
+        last = max(last, first)
+        while last < count and ends[last + 1] - ends[first] < least:
             last += 1
-            if last == len(lines):
-                return
-            while len(queue) > head and hashes[queue[-1]] > hashes[last]:
-                queue.pop()
-            queue.append(last)
-        while queue[head] < first:
-            head += 1
-        mark = hashlib.blake2b(b"".join(raw[first : last + 1]), digest_size=16).digest()
-        yield hashes[queue[head]], queue[head], first, last, mark
+        if last == count:
+            return
+        yield first, last
+
+
+def _backward(ends: list[int], least: int) -> Iterator[tuple[int, int]]:
+    """The shortest run up to each line that holds ``least`` words, unless it also is the shortest from its first line."""
+    first = 0
+    for last in range(len(ends) - 1):
+        if ends[last + 1] - ends[0] < least:
+            continue
+        while first < last and ends[last + 1] - ends[first + 1] >= least:
+            first += 1
+        if last > first and ends[last] - ends[first] >= least:
+            yield first, last
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> list[Column]:
@@ -84,7 +114,10 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> list[Column]:
 def repeated_windows(
     docs: DataFrame, least: int = RUN_WORDS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """Windows that stand earlier too: id, key (of the text), first, last (solid lines)."""
+    """Windows that stand earlier too: id, key (of the text), first, last (solid lines).
+
+    Those of a run overlap or touch; together they are the run, extended both ways.
+    """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = ["id", "key", "fp", "anchor", "first", "last", "mark"]
@@ -129,7 +162,7 @@ def mark_repeats(
     ``n_lines`` (solid lines), ``n_removed`` of them and ``n_runs`` (maximal
     runs of removed solid lines).
 
-    A window is deleted if an equal one stands earlier: in a row with a smaller
+    A run of lines with ``least`` words is deleted if an equal one stands earlier: in a row with a smaller
     id (null ids last), in a row of the same id with a smaller text hash, or
     earlier in the same text. A row that repeats both id and text is the same
     document and gets the same result. Null texts stay null with no lines. An

@@ -64,21 +64,16 @@ l AS (
 ),
 s AS (
     SELECT doc_id, n, solid, row_number() OVER (PARTITION BY doc_id ORDER BY n) AS k,
-        sum(len(regexp_extract_all(solid, '[^\x20\x09-\x0D]+'))) OVER (PARTITION BY doc_id ORDER BY n) AS upto,
         len(regexp_extract_all(solid, '[^\x20\x09-\x0D]+')) AS words
     FROM l WHERE solid <> ''
 ),
-e AS (
-    SELECT a.doc_id, a.k, min(b.k) AS z FROM s a JOIN s b
-        ON a.doc_id = b.doc_id AND b.k >= a.k AND b.upto - a.upto + a.words >= 50
-    GROUP BY ALL
+equal AS (
+    SELECT b.doc_id, b.k, b.words, a.doc_id AS other, b.k - a.k AS shift
+    FROM s a JOIN s b ON a.solid = b.solid AND (a.doc_id < b.doc_id OR a.doc_id = b.doc_id AND a.k < b.k)
 ),
-w AS (
-    SELECT e.doc_id, e.k, e.z, string_agg(s.solid, chr(10) ORDER BY s.k) AS body
-    FROM e JOIN s ON s.doc_id = e.doc_id AND s.k BETWEEN e.k AND e.z GROUP BY ALL
-),
-r AS (SELECT doc_id, k, z, row_number() OVER (PARTITION BY body ORDER BY doc_id, k) AS nth FROM w),
-gone AS (SELECT DISTINCT s.doc_id, s.k, s.n FROM s JOIN r ON r.nth > 1 AND r.doc_id = s.doc_id AND s.k BETWEEN r.k AND r.z),
+islands AS (SELECT *, k - row_number() OVER (PARTITION BY doc_id, other, shift ORDER BY k) AS island FROM equal),
+run AS (SELECT doc_id, min(k) AS first, max(k) AS last FROM islands GROUP BY doc_id, other, shift, island HAVING sum(words) >= 50),
+gone AS (SELECT DISTINCT s.doc_id, s.k, s.n FROM s JOIN run r ON r.doc_id = s.doc_id AND s.k BETWEEN r.first AND r.last),
 runs AS (
     SELECT doc_id, count(*) AS n_removed, count(*) FILTER (WHERE before IS NULL OR before < k - 1) AS n_runs
     FROM (SELECT doc_id, k, lag(k) OVER (PARTITION BY doc_id ORDER BY k) AS before FROM gone) GROUP BY doc_id

@@ -9,23 +9,25 @@ from territory.llm import line_dedup
 
 
 def brute(pairs, least):
-    """Text that is left of each row whose id is not repeated."""
-    first, out = set(), {}
+    """Text that is left of each row whose id is not repeated: maximal equal runs with every earlier place."""
+    docs = {}
     for i, text in sorted(pairs):
         lines = text.split("\n")
-        solid = [(n, x.strip(line_dedup.BLANKS)) for n, x in enumerate(lines) if x.strip(line_dedup.BLANKS)]
-        count = [len(re.findall("[^\x20\x09-\x0d]+", x)) for _, x in solid]
+        docs[i] = lines, [(n, x.strip(line_dedup.BLANKS)) for n, x in enumerate(lines) if x.strip(line_dedup.BLANKS)]
+    out = {}
+    for i, (lines, solid) in docs.items():
         gone = set()
-        for a in range(len(solid)):
-            b, total = a, 0
-            while b < len(solid) and total < least:
-                total, b = total + count[b], b + 1
-            if total < least:
-                break
-            window = tuple(x for _, x in solid[a:b])
-            if window in first:
-                gone |= {solid[k][0] for k in range(a, b)}
-            first.add(window)
+        for j, (_, other) in docs.items():
+            for shift in range(-len(other), len(solid)) if j <= i else ():
+                run = []
+                for k in range(len(solid) + 1):
+                    at = k - shift
+                    if k < len(solid) and 0 <= at < len(other) and (j < i or at < k) and other[at][1] == solid[k][1]:
+                        run.append(k)
+                        continue
+                    if sum(len(re.findall("[^\x20\x09-\x0d]+", solid[x][1])) for x in run) >= least and run:
+                        gone |= {solid[x][0] for x in run}
+                    run = []
         out[i] = ("\n".join(x for n, x in enumerate(lines) if n not in gone), len(gone))
     return out
 
@@ -39,11 +41,29 @@ def test_against_brute_force(spark, least):
     assert {r.doc_id: (r.kept_text, r.n_removed) for r in out} == brute(pairs, least)
 
 
-def test_a_passage_of_fifty_words_is_deleted_once_and_short_lines_stay(spark):
+def test_a_passage_of_fifty_words_goes_with_all_lines_of_its_run(spark):
     passage = " ".join(f"p{i}" for i in range(55))
     docs = frame(spark, [(1, f"one\n{passage}\nshort line"), (2, f"two\n{passage}\nshort line"), (3, passage), (4, "clean\nshort line")])
     out = {r.doc_id: r.text for r in line_dedup.drop_repeats(docs).collect()}
-    assert out == {1: f"one\n{passage}\nshort line", 2: "two\nshort line", 4: "clean\nshort line"}
+    assert out == {1: f"one\n{passage}\nshort line", 2: "two", 4: "clean\nshort line"}
+
+
+@pytest.mark.parametrize("shape", [[70, 45], [60, 20, 15], [30, 30, 5], [2, 55], [5, 30, 30, 5], [20, 31], [1] * 49 + [1], [49], [25, 24]])
+def test_runs_go_whole_whatever_the_lengths_of_their_lines(shape):
+    """A run with 50 words is covered by windows of either direction; a shorter one has none."""
+    lines = [" ".join(f"w{n}_{i}" for i in range(size)) for n, size in enumerate(shape)]
+    found = list(line_dedup.windows(lines, 50))
+    covered = {k for _, _, first, last, _ in found for k in range(first, last + 1)}
+    assert covered == (set(range(len(lines))) if sum(shape) >= 50 else set())
+    assert len({(first, last) for _, _, first, last, _ in found}) == len(found)
+
+
+def test_a_match_is_extended_beyond_the_first_place_of_its_fingerprint(spark):
+    """The tail is extended against any earlier place, not only the first one of the long line."""
+    long = " ".join(f"p{i}" for i in range(70))
+    docs = frame(spark, [(1, f"{long}\nother"), (2, f"{long}\ntail of it"), (3, f"new\n{long}\ntail of it\nend")])
+    out = {r.doc_id: (r.kept_text, r.n_runs) for r in line_dedup.mark_repeats(docs).collect()}
+    assert out == {1: (f"{long}\nother", 0), 2: ("tail of it", 1), 3: ("new\nend", 1)}
 
 
 def test_edge_cases(spark):
