@@ -122,7 +122,8 @@ def anchors(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
         last = np.append(edge[1:], len(at)) - 1
         spot = at[edge]
         context = join_hashes(whole[edge], whole[last], (last - edge).astype(U64), (spot - edge).astype(U64))
-        parts.append((grams[spot], context, edge + start, last + start))
+        # An anchor is a minimum, so anchors crowd at the low end; mixed once more they spread evenly over ranges.
+        parts.append((mix(grams[spot]), context, edge + start, last + start))
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True)) if parts else ()
 
 
