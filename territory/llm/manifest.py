@@ -22,7 +22,7 @@ from territory.llm.blocks import store
 
 FANOUT = 3
 #: A window spans fanout^BLOCK_LEVELS nodes.
-BLOCK_LEVELS = 8
+BLOCK_LEVELS = 5
 
 PATH = "array<struct<left: string, right: string>>"
 
