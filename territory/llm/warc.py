@@ -114,14 +114,15 @@ def revisit(row: int, page: str | None, uri: str | None, length: int, digest: st
 
 
 def train_dictionary(pages: DataFrame, html_col: str) -> bytes:
-    """A dictionary from the pages with the smallest hashes; empty if there is too little to learn from.
+    """A dictionary from a sample of the pages; empty if there is too little to learn from.
 
-    The sample is bounded by ``DICTIONARY_PAGES`` and ``DICTIONARY_PAGE_BYTES``. The
-    dictionary decides how small archives are, never what they hold.
+    The sample is bounded by ``DICTIONARY_PAGES`` and ``DICTIONARY_PAGE_BYTES``; rows are drawn by a share, so
+    tasks send no more than that together. The dictionary decides how small archives are, never what they hold.
     """
     start = F.substring(F.encode(F.col(html_col), "UTF-8"), 1, DICTIONARY_PAGE_BYTES)
-    sample = pages.filter(F.length(html_col) > 0).select(F.xxhash64(html_col).alias("h"), start.alias("b"))
-    samples = [bytes(r["b"]) for r in sample.orderBy("h", "b").limit(DICTIONARY_PAGES).collect()]
+    share = min(1.0, 0.8 * DICTIONARY_PAGES / max(1, pages.count()))
+    drawn = pages.sample(share, seed=7).filter(F.length(html_col) > 0).select(start.alias("b"))
+    samples = [bytes(r["b"]) for r in drawn.limit(DICTIONARY_PAGES).collect()]
     total = sum(map(len, samples))
     if len(samples) < 8 or total < 8 << 10:
         return b""
