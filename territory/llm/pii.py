@@ -3,7 +3,7 @@
 Strict patterns give the base spans, which always stay. Wider patterns propose
 further candidates: numbers that a strict match swallowed, spaced, bracketed
 or otherwise disguised forms. Labelers (pattern, checksum, gazetteer, context
-words, borders) vote on every candidate or abstain. Expectation-maximisation
+words, the word before it, borders) vote on every candidate or abstain. Expectation-maximisation
 over the counts of vote patterns estimates each labeler's reliability without
 any labels; its posteriors train a logistic span classifier on a bounded
 sample of candidates, and the classifier decides on the candidates that are
@@ -19,6 +19,7 @@ from __future__ import annotations
 import ipaddress
 import re
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from territory.llm.blocks import store, text_batches
 
 KINDS = ("email", "ip", "card", "phone")
-#: Candidates that train the classifier at most.
+#: Distinct candidates that train the classifier, about.
 SAMPLE_SPANS = 20_000
 #: Characters of context that labelers and classifier see on either side.
 CONTEXT = 40
@@ -59,8 +60,25 @@ LOCAL_PHONE = re.compile(
     r"(?<![\w+.])(?:00[1-9][0-9]{0,2}[\x20.-])?\(?[0-9]{2,4}\)?[\x20.-][0-9]{3,4}[\x20.-][0-9]{4}(?![\w.])"
 )
 
-#: Gazetteers and context words.
-TOP_DOMAINS = frozenset("com org net edu gov info io de fr es uk eu example test".split())
+#: Gazetteers. Generic top domains (any two letters are a country's), name parts of hosts in examples and templates.
+TOP_DOMAINS = frozenset(
+    "aero app arpa biz blog cloud com coop dev edu eco email example gov green health info int jobs live media mil mobi museum name net news "
+    "online org page post pro shop site store studio team tech test tel travel web wiki work world xyz".split()
+)
+#: Leading digits of card numbers by issuer (first, last), with the numbers' lengths.
+ISSUERS = (
+    (4, 4, (13, 16, 18, 19)), (51, 55, (16,)), (2221, 2720, (16,)), (34, 34, (15,)), (37, 37, (15,)), (6011, 6011, (16, 19)),
+    (644, 659, (16, 19)), (3528, 3589, (16, 17, 18, 19)), (300, 305, (14, 16, 19)), (36, 36, (14, 16, 19)), (38, 39, (14, 16, 19)),
+    (62, 62, (16, 17, 18, 19)), (50, 50, tuple(range(14, 20))), (56, 58, tuple(range(14, 20))), (60, 60, tuple(range(14, 20))),
+    (63, 63, tuple(range(14, 20))), (67, 67, tuple(range(14, 20))), (9792, 9792, (16,)), (2200, 2204, tuple(range(16, 20))),
+)
+#: Calling codes of one and two digits; beginnings of those of three.
+CALLING_CODES = frozenset(
+    "1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()
+)
+CALLING_STARTS = frozenset("21 22 23 24 25 26 29 35 37 38 42 50 59 67 68 69 80 85 87 88 96 97 99".split())
+
+#: Context words.
 NEAR = {
     "email": frozenset("mail email contact write courriel correo kontakt".split()),
     "ip": frozenset("ip host server address adresse login client".split()),
@@ -71,7 +89,7 @@ AGAINST = frozenset("version order isbn issn page pages item serial article sect
 WORD = re.compile(r"[^\W\d_]+")
 
 YES, NO, SILENT = 1, 0, 2
-LABELERS = ("pattern", "checksum", "gazetteer", "context", "border")
+LABELERS = ("pattern", "checksum", "gazetteer", "context", "name", "border")
 
 
 def luhn(digits: str) -> bool:
@@ -130,15 +148,40 @@ def wider_spans(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int,
             found += [(*m.span(), "ip") for m in LONG_IP.finditer(text)]
         found += [(*m.span(), "card") for m in CARD_RUN.finditer(text)]
         found += [(*m.span(), "phone") for m in LOCAL_PHONE.finditer(text)]
-    taken, out = [s[:2] for s in base], []
+    # The base spans, united to disjoint ones, are met by bisection; of the new ones only the last can overlap.
+    lows, highs = [], []
+    for start, end, _ in base:
+        if highs and start < highs[-1]:
+            highs[-1] = max(highs[-1], end)
+        else:
+            lows.append(start)
+            highs.append(end)
+    out: list[tuple[int, int, str]] = []
     for start, end, kind in sorted(found, key=lambda s: (s[0], -s[1], KINDS.index(s[2]))):
-        if not any(start < b and a < end for a, b in (*taken, *out_spans(out))):
-            out.append((start, end, kind))
+        at = bisect_right(highs, start)
+        if (at < len(lows) and lows[at] < end) or (out and start < out[-1][1]):
+            continue
+        out.append((start, end, kind))
     return out
 
 
-def out_spans(spans: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
-    return [s[:2] for s in spans[-1:]]  # in order of start: only the last can overlap
+def issued(digits: str) -> bool:
+    """Whether an issuer gives out card numbers with these first digits and of this length."""
+    return any(len(digits) in sizes and low <= int(digits[: len(str(low))]) <= high for low, high, sizes in ISSUERS)
+
+
+def called(digits: str) -> bool:
+    """Whether a number in international form starts with a calling code."""
+    return digits[:1] in CALLING_CODES or digits[:2] in CALLING_CODES or digits[:2] in CALLING_STARTS
+
+
+def addressed(host: str) -> int:
+    """What the registry of address ranges says of an address: of a host, of no single host, or nothing as it is none."""
+    try:
+        address = ipaddress.ip_address(host)
+    except ValueError:
+        return SILENT
+    return NO if address.is_unspecified or address.is_loopback or address.is_multicast or address.is_reserved else YES
 
 
 def votes(text: str, start: int, end: int, kind: str, strict: bool) -> str:
@@ -146,30 +189,32 @@ def votes(text: str, start: int, end: int, kind: str, strict: bool) -> str:
     span = text[start:end]
     digits = digits_of(span)
     before, after = text[max(0, start - CONTEXT) : start], text[end : end + CONTEXT]
+    named = [w.lower() for w in WORD.findall(before)[-1:]]
     words = {w.lower() for w in WORD.findall(before)[-4:]} | {w.lower() for w in WORD.findall(after)[:2]}
     if kind == "email":
-        checksum, known = SILENT, YES if span.rsplit(".", 1)[-1].strip(" )]}").lower() in TOP_DOMAINS else SILENT
+        top = span.rsplit(".", 1)[-1] if "." in span else re.split(r"[\])}\s]+", span.strip(" )]}"))[-1]
+        top = top.strip(" )]}").lower()
+        checksum, known = SILENT, YES if top in TOP_DOMAINS or (len(top) == 2 and top.isalpha()) else NO
     elif kind == "ip":
         parts = re.findall("[0-9]+", span) if ":" not in span else []
-        try:
-            address = ipaddress.ip_address(".".join(str(int(p)) for p in parts) if parts else span)
-            checksum, known = YES, NO if address.is_unspecified or address.is_loopback else YES
-        except ValueError:
-            checksum, known = NO, SILENT
+        known = addressed(".".join(part.lstrip("0") or "0" for part in parts) if parts else span)
+        checksum = NO if known == SILENT else YES
     elif kind == "card":
         checksum = YES if luhn(digits) else NO
-        known = YES if digits[0] in "3456" else NO
+        known = YES if issued(digits) else NO
     else:
         checksum = YES if 10 <= len(digits) <= 15 else NO
-        known = YES if span[:1] == "+" or digits[:2] == "00" else SILENT
+        abroad = digits[2:] if digits[:2] == "00" else digits if span[:1] == "+" else ""
+        known = SILENT if not abroad else YES if called(abroad) else NO
     near = YES if words & NEAR[kind] else NO if words & AGAINST else SILENT
+    name = YES if NEAR[kind].intersection(named) else NO if AGAINST.intersection(named) else SILENT
     border = YES if not (before[-1:].isalnum() or after[:1].isalnum()) else NO
-    return "".join(map(str, (YES if strict else SILENT, checksum, known, near, border)))
+    return "".join(map(str, (YES if strict else SILENT, checksum, known, near, name, border)))
 
 
 def features(kind: str, vote: str, span: str, context: str) -> list[int]:
     """Hashed features: kind, votes, shape of the span, words around it."""
-    shape = "".join("9" if c.isdigit() else "a" if c.isalpha() else c for c in span[:64])
+    shape = "".join("9" if c.isdigit() else "a" if c.isalpha() else c for c in span)
     names = [f"kind={kind}", *(f"{kind}:{n}={v}" for n, v in zip(LABELERS, vote, strict=True))]
     names += [f"{kind}~{shape[i : i + 3]}" for i in range(max(1, len(shape) - 2))]
     names += [f"{kind}|{w.lower()}" for w in WORD.findall(context)]
@@ -250,7 +295,7 @@ def candidates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                             "end": end,
                             "base": strict,
                             "votes": votes(text, start, end, kind, strict),
-                            "span": text[start : min(end, start + 64)],
+                            "span": text[start:end],
                             "context": text[max(0, start - CONTEXT) : start] + " " + text[end : end + CONTEXT],
                         }
                         for start, end, kind, strict in spans
@@ -264,13 +309,21 @@ def candidates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def fit(found: DataFrame, sample_spans: int = SAMPLE_SPANS) -> SpanModel:
-    """Reliabilities from all candidates, the classifier from a bounded sample of them."""
+    """Reliabilities from all candidates, the classifier from a bounded sample of the distinct ones.
+
+    Equal candidates (kind, votes, span, context) are counted before they are
+    drawn, so copies neither fill the sample nor outweigh the others. Those whose hash
+    is below a share of the hash range come to the driver: about ``sample_spans`` at most.
+    """
     spans = found.select(F.explode("found").alias("s")).select("s.*")
-    counted = spans.groupBy("kind", "votes").agg(F.count(F.lit(1)).alias("n")).collect()
+    same = ["kind", "votes", "span", "context"]
+    groups = store(spans.groupBy(*same).agg(F.count(F.lit(1)).alias("n")), "pii-groups")
+    counted = groups.groupBy("kind", "votes").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("groups")).collect()
     posterior = estimate({(r["kind"], r["votes"]): r["n"] for r in counted})
-    spot = F.xxhash64("kind", "votes", "span", "context")
-    taken = spans.orderBy(spot, "kind", "votes", "span", "context").limit(sample_spans).collect()
-    rows = [(features(r["kind"], r["votes"], r["span"], r["context"]), posterior[r["kind"], r["votes"]]) for r in taken]
+    share = sample_spans / max(1, sum(r["groups"] for r in counted))
+    below = F.lit(True) if share >= 1 else F.shiftrightunsigned(F.xxhash64(*same), 1) < int(share * (1 << 63))
+    taken = groups.filter(below).select(*same).collect()
+    rows = [(features(r["kind"], r["votes"], r["span"], r["context"]), posterior[r["kind"], r["votes"]]) for r in sorted(taken)]
     return train_spans(rows)
 
 

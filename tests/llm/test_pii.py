@@ -61,6 +61,70 @@ def test_hidden_addresses_in_any_case_and_with_any_blank(text):
     assert pii.wider_spans(text, []) == [(0, len(text), "email")]
 
 
+def test_recall_and_precision_of_the_added_spans(spark):
+    """Disguised forms are planted among look-alikes: nine in ten of both are told right."""
+    rng, pairs, planted = random.Random(12), [], {}
+
+    def card():
+        digits = "4" + "".join(rng.choice("0123456789") for _ in range(14))
+        return next(digits + c for c in "0123456789" if pii.luhn(digits + c))
+
+    def number(n):
+        return "".join(rng.choice("23456789") for _ in range(n))
+
+    people, hosts = ["anna", "b.ross", "carla_m", "dev+x", "erik"], ["example", "mail-host", "uni-x", "corp"]
+    for i in range(600):
+        kind = i % 8
+        real = {
+            0: lambda: ("email", f"{rng.choice(people)}{i} (at) {rng.choice(hosts)} (dot) {rng.choice(['org', 'com', 'de', 'net'])}"),
+            1: lambda: ("ip", f"{rng.randrange(11, 190)}[.]{rng.randrange(255)}[.]{rng.randrange(255)}[.]{rng.randrange(1, 255)}"),
+            2: lambda: ("card", (lambda c: ".".join(c[k : k + 4] for k in (0, 4, 8, 12)))(card())),
+            3: lambda: ("phone", f"{number(3)}-{number(3)}-{number(4)}"),
+        }
+        words = " ".join(rng.choice("some words stand here and others there as they would".split()) for _ in range(12))
+        if kind in real:
+            what, span = real[kind]()
+            lead = {"email": "contact", "ip": "server", "card": "card", "phone": "call"}[what]
+            text = f"{words} {lead} {span} {words}"
+            planted[i] = (what, text.index(span), text.index(span) + len(span))
+        else:
+            text = {
+                4: f"{words} version {number(4)}.{number(4)}.{number(4)}.{number(4)} {words}",
+                5: f"{words} order {number(16)} {words}",
+                6: f"{words} isbn {number(3)}-{number(3)}-{number(4)} {words}",
+                7: f"{words} we met (at) noon (dot) {words}",
+            }[kind]
+        pairs.append((i, text))
+    found = {r.doc_id: {(s.kind, s.start, s.end) for s in r.spans} for r in pii.find_pii(frame(spark, pairs)).collect()}
+    right = sum(planted[i] in found[i] for i in planted)
+    wrong = sum(len(found[i]) for i in found if i not in planted) + sum(len(found[i] - {planted[i]}) for i in planted)
+    odd = Counter((i % 8, s[0]) for i in found for s in found[i] if planted.get(i) != s)
+    assert right >= 0.9 * len(planted), (right, len(planted))
+    assert right >= 0.9 * (right + wrong), (right, wrong, odd)
+
+
+def test_many_base_and_wider_spans_take_no_quadratic_time():
+    text = "write a@b.co or call 415-555-0100 now; " * 20_000
+    base = pii.base_spans(text)
+    assert len(pii.wider_spans(text, base)) == len(base) == 20_000
+
+
+def test_the_sample_is_bounded_and_copies_do_not_fill_it(spark, monkeypatch):
+    pairs = [(i, "call 415-555-0100 now" if i % 2 else f"mail a{i}@b{i}.co now") for i in range(600)]
+    found = pii.candidates(frame(spark, pairs), "doc_id", "text")
+    seen = []
+    monkeypatch.setattr(pii, "train_spans", seen.append)
+    pii.fit(found, 50)
+    pii.fit(found, 10_000)
+    assert 20 <= len(seen[0]) <= 90 and len(seen[1]) == 301
+
+
+def test_gazetteers():
+    assert pii.issued("4111111111111111") and pii.issued("378282246310005") and not pii.issued("1234567812345678") and not pii.issued("411111111111111")
+    assert pii.called("4930123456") and pii.called("35312345") and not pii.called("0123") and not pii.called("2830")
+    assert [pii.addressed(a) for a in ("8.8.8.8", "127.0.0.1", "999.1.1.1", "2001:db8::1", "255.255.255.255")] == [pii.YES, pii.NO, pii.SILENT, pii.YES, pii.NO]
+
+
 def test_edge_cases(spark):
     pairs = [*EDGE, (30, "a@b.co " * 30_000), (31, "+1 415 555 0100"), (31, "+1 415 555 0100")]
     out = pii.find_pii(frame(spark, pairs)).collect()
