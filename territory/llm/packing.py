@@ -17,6 +17,8 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +29,7 @@ SEQUENCE_TOKENS = 1024
 #: Id that ends every document.
 END_ID = 0
 #: Words whose ids a worker remembers (about); those not seen for half as many new words are forgotten.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 800_000
 CHUNK_BYTES = 4 << 20
 
 PIECES = "_id string, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -58,10 +60,17 @@ class WordIds(dict):
                 out.append(" " + word)
         return out
 
-    @staticmethod
-    def plain_parts(text: str) -> list[str]:
-        """As ``parts``, for a text whose white space runs are single characters."""
-        return text.replace(" ", "\x00 ").split("\x00")
+    @classmethod
+    def marked(cls, text: str) -> str:
+        """The text with a zero sign between its parts.
+
+        Where white space comes in single signs, blanks begin a part and lone line ends are one; else ``parts`` tells them.
+        """
+        if not _single_spaces(text):
+            return "\x00".join(cls.parts(text))
+        if "\n" in text:
+            text = LONE_LINE_END.sub("\x00\n\x00", text)
+        return text.replace(" ", "\x00 ")
 
     def unknown(self, parts: Iterable[str]) -> list[str]:
         """Parts whose ids are not remembered; those of the older half are taken over."""
@@ -92,7 +101,8 @@ class WordIds(dict):
         for start in range(0, len(plain), LINES):
             block = plain[start : start + LINES]
             text = "\n".join(block) + "\n"
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind)
+            (code,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+            ids = np.array(code.ids, self.kind)
             ends = np.flatnonzero(ids == self.line_end)
             if len(ends) != len(block):
                 continue  # left to the others below
@@ -101,7 +111,7 @@ class WordIds(dict):
                 self[part] = raw[begin:end]
                 begin = end + width
         rest = [part for part in todo if part not in self]
-        for part, code in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False), strict=True):
+        for part, code in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
             self[part] = np.array(code.ids, self.kind).tobytes()
         for part, (head, tail) in ended.items():
             self[part] = self[head] + self[tail]
@@ -111,22 +121,46 @@ class WordIds(dict):
         if len(self) > REMEMBERED_WORDS // 2:
             self.older = dict(self)
             self.clear()
-        split = []
-        for text in texts:
-            simple = "\x00" not in text and _single_spaces(text)
-            split.append(self.plain_parts(text) if simple else self.parts(text))
-        self.learn(self.unknown(set().union(*split)))
-        look = self.__getitem__
-        for parts in split:
-            yield b"".join(map(look, parts))
+        rows = [n for n, text in enumerate(texts) if "\x00" not in text]
+        out = dict(zip(rows, self._joined([self.marked(texts[n]) for n in rows]), strict=True))
+        for n, text in enumerate(texts):
+            if n not in out:  # a zero sign of its own
+                parts = self.parts(text)
+                self.learn(self.unknown(set(parts)))
+                out[n] = b"".join(map(self.__getitem__, parts))
+            yield out.pop(n)
+
+    def _joined(self, marked: list[str]) -> Iterator[bytes]:
+        """The ids of marked texts: parts are split and numbered by Arrow, looked up once each and put in place by number."""
+        lists = pc.split_pattern(pa.array(marked, pa.large_string()), "\x00")
+        numbered = lists.flatten().dictionary_encode()
+        distinct, place = numbered.dictionary.to_pylist(), numbered.indices.to_numpy()
+        self.learn(self.unknown(distinct))
+        codes = [self[part] for part in distinct]
+        sizes = np.fromiter(map(len, codes), np.int64, len(codes)) // self.kind.itemsize
+        starts, pool = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(codes), self.kind)
+        upto = np.append(0, np.cumsum(sizes[place]))
+        raw = []
+        for at in range(0, len(place), GATHERED_PARTS):
+            some = place[at : at + GATHERED_PARTS]
+            shift = np.repeat(starts[some] - (upto[at : at + len(some)] - upto[at]), sizes[some])
+            raw.append(pool[shift + np.arange(len(shift))].tobytes())
+        whole = b"".join(raw)
+        ends = (upto[lists.offsets.to_numpy()] * self.kind.itemsize).tolist()
+        for a, b in zip(ends[:-1], ends[1:], strict=True):
+            yield whole[a:b]
 
 
 #: A part without white space but for one blank before it.
 SOLID = re.compile(r" ?\S+")
 #: A part that ends with signs after a letter or digit; no apostrophe, as it may begin a pre-token with letters.
 ENDED = re.compile(r"(.*[^\W_])([.,;:!?*%$#&|]+)", re.DOTALL)
+#: A line end between two signs that are no white space: a pre-token of its own.
+LONE_LINE_END = re.compile(r"(?<=\S)\n(?=\S)")
 #: Parts that are encoded as one text.
 LINES = 64
+#: Parts whose ids are put in place at a time.
+GATHERED_PARTS = 1 << 20
 
 #: White space other than blank, tab and line ends.
 RARE_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
