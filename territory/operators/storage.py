@@ -32,20 +32,21 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return configured
 
 
-_copies: list[str] = []
+#: Paths of the copies that are there.
+copies: list[str] = []
 
 
 @contextmanager
 def temporary_copies(spark: SparkSession) -> Iterator[None]:
     """Delete, at the end, the copies that ``materialise`` made inside."""
-    before = len(_copies)
+    before = len(copies)
     try:
         yield
     finally:
-        for path in _copies[before:]:
+        for path in copies[before:]:
             target = spark._jvm.org.apache.hadoop.fs.Path(path)
             target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-        del _copies[before:]
+        del copies[before:]
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -56,6 +57,6 @@ def materialise(df: DataFrame) -> DataFrame:
     size: a small dimension is broadcast from the start, a large one is not.
     """
     path = f"{checkpoint_folder(df.sparkSession)}/tables/{uuid.uuid4().hex}"
-    _copies.append(path)
+    copies.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
