@@ -11,16 +11,18 @@ document.
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from territory.operators.storage import checkpoint_folder
+from territory.operators.storage import checkpoint_folder, copies
 
 U64 = np.uint64
 
@@ -93,6 +95,20 @@ def buckets_of(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+#: What operators keep in a Python worker from task to task, by name.
+REMEMBERED: dict[str, object] = {}
+
+
+def forget() -> None:
+    """Give back what other operators left in this worker, and memory that is held for nothing.
+
+    Workers serve one stage after the other; an operator with large arrays starts with this.
+    """
+    REMEMBERED.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 ASKED = "chunk long, bucket int, grams binary, counts binary"
 TOLD = "chunk long, bucket int, totals binary"
 
@@ -175,9 +191,10 @@ def store(df: DataFrame, name: str) -> DataFrame:
 
     Later stages read the table, not its history: a lost executor costs the
     tasks it ran, and what a task derived from its partition number stays as
-    it was first written.
+    it was first written. ``storage.temporary_copies`` deletes the tables made inside it.
     """
     spark = df.sparkSession
     path = f"{checkpoint_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    copies.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

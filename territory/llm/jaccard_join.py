@@ -42,6 +42,7 @@ from territory.llm.blocks import (
     byte_sizes,
     chunks,
     count_tables,
+    forget,
     join_hashes,
     mix,
     pack,
@@ -57,9 +58,11 @@ from territory.llm.components import components
 from territory.llm.lm_score import words_of
 
 SHINGLE_WORDS = 3
+#: A pair is made at its first common token, as far as this many tokens tell; beyond them repeats are dropped later.
+FIRST_TOKENS = 16
 #: Similarity in hundredths.
 LEAST = 90
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 #: Shingle hashes below this are counted for the order.
 COUNTED = U64(1 << 62)
 #: Bits of the parity bound, as columns of 64.
@@ -111,6 +114,7 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> list[Column]:
 
 def _sketches(frames: Iterator[pd.DataFrame], size: int, least: int) -> Iterator[pd.DataFrame]:
     """Steps 1 and 2: sizes and marks of a chunk's sets; of its classes, the shingles a prefix can come from."""
+    forget()
     chunk = TaskContext.get().partitionId() << 32
     for frame in chunks(frames, byte_sizes("text"), CHUNK_BYTES):
         sizes, marks, heads, bits, lengths, parts, seen = [], [], [], [], [], [], set()
@@ -276,7 +280,9 @@ def _named_classes(docs: DataFrame, least: int, size: int, id_col: str, text_col
         groups.select("g", F.monotonically_increasing_id().alias("gid"), "m", "n", "head.*", "tokens"), "jaccard-groups"
     )
     classes = store(classes.drop("tokens").join(groups.select("g", "gid"), "g").drop("g"), "jaccard-members")
-    entries = groups.select("gid", F.explode("tokens").alias("token"))
+    # ``before``: the rarest of the tokens that precede this one in the order that all groups share
+    placed = groups.select("gid", "tokens", F.posexplode("tokens").alias("place", "token"))
+    entries = placed.select("gid", "token", F.slice("tokens", 1, F.least("place", F.lit(FIRST_TOKENS))).alias("before"))
     alone = entries.groupBy("token").agg(F.min("gid").alias("p"), F.max("gid").alias("q")).filter("p = q").select("token")
     entries = store(entries.join(alone, "token", "left_anti"), "jaccard-entries")
     groups = store(
@@ -297,7 +303,7 @@ def _named_classes(docs: DataFrame, least: int, size: int, id_col: str, text_col
         .filter((F.col("x") != F.col("b")) & _hopeful("", "h", least))
         .select(F.col("x").alias("a"), "b")
     )
-    blocks = entries.join(groups.filter("open").drop("m", "open"), "gid")
+    blocks = entries.drop("before").join(groups.filter("open").drop("m", "open"), "gid")
     first = [inside]
     for shift in (0.0, 0.5):  # ranges of sizes that overlap by a half
         banded = blocks.withColumn("band", F.floor(F.log("n") / np.log(100 / least) + shift))
@@ -346,15 +352,17 @@ def _named_classes(docs: DataFrame, least: int, size: int, id_col: str, text_col
     )
     sizes = blocks.filter("low = high").groupBy("token", "low").agg(F.count(F.lit(1)).alias("size"))
     major = sizes.groupBy("token").agg(F.max(F.struct("size", "low")).alias("most")).select("token", F.col("most.low").alias("major"))
-    minor = (
-        blocks.join(major, "token", "left")
-        .filter(~F.coalesce((F.col("low") == F.col("high")) & (F.col("low") == F.col("major")), F.lit(False)))
-        .select("token", *[F.col(c).alias(f"o{c}") for c in ("gid", "n", "low", "high", *BITS)])
+    ours = F.coalesce((F.col("low") == F.col("high")) & (F.col("low") == F.col("major")), F.lit(False))
+    blocks = blocks.join(major, "token", "left").withColumn("minor", ~ours).drop("major")
+    minor = blocks.filter("minor").select(
+        "token", *[F.col(c).alias(f"o{c}") for c in ("gid", "n", "low", "high", "before", *BITS)]
     )
     together = (F.col("low") == F.col("high")) & (F.col("olow") == F.col("ohigh")) & (F.col("low") == F.col("olow"))
+    # Two groups meet in every block they share, as one of them is outside its largest component: the first is enough.
+    once = (~F.col("minor") | (F.col("gid") < F.col("ogid"))) & ~F.arrays_overlap("before", "obefore")
     group_pairs = (
         blocks.join(minor, "token")
-        .filter(~together & (F.col("gid") != F.col("ogid")) & F.coalesce(_hopeful("", "o", least), F.lit(True)))
+        .filter(~together & (F.col("gid") != F.col("ogid")) & once & F.coalesce(_hopeful("", "o", least), F.lit(True)))
         .filter(F.least("n", "on") * 100 >= F.greatest("n", "on") * least)
         .select(F.least("gid", "ogid").alias("g1"), F.greatest("gid", "ogid").alias("g2"))
     )

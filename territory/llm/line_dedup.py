@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from territory.llm.blocks import store, text_batches, wrapped
+from territory.llm.blocks import forget, store, text_batches, wrapped
 
 #: Words that a run of lines needs to be deleted when it repeats.
 RUN_WORDS = 50
@@ -120,6 +120,7 @@ def repeated_windows(
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget()
         names = ["id", "key", "fp", "anchor", "first", "last", "mark"]
         for frame in frames:
             out = []

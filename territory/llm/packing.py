@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from territory.llm.blocks import byte_sizes, chunks, store, text_batches
+from territory.llm.blocks import REMEMBERED, byte_sizes, chunks, store, text_batches
 
 SEQUENCE_TOKENS = 1024
 #: Id that ends every document.
@@ -174,17 +174,14 @@ def _single_spaces(text: str) -> bool:
     )
 
 
-_WORD_IDS: dict[str, WordIds] = {}
-
-
 def word_ids(path: str) -> WordIds:
     """The worker's encoder for a tokenizer file; tasks that follow in the same worker find its words."""
-    if path not in _WORD_IDS:
+    if path not in REMEMBERED:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _WORD_IDS[path] = WordIds(Tokenizer.from_file(path))
-    return _WORD_IDS[path]
+        REMEMBERED[path] = WordIds(Tokenizer.from_file(path))
+    return REMEMBERED[path]
 
 
 def token_rows(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
