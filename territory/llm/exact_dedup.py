@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from territory.llm.blocks import store
+from territory.llm.blocks import store, wrapped
 
 #: Fixed value: characters that do not count.
 BLANKS = "[\\x20\\x09-\\x0D]"
@@ -30,22 +30,38 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Columns: the id, ``keep_id`` (id of the row that stays), ``group_size``,
     ``kept`` and ``text_sha256`` of the normalised text. The row with the most
-    code points stays, then the smallest id (nulls last), then the first in
-    storage order.
+    code points stays, then the smallest id (of any type that has an order;
+    nulls last), then the first in storage order.
 
     A null text counts as empty; empty texts form one group. Rows that repeat
     an id or a text are rows of their own. An empty table gives no rows. Other
     columns, whatever their names, are ignored.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    numbered = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    return _classes(numbered).select(F.col("_id").alias(id_col), "keep_id", "group_size", "kept", "text_sha256")
+
+
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows whose text equals that of the row that stays.
+
+    Rows are told apart by a stored number, not by their ids: of every
+    different text one row stays, also where ids are null or repeat. Columns
+    and their names are kept; nulls, empty texts, ties and empty tables are
+    treated as by ``exact_groups``.
+    """
+    numbered = store(wrapped(docs, F.monotonically_increasing_id().alias("_row")), "exact-docs")
+    fields = {"_id": id_col, "_text": text_col}
+    stays = _classes(numbered.select("_row", *[F.col("_doc")[field].alias(name) for name, field in fields.items()]))
+    return numbered.join(stays.filter("kept").select("_row"), "_row", "left_semi").select("_doc.*")
+
+
+def _classes(numbered: DataFrame) -> DataFrame:
+    """The groups of rows (_row, _id, _text), by row."""
+    text = F.coalesce(F.col("_text"), F.lit(""))
     plain = F.encode(F.regexp_replace(text, BLANKS, ""), "UTF-8")
     rows = store(
-        docs.select(
-            F.monotonically_increasing_id().alias("_row"),
-            F.col(id_col).alias("_id"),
-            F.length(text).alias("_points"),
-            F.sha2(plain, 256).alias("text_sha256"),
-            plain.alias("_rest"),
+        numbered.select(
+            "_row", "_id", F.length(text).alias("_points"), F.sha2(plain, 256).alias("text_sha256"), plain.alias("_rest")
         ),
         "exact-rows",
     )
@@ -83,24 +99,16 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .withColumn("_group", F.coalesce("_group", "_row"))
     )
     members = store(members, "exact-members")
-    best = F.max_by(
+    best = F.min_by(
         F.struct("_row", "_id"),
-        F.struct("_points", F.col("_id").isNotNull(), -F.col("_id"), -F.col("_row")),
+        F.struct(-F.col("_points"), F.col("_id").isNull(), "_id", "_row"),
     )
     heads = members.groupBy("_group").agg(F.count(F.lit(1)).alias("group_size"), best.alias("_best"))
     return members.join(heads, "_group").select(
-        F.col("_id").alias(id_col),
+        "_row",
+        "_id",
         F.col("_best._id").alias("keep_id"),
         "group_size",
         (F.col("_best._row") == F.col("_row")).alias("kept"),
         "text_sha256",
     )
-
-
-def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows whose text equals that of the row that stays.
-
-    Needs ids that are unique and not null; every column is kept.
-    """
-    stays = exact_groups(docs, id_col, text_col).filter("kept").select(F.col(id_col).alias("_stay"))
-    return docs.join(stays, docs[id_col] == stays["_stay"], "left_semi")

@@ -49,6 +49,25 @@ def test_drop_copies_keeps_columns(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 3]
 
 
+def test_drop_copies_keeps_one_row_of_each_text_whatever_the_ids(spark):
+    pairs = [(None, "a"), (None, "b"), (1, "a"), (2, "c"), (2, "d d"), (2, "c"), (3, None), (None, " ")]
+    kept = exact_dedup.drop_copies(frame(spark, pairs)).collect()
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter([(None, "b"), (1, "a"), (2, "c"), (2, "d d"), (None, " ")])
+    assert {r._row for r in kept} == {"r"}
+    edge = exact_dedup.drop_copies(frame(spark, EDGE)).collect()
+    assert len(edge) == len({r[3] for r in brute(EDGE)})
+    assert exact_dedup.drop_copies(frame(spark, [])).count() == 0
+
+
+def test_text_ids(spark):
+    docs = spark.createDataFrame([("b", "x y"), ("a", "xy "), (None, "x y"), ("c", "z")], "doc_id string, text string")
+    out = exact_dedup.exact_groups(docs).collect()
+    assert Counter((r.doc_id, r.keep_id, r.group_size, r.kept) for r in out) == Counter(
+        [("a", "a", 3, True), ("b", "a", 3, False), (None, "a", 3, False), ("c", "c", 1, True)]
+    )
+    assert sorted(r.doc_id for r in exact_dedup.drop_copies(docs).collect()) == ["a", "c"]
+
+
 @pytest.mark.parametrize("n", [500])
 def test_one_group_of_a_third_of_all_rows(spark, n):
     pairs = [(i, "hot text" if i % 3 == 0 else f"text {i // 2}") for i in range(n)]
