@@ -14,11 +14,12 @@ share a shingle among their rarest |s| - ceil(t |s|) + 1, their prefix.
    links found make components, and pairs inside one component need no look.
    Blocks of several components do so once more, with another group.
 5. In the blocks that still hold several components the groups outside the
-   block's largest component meet all others; groups expand to their members,
-   and the sets of what is left are compared.
+   block's largest component meet all others; groups expand to their members, the
+   smaller one first, and the sets of what is left are compared.
 
 Before sets are fetched, every pair passes a bound: bits that hold the parity of
-the shingles that fall on them differ at most as often as the sets do.
+the shingles that fall on them differ at most as often as the sets do. Pairs of
+groups pass it by the bits that all members of either group agree on.
 
 Step 4 keeps a block of thousands of near copies from making all its pairs: what
 is left for step 5 are the few classes that its first ones do not reach.
@@ -26,7 +27,9 @@ is left for step 5 are the few classes that its first ones do not reach.
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -67,6 +70,8 @@ CHUNK_BYTES = 4 << 20
 COUNTED = U64(1 << 62)
 #: Bits of the parity bound, as columns of 64.
 BITS = tuple(f"b{k}" for k in range(8))
+#: For each column of a group the bits that its members do not agree on.
+LOOSE = tuple(f"loose_{b}" for b in BITS)
 #: A word's first character, as ``words_of`` reads it.
 WORD = r"[^\x20\x09-\x0D]"
 #: A null id comes after all others.
@@ -217,10 +222,17 @@ def _verify(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
     return store(paired.mapInPandas(run, "a binary, b binary"), "jaccard-links")
 
 
-def _hopeful(one: str, other: str, least: int) -> Column:
-    """Whether sizes and parity bits of two rows allow the similarity; names are prefixed by either string."""
+def _hopeful(one: str, other: str, least: int, groups: bool = False) -> Column:
+    """Whether sizes and parity bits of two rows allow the similarity; names are prefixed by either string.
+
+    For two groups: whether any member of the one may reach any of the other.
+    """
     n, m = F.col(f"{one}n"), F.col(f"{other}n")
-    apart = sum((F.bit_count(F.col(one + b).bitwiseXOR(F.col(other + b))) for b in BITS[1:]), F.bit_count(F.col(one + BITS[0]).bitwiseXOR(F.col(other + BITS[0]))))
+    differ = [F.col(one + b).bitwiseXOR(F.col(other + b)) for b in BITS]
+    if groups:
+        loose = [F.col(one + b).bitwiseOR(F.col(other + b)) for b in LOOSE]
+        differ = [d.bitwiseAND(F.bitwise_not(v)) for d, v in zip(differ, loose, strict=True)]
+    apart = reduce(operator.add, map(F.bit_count, differ))
     common = F.shiftright(n + m - apart, 1)
     return (F.least(n, m) * 100 >= F.greatest(n, m) * least) & (common * 100 >= (n + m - common) * least)
 
@@ -275,9 +287,10 @@ def _named_classes(docs: DataFrame, least: int, size: int, id_col: str, text_col
         F.count(F.lit(1)).alias("m"),
         F.first("n").alias("n"),
         F.first("tokens").alias("tokens"),
+        *[F.bit_or(b).bitwiseXOR(F.bit_and(b)).alias(v) for b, v in zip(BITS, LOOSE, strict=True)],
     )
     groups = store(
-        groups.select("g", F.monotonically_increasing_id().alias("gid"), "m", "n", "head.*", "tokens"), "jaccard-groups"
+        groups.select("g", F.monotonically_increasing_id().alias("gid"), "m", "n", "head.*", *LOOSE, "tokens"), "jaccard-groups"
     )
     classes = store(classes.drop("tokens").join(groups.select("g", "gid"), "g").drop("g"), "jaccard-members")
     # ``before``: the rarest of the tokens that precede this one in the order that all groups share
@@ -303,7 +316,7 @@ def _named_classes(docs: DataFrame, least: int, size: int, id_col: str, text_col
         .filter((F.col("x") != F.col("b")) & _hopeful("", "h", least))
         .select(F.col("x").alias("a"), "b")
     )
-    blocks = entries.drop("before").join(groups.filter("open").drop("m", "open"), "gid")
+    blocks = entries.drop("before").join(groups.filter("open").drop("m", "open", *LOOSE), "gid")
     first = [inside]
     for shift in (0.0, 0.5):  # ranges of sizes that overlap by a half
         banded = blocks.withColumn("band", F.floor(F.log("n") / np.log(100 / least) + shift))
@@ -345,26 +358,23 @@ def _named_classes(docs: DataFrame, least: int, size: int, id_col: str, text_col
         "jaccard-marked",
     )
     state = marked.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    # a group of one class has the bits of that class; a larger one passes the bound and expands
-    held = [F.when(F.col("m") == 1, F.col(c)).alias(c) for c in BITS]
-    blocks = store(
-        entries.join(groups.filter("open").select("gid", "n", *held).join(state, "gid"), "gid"), "jaccard-blocks"
-    )
+    held = groups.filter("open").select("gid", "m", "n", *BITS, *LOOSE)
+    blocks = store(entries.join(held.join(state, "gid"), "gid"), "jaccard-blocks")
     sizes = blocks.filter("low = high").groupBy("token", "low").agg(F.count(F.lit(1)).alias("size"))
     major = sizes.groupBy("token").agg(F.max(F.struct("size", "low")).alias("most")).select("token", F.col("most.low").alias("major"))
     ours = F.coalesce((F.col("low") == F.col("high")) & (F.col("low") == F.col("major")), F.lit(False))
     blocks = blocks.join(major, "token", "left").withColumn("minor", ~ours).drop("major")
     minor = blocks.filter("minor").select(
-        "token", *[F.col(c).alias(f"o{c}") for c in ("gid", "n", "low", "high", "before", *BITS)]
+        "token", *[F.col(c).alias(f"o{c}") for c in ("gid", "m", "n", "low", "high", "before", *BITS, *LOOSE)]
     )
     together = (F.col("low") == F.col("high")) & (F.col("olow") == F.col("ohigh")) & (F.col("low") == F.col("olow"))
     # Two groups meet in every block they share, as one of them is outside its largest component: the first is enough.
     once = (~F.col("minor") | (F.col("gid") < F.col("ogid"))) & ~F.arrays_overlap("before", "obefore")
+    smaller = (F.col("m") < F.col("om")) | ((F.col("m") == F.col("om")) & (F.col("gid") < F.col("ogid")))
     group_pairs = (
         blocks.join(minor, "token")
-        .filter(~together & (F.col("gid") != F.col("ogid")) & once & F.coalesce(_hopeful("", "o", least), F.lit(True)))
-        .filter(F.least("n", "on") * 100 >= F.greatest("n", "on") * least)
-        .select(F.least("gid", "ogid").alias("g1"), F.greatest("gid", "ogid").alias("g2"))
+        .filter(~together & (F.col("gid") != F.col("ogid")) & once & _hopeful("", "o", least, groups=True))
+        .select(F.when(smaller, F.col("gid")).otherwise(F.col("ogid")).alias("g1"), F.when(smaller, F.col("ogid")).otherwise(F.col("gid")).alias("g2"))
     )
     mixed = state.filter("low <> high").select(F.col("gid").alias("g1"), F.col("gid").alias("g2"))
     one = marked.select(F.col("gid").alias("g1"), F.col("x").alias("a"), F.col("label").alias("la"), *[F.col(c).alias(f"p{c}") for c in ("n", *BITS)])
