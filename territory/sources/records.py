@@ -92,15 +92,16 @@ def read_geojson(spark: SparkSession, path: str, lines: bool = False) -> DataFra
     """Features as (code, nom, geom).
 
     A feature collection is one document in a file of its own, read by one
-    task. Large boundary sets come as one feature per line (``lines``), which
-    Spark splits.
+    task; the files of a folder are its parts. Large boundary sets come as one
+    feature per line (``lines``), which Spark splits.
     """
     if lines:
         features = spark.read.schema(_FEATURE).json(path)
     else:
         collection = T.StructType([T.StructField("features", T.ArrayType(_FEATURE))])
-        documents = spark.read.schema(collection).json(path, multiLine=True)
-        features = documents.select(F.inline("features"))
+        # Parsed from the text: to cut coordinates out of a file, the JSON reader opens it again for each feature.
+        documents = spark.read.text(path, wholetext=True).select(F.ltrim("value", F.lit("\ufeff")).alias("value"))
+        features = documents.select(F.from_json("value", collection).alias("d")).select(F.inline("d.features"))
     return features.select(
         "properties.code",
         "properties.nom",

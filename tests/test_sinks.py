@@ -104,3 +104,26 @@ def test_bucketed_table_needs_no_shuffle_per_key(spark):
     assert "Exchange" not in plan_of(kept)
     assert kept.agg(F.sum("area")).first()[0] == sum(range(180, 200))
     spark.sql("drop table bucketed_test")
+
+
+def test_a_zone_beyond_the_size_of_a_document_comes_as_several(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "DOCUMENT_BYTES", 40_000)
+    path = str(tmp_path / "geo")
+    written = features(spark, 400)
+    sinks.write_geojson_by_zone(written, path, documents=True)
+    files = list(Path(path).glob("zone=idf_communes/part-*"))
+    documents = [json.loads(f.read_text()) for f in files]
+    assert len(files) > 5 and max(f.stat().st_size for f in files) < 80_000
+    assert sum(len(d["features"]) for d in documents) == 2400
+    assert read_geojson(spark, f"{path}/zone=idf_communes").exceptAll(written).isEmpty()
+
+
+def test_a_document_is_read_once(spark, tmp_path):
+    document = {"type": "FeatureCollection", "features": [
+        {"type": "Feature", "geometry": {"type": "Polygon", "coordinates": [[[i, 0.5], [1, 0], [1, 1], [i, 0.5]]]}, "properties": {"code": str(i), "nom": "é"}}
+        for i in range(3)
+    ]}
+    (tmp_path / "d.geojson").write_text("﻿" + json.dumps(document, indent=1, ensure_ascii=False))
+    back = read_geojson(spark, str(tmp_path / "d.geojson"))
+    assert sorted((r["code"], r["nom"], r["geom"][0][0][0]) for r in back.collect()) == [(str(i), "é", [float(i), 0.5]) for i in range(3)]
+    assert "Scan json" not in back._jdf.queryExecution().executedPlan().toString()
