@@ -7,7 +7,7 @@ Column names are the labels shown to readers.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,6 +44,22 @@ class Tables:
         return self.accessibility.filter(F.col("annee") == self.periods.latest)
 
 
+class TablesOnDemand(Tables):
+    """The same over tables by name, each taken when a card reads it: one that makes
+    its tables on demand (``build_models``) makes those of the card only."""
+
+    def __init__(self, named: Mapping[str, DataFrame], periods: S.Periods):
+        object.__setattr__(self, "named", named)
+        object.__setattr__(self, "periods", periods)
+
+    def __getattribute__(self, name: str):
+        named = object.__getattribute__(self, "named") if name in _TABLE_NAMES else {}
+        return named[name] if name in named else object.__getattribute__(self, name)
+
+
+_TABLE_NAMES = frozenset(f.name for f in fields(Tables)) - {"periods"}
+
+
 # --- shapes -----------------------------------------------------------------
 
 
