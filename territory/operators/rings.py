@@ -37,16 +37,20 @@ def directed_edges(polygons: DataFrame, key: str, geom: str, digits: int) -> Dat
     def grid(p: Column) -> Column:
         return F.struct(F.round(p[0] * scale).cast("long").alias("x"), F.round(p[1] * scale).cast("long").alias("y"))
 
-    rings = polygons.select(F.col(key).alias("_key"), F.explode(geom).alias("rings")).select(
-        "_key", F.posexplode("rings").alias("place", "ring")
-    )
+    # Few bytes of polygons are much work: they are dealt to all tasks.
+    tasks = int(polygons.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = polygons.select(F.col(key).alias("_key"), F.col(geom).alias("geom")).repartition(tasks)
+    rings = dealt.select("_key", F.explode("geom").alias("rings")).select("_key", F.posexplode("rings").alias("place", "ring"))
     rings = rings.filter(F.size("ring") > 3).select("_key", "place", F.transform("ring", grid).alias("ring"))
-    rings = rings.withColumn("area", _twice_area(F.col("ring"))).filter("area != 0")
+    rings = rings.withColumn("area", _twice_area(F.col("ring")))
     turned = (F.col("area") > 0) != (F.col("place") == 0)
-    rings = rings.withColumn("ring", F.when(turned, F.reverse("ring")).otherwise(F.col("ring")))
     places = F.sequence(F.lit(0), F.size("ring") - 2)
-    edges = F.transform(places, lambda i: F.struct(F.get("ring", i).alias("a"), F.get("ring", i + 1).alias("b")))
-    return rings.select("_key", F.inline(edges)).filter("a != b")
+    forth = F.transform(places, lambda i: F.struct(F.get("ring", i).alias("a"), F.get("ring", i + 1).alias("b")))
+    back = F.transform(places, lambda i: F.struct(F.get("ring", i + 1).alias("a"), F.get("ring", i).alias("b")))
+    # Flat rings have no edges here. A filter on the area, or one that an inner inline brings with it,
+    # would be pushed below all this and work it out again.
+    edges = F.when(F.col("area") != 0, F.when(turned, back).otherwise(forth))
+    return rings.select("_key", F.inline_outer(edges)).filter("a != b")
 
 
 def outline_edges(edges: DataFrame) -> DataFrame:

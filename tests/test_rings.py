@@ -99,3 +99,16 @@ def test_null_keys_and_no_rows(spark):
     assert R.outlines(spark.createDataFrame([], schema), "key").count() == 0
     none = spark.createDataFrame([(None, [[box(0, 0, 3, 3), box(1, 1)]])], schema)
     assert [(r.key, len(r.geom[0])) for r in R.outlines(none, "key").collect()] == [(None, 2)]
+
+
+def test_edges_are_worked_out_once_by_all_tasks(spark):
+    from territory.operators import rings
+
+    corners = [[0.0, 0.0], [0.0, 2.0], [2.0, 2.0], [2.0, 0.0], [0.0, 0.0]]
+    flat = [[0.0, 0.0], [1.0, 0.0], [2.0, 0.0], [0.0, 0.0]]
+    polygons = spark.createDataFrame([("a", [[corners]]), ("a", [[flat]]), ("b", [])], "k string, geom array<array<array<array<double>>>>").coalesce(1)
+    edges = rings.directed_edges(polygons, "k", "geom", 0)
+    assert {tuple(r["a"]) + tuple(r["b"]) for r in edges.collect()} == {(0, 0, 2, 0), (2, 0, 2, 2), (2, 2, 0, 2), (0, 2, 0, 0)}
+    plan = edges._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition" in plan
+    assert not [line for line in plan.splitlines() if line.strip(" :+-").startswith("Filter") and "aggregate(" in line]
