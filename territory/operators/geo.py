@@ -19,7 +19,7 @@ from territory.operators.storage import materialise
 GEOMETRY_TYPE = "array<array<array<array<double>>>>"
 
 #: A cell with more edges and turns than this is split in four.
-CELL_EDGES = 64
+CELL_EDGES = 32
 #: How often a cell may be split: edges that meet in one vertex cannot be parted.
 MOST_SPLITS = 20
 #: Cells up to this size are sent to every task; beyond it points and cells are shuffled.
@@ -55,7 +55,7 @@ def _extent(geom: Column, axis: int) -> tuple[Column, Column]:
 
 def _with_odd(frame: DataFrame, values: str) -> DataFrame:
     """The array ``values`` sorted, with only what it holds an odd number of times, each once."""
-    frame = frame.withColumn("_all", F.array_sort(values))
+    frame = frame.withColumn("_all", F.sort_array(values))
     places = F.sequence(F.lit(0), F.size("_all") - 1)
     differs = F.filter(places, lambda i: (i == 0) | (F.get("_all", i) != F.get("_all", i - 1)))
     frame = frame.withColumn("_starts", F.when(F.size("_all") > 0, differs).otherwise(F.array().cast("array<int>")))
@@ -64,11 +64,12 @@ def _with_odd(frame: DataFrame, values: str) -> DataFrame:
     return frame.withColumn(values, F.filter(runs, lambda v: v.isNotNull())).drop("_all", "_starts", "_ends")
 
 
-def _side_of(e: Column, left: Column, right: Column, bottom: Column, top: Column) -> Column:
+def _side_of(e: Column) -> Column:
     """1 if an edge runs to the right of a cell at all heights they share, -1 if to the left, else 0.
 
     An edge within rounding of the cell counts as 0: it is tested against each point.
     """
+    left, right, bottom, top = (F.col(c) for c in ("_left", "_right", "_bottom", "_top"))
     width, height = e.x2 - e.x1, e.y2 - e.y1
 
     def ahead(x: Column, y: Column) -> Column:
@@ -78,7 +79,10 @@ def _side_of(e: Column, left: Column, right: Column, bottom: Column, top: Column
     slack = (F.abs(width) + F.abs(right - e.x1) + F.abs(left - e.x1)) * height * 1e-12
     beyond = F.least(ahead(right, low), ahead(right, high)) > slack
     before = F.greatest(ahead(left, low), ahead(left, high)) < -slack
-    return F.when(beyond, 1).when(before, -1).otherwise(0)
+    # Most edges have both ends well beside the cell, which costs less to see.
+    far_left, far_right = F.col("_far_left"), F.col("_far_right")
+    clear = F.when((e.x1 > far_right) & (e.x2 > far_right), 1).when((e.x1 < far_left) & (e.x2 < far_left), -1)
+    return clear.when(beyond, 1).when(before, -1).otherwise(0)
 
 
 def _clipped(cells: DataFrame) -> DataFrame:
@@ -92,18 +96,29 @@ def _clipped(cells: DataFrame) -> DataFrame:
     """
     side = F.col("side")
     left, bottom = F.col("cx") * side, F.col("cy") * side
-    right, top = left + side, bottom + side
-    band = F.filter("edges", lambda e: (e.y2 > bottom) & (e.y1 < top))
-    placed = cells.withColumn("_band", F.transform(band, lambda e: F.struct(e.alias("e"), _side_of(e, left, right, bottom, top).alias("at"))))
-    cells = placed.withColumn("_beyond", F.transform(F.filter("_band", lambda b: b["at"] > 0), lambda b: b["e"]))
+    # Columns of their own: a lambda works its expressions out for every edge.
+    cells = cells.withColumns({"_left": left, "_right": left + side, "_bottom": bottom, "_top": bottom + side})
+    cells = cells.withColumns({"_far_left": F.col("_left") - side / (1 << 20), "_far_right": F.col("_right") + side / (1 << 20)})
+    bottom, top = F.col("_bottom"), F.col("_top")
+    cells = cells.withColumn("_band", F.filter("edges", lambda e: (e.y2 > bottom) & (e.y1 < top)))
+    cells = cells.withColumn("_beyond", F.filter("_band", lambda e: _side_of(e) > 0))
     below = F.size(F.filter("turns", lambda t: t <= bottom))
     crossed = F.size(F.filter("_beyond", lambda e: (e.y1 <= bottom) & (bottom < e.y2)))
-    ends = F.flatten(F.transform("_beyond", lambda e: F.array(e.y1, e.y2)))
-    heights = F.filter(F.concat("turns", ends), lambda t: (t > bottom) & (t < top))
-    near = F.transform(F.filter("_band", lambda b: b["at"] == 0), lambda b: b["e"])
+    ends = [F.transform("_beyond", lambda e: e.y1), F.transform("_beyond", lambda e: e.y2)]
+    heights = F.filter(F.concat("turns", *ends), lambda t: (t > bottom) & (t < top))
+    near = F.filter("_band", lambda e: _side_of(e) == 0)
     cells = cells.withColumns({"base": (F.col("base") + below + crossed) % 2, "edges": near, "turns": heights})
-    cells = _with_odd(cells.drop("_band", "_beyond"), "turns")
-    return cells.filter((F.size("edges") > 0) | (F.size("turns") > 0) | (F.col("base") == 1))
+    return _with_odd(cells.drop("_band", "_beyond", "_left", "_right", "_bottom", "_top", "_far_left", "_far_right"), "turns")
+
+
+def _stored(cells: DataFrame) -> DataFrame:
+    """Clipped cells, stored, less those outside.
+
+    The filter comes after the store: Spark would push it below the clipping and so clip
+    for it again, several times over.
+    """
+    touched = (F.size("edges") > 0) | (F.size("turns") > 0) | (F.col("base") == 1)
+    return materialise(_clipped(cells)).filter(touched)
 
 
 def polygon_cells(polygons: DataFrame, keys: Sequence[str], geom: str) -> DataFrame:
@@ -117,7 +132,9 @@ def polygon_cells(polygons: DataFrame, keys: Sequence[str], geom: str) -> DataFr
     """
     x_low, x_high = _extent(F.col(geom), 0)
     y_low, y_high = _extent(F.col(geom), 1)
-    boxes = polygons.select(
+    # Few bytes of polygons are much work: they are dealt to all tasks.
+    tasks = int(polygons.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    boxes = polygons.select(*keys, geom).repartition(tasks).select(
         *keys,
         edges_of(F.col(geom)).alias("edges"),
         x_low.alias("x_low"), x_high.alias("x_high"),
@@ -138,7 +155,7 @@ def polygon_cells(polygons: DataFrame, keys: Sequence[str], geom: str) -> DataFr
     columns = [*keys, "side", "least", "cx", "cy", "edges"]
     start = start.select(*columns, F.lit(0).alias("base"), F.array().cast("array<double>").alias("turns"))
     heavy = (F.size("edges") + F.size("turns") > CELL_EDGES) & (F.col("side") > F.col("least"))
-    state, done = materialise(_clipped(start)), []
+    state, done = _stored(start), []
     while not state.filter(heavy).isEmpty():
         done.append(state.filter(~heavy))
         half = F.array(F.lit(0), F.lit(1))
@@ -146,7 +163,7 @@ def polygon_cells(polygons: DataFrame, keys: Sequence[str], geom: str) -> DataFr
             *keys, (F.col("side") / 2).alias("side"), "least", (F.col("cx") * 2 + F.col("dx")).alias("cx"),
             (F.col("cy") * 2 + F.col("dy")).alias("cy"), "edges", "base", "turns",
         )
-        state = materialise(_clipped(quarters))
+        state = _stored(quarters)
     return reduce(DataFrame.unionByName, [*done, state]).drop("least")
 
 

@@ -190,3 +190,17 @@ def test_dissolve(spark):
     assert sum(r["key"] == "k" for r in got) == 6
     assert sum(r["key"] == "j" for r in got) == 4
     assert not any(r["key"] == "k" and r["x1"] == r["x2"] == 1.0 for r in got)
+
+
+def test_cells_are_clipped_once_and_by_all_tasks(spark, monkeypatch):
+    stored = []
+    real = G.materialise
+    monkeypatch.setattr(G, "materialise", lambda df: stored.append(df._jdf.queryExecution().optimizedPlan().toString()) or real(df))
+    ring = [[0.0, 0.0], [8.0, 0.0], [8.0, 8.0], [0.0, 8.0], [0.0, 0.0]]
+    polygons = spark.createDataFrame([("a", [[ring]])], f"code string, geom {G.GEOMETRY_TYPE}").coalesce(1)
+    cells = G.polygon_cells(polygons, ["code"], "geom")
+    assert cells.filter("base = 1 or size(edges) > 0 or size(turns) > 0").count() == cells.count() > 0
+    # No filter works the turns or sides of edges out a second time.
+    assert all("CASE WHEN" not in line for plan in stored for line in plan.splitlines() if "Filter" in line[:20] and "_far_left" in line)
+    assert all(len(line) < 4000 for plan in stored for line in plan.splitlines() if line.strip(" :+-").startswith("Filter"))
+    assert "Repartition" in stored[0]
