@@ -57,36 +57,38 @@ def read_version(spark: SparkSession, root: str, version: int) -> DataFrame:
     return _read(spark, root, _manifest(spark, root, version)).drop("_year")
 
 
-#: Fixed value: bits of one bitmap of ``bitmap_construct_agg``.
-BITMAP_BITS = 32_768
-#: Bits of a key filter per key, and bits that a key sets.
+#: Bits of a key filter per key, bits that a key sets, and bits of the word that they lie in.
 BITS_PER_KEY = 16
 KEY_BITS = 3
+WORD_BITS = 64
 
 
-def _bits(key: Column) -> Column:
-    return F.array(*[F.pmod(F.xxhash64(key, F.lit(i)), F.lit(BITMAP_BITS)) for i in range(1, KEY_BITS + 1)])
+def _mask(key: Column) -> Column:
+    bits = [F.pmod(F.xxhash64(key, F.lit(i)), F.lit(WORD_BITS)) for i in range(1, KEY_BITS + 1)]
+    return reduce(Column.bitwiseOR, [F.call_function("shiftleft", F.lit(1).cast("long"), bit.cast("int")) for bit in bits])
 
 
-def _segment(key: Column, segments: Column) -> Column:
-    return F.pmod(F.xxhash64(key), segments)
+def _word(key: Column, words: Column) -> Column:
+    return F.pmod(F.xxhash64(key), words)
 
 
 def write_key_filters(spark: SparkSession, root: str, version: int, key: str) -> None:
     """What the files that a load wrote can hold: smallest and largest key, and a filter of their keys.
 
-    A filter is a row of bits per segment of the key's hash, with segments (a power of two)
-    enough for ``BITS_PER_KEY`` bits per key, so it grows with its file and no row with it.
+    A filter is a row per word of bits; all bits of a key lie in one word, told by the key's hash. Words
+    (a power of two) are enough for ``BITS_PER_KEY`` bits per key. Rows are numbers only, so a task
+    adds them up in a hash table of some bytes per key, whatever the size of its files.
     """
     place = F.regexp_extract("_metadata.file_path", f"^.*/(data/v{version}/.*)$", 1)
-    keys = spark.read.parquet(f"{root}/data/v{version}").filter(F.col(key).isNotNull()).select(F.col(key).alias("key"), place.alias("file"))
-    needed = F.greatest(F.count(F.lit(1)) * BITS_PER_KEY / BITMAP_BITS, F.lit(1.0))
-    segments = F.pow(F.lit(2.0), F.ceil(F.log2(needed))).cast("long")
-    files = keys.groupBy("file").agg(F.min("key").alias("low"), F.max("key").alias("high"), segments.alias("segments"))
+    stored = spark.read.parquet(f"{root}/data/v{version}").filter(F.col(key).isNotNull())
+    keys = stored.select(F.col(key).alias("key"), F.xxhash64(place).alias("id"), place.alias("file"))
+    needed = F.greatest(F.count(F.lit(1)) * BITS_PER_KEY / WORD_BITS, F.lit(1.0))
+    words = F.pow(F.lit(2.0), F.ceil(F.log2(needed))).cast("long")
+    files = keys.groupBy("id", "file").agg(F.min("key").alias("low"), F.max("key").alias("high"), words.alias("words"))
     files.write.mode("overwrite").parquet(f"{root}/keys/v{version}/files")
-    sized = keys.join(spark.read.parquet(f"{root}/keys/v{version}/files").select("file", "segments"), "file")
-    bits = sized.select("file", "segments", _segment(F.col("key"), F.col("segments")).alias("segment"), F.explode(_bits(F.col("key"))).alias("bit"))
-    filters = bits.groupBy("file", "segments", "segment").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    sized = keys.select("key", "id").join(spark.read.parquet(f"{root}/keys/v{version}/files").select("id", "words"), "id")
+    placed = sized.select("id", "words", _word(F.col("key"), F.col("words")).alias("word"), _mask(F.col("key")).alias("mask"))
+    filters = placed.groupBy("id", "words", "word").agg(F.bit_or("mask").alias("bits"))
     filters.write.mode("overwrite").parquet(f"{root}/keys/v{version}/filters")
 
 
@@ -94,33 +96,29 @@ def files_with_keys(spark: SparkSession, root: str, folders: Iterable[str], keys
     """Files of ``folders`` that can hold one of ``keys`` (one column), relative to ``root``.
 
     Some may hold none; none that holds one is missing. Only the statistics
-    are read: a key meets the segments of filters that it falls in, by an equi-join.
+    are read: a key meets the words of filters that it falls in, by an equi-join.
     """
     listed = sorted(folders)
     versions = sorted({folder.split("/")[1] for folder in listed})
 
     def of(kind: str) -> DataFrame:
-        frames = [spark.read.parquet(f"{root}/keys/{v}/{kind}") for v in versions]
-        return reduce(DataFrame.unionByName, frames).filter(F.regexp_extract("file", "^(.*)/[^/]*$", 1).isin(listed))
+        return reduce(DataFrame.unionByName, [spark.read.parquet(f"{root}/keys/{v}/{kind}") for v in versions])
 
     name = keys.columns[0]
     keys = keys.filter(F.col(name).isNotNull()).select(F.col(name).alias("key")).distinct()
     ends = keys.agg(F.min("key").alias("first"), F.max("key").alias("last")).first()
     if not listed or ends["first"] is None:
         return []
-    near = of("files").filter((F.col("high") >= F.lit(ends["first"])) & (F.col("low") <= F.lit(ends["last"])))
-    sizes = [r["segments"] for r in near.select("segments").distinct().collect()]  # powers of two: some 40 at most
+    near = of("files").filter(F.regexp_extract("file", "^(.*)/[^/]*$", 1).isin(listed))
+    near = near.filter((F.col("high") >= F.lit(ends["first"])) & (F.col("low") <= F.lit(ends["last"])))
+    sizes = [r["words"] for r in near.select("words").distinct().collect()]  # powers of two: some 40 at most
     if not sizes:
         return []
-    asked = keys.withColumn("segments", F.explode(F.array(*[F.lit(n).cast("long") for n in sorted(sizes)])))
-    asked = asked.withColumn("segment", _segment(F.col("key"), F.col("segments")))
-    met = asked.join(of("filters").join(near.select("file", "low", "high"), "file"), ["segments", "segment"])
-
-    def is_set(bit: Column) -> Column:
-        octet = F.conv(F.hex(F.substring(F.col("bits"), F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-        return F.getbit(octet, (bit % 8).cast("int")) == 1
-
-    held = F.col("key").between(F.col("low"), F.col("high")) & F.forall(_bits(F.col("key")), is_set)
+    asked = keys.withColumn("words", F.explode(F.array(*[F.lit(n).cast("long") for n in sorted(sizes)])))
+    asked = asked.withColumn("word", _word(F.col("key"), F.col("words")))
+    met = asked.join(of("filters").join(near.select("id", "file", "low", "high"), "id"), ["words", "word"])
+    mask = _mask(F.col("key"))
+    held = F.col("key").between(F.col("low"), F.col("high")) & (F.col("bits").bitwiseAND(mask) == mask)
     return sorted(r["file"] for r in met.filter(held).select("file").distinct().collect())  # a row per file to open
 
 
