@@ -10,9 +10,11 @@ share a shingle among their rarest |s| - ceil(t |s|) + 1, their prefix.
 3. Classes with the same prefix and size are one group. Groups that share a
    prefix shingle and may reach the similarity by their sizes are candidates.
 4. In a block (a shared shingle and a range of sizes) every group is compared
-   with the block's first group, and every member with its group's first;
-   links found make components, and pairs inside one component need no look.
-   Blocks of several components do so once more, with another group.
+   with the block's lead, the group whose parity bits (below) are nearest to a few
+   others of the block: the copy with the fewest changes. Every member is compared
+   with its group's first. Links found make components, and pairs inside one component
+   need no look. Blocks of several components do so once more, with a lead from
+   outside their largest one.
 5. In the blocks that still hold several components the groups outside the
    block's largest component meet all others; groups expand to their members, the
    smaller one first, and the sets of what is left are compared.
@@ -72,6 +74,8 @@ COUNTED = U64(1 << 62)
 BITS = tuple(f"b{k}" for k in range(8))
 #: For each column of a group the bits that its members do not agree on.
 LOOSE = tuple(f"loose_{b}" for b in BITS)
+#: Groups of a block by which its lead is found.
+SAMPLED = 8
 #: A word's first character, as ``words_of`` reads it.
 WORD = r"[^\x20\x09-\x0D]"
 #: A null id comes after all others.
@@ -237,6 +241,26 @@ def _hopeful(one: str, other: str, least: int, groups: bool = False) -> Column:
     return (F.least(n, m) * 100 >= F.greatest(n, m) * least) & (common * 100 >= (n + m - common) * least)
 
 
+def _leads(rows: DataFrame, keys: list[str], least: int, more: tuple[str, ...] = ()) -> DataFrame:
+    """The lead of each block: ``keys``, and its x, n, bits and ``more``, prefixed by l.
+
+    That is the row with the fewest differing bits, added up over one row of each of ``SAMPLED`` hash shares of its
+    block. Rows much too far for a link count as equally far. It is a choice only: what a lead misses is compared later.
+    """
+    share = lambda k: F.pmod(F.xxhash64("x"), F.lit(SAMPLED)) == k
+    bits = F.struct(F.xxhash64("x", F.lit(1)).alias("order"), *BITS)
+    some = rows.groupBy(*keys).agg(
+        *[F.min(F.when(share(k), bits)).alias(f"s{k}") for k in range(SAMPLED)], F.min("x").alias("low"), F.max("x").alias("high")
+    )
+    some = some.filter("low <> high").drop("low", "high")
+    beyond = F.col("n") * 8 * (100 - least) / (100 + least)
+    apart = lambda s: reduce(operator.add, [F.bit_count(F.col(b).bitwiseXOR(s[b])) for b in BITS])
+    far = reduce(operator.add, [F.coalesce(F.least(apart(F.col(f"s{k}")), beyond), F.lit(0.0)) for k in range(SAMPLED)])
+    kept = (*more, "x", "n", *BITS)
+    lead = rows.join(some, keys).withColumn("far", far).groupBy(*keys).agg(F.min(F.struct("far", "x", *[c for c in kept if c != "x"])).alias("lead"))
+    return lead.select(*keys, *[F.col(f"lead.{c}").alias(f"l{c}") for c in kept])
+
+
 def similarity_classes(
     docs: DataFrame,
     least: int = LEAST,
@@ -320,10 +344,8 @@ def _named_classes(docs: DataFrame, least: int, size: int, id_col: str, text_col
     first = [inside]
     for shift in (0.0, 0.5):  # ranges of sizes that overlap by a half
         banded = blocks.withColumn("band", F.floor(F.log("n") / np.log(100 / least) + shift))
-        lead = banded.groupBy("token", "band").agg(F.min(F.struct("x", "n", *BITS)).alias("lead"), F.max("x").alias("top"))
-        lead = lead.filter("lead.x <> top").select("token", "band", *[F.col(f"lead.{c}").alias(f"l{c}") for c in ("x", "n", *BITS)])
         first.append(
-            banded.join(lead, ["token", "band"])
+            banded.join(_leads(banded, ["token", "band"], least), ["token", "band"])
             .filter((F.col("x") != F.col("lx")) & _hopeful("", "l", least))
             .select(F.least("x", "lx").alias("a"), F.greatest("x", "lx").alias("b"))
             .distinct()
@@ -332,14 +354,15 @@ def _named_classes(docs: DataFrame, least: int, size: int, id_col: str, text_col
     links = _verify(pairs, fetch(pairs), least)
     labels = components(links)
 
-    # once more in blocks of several components, with the last group of the block's last component
+    # once more in blocks of several components, with a lead from outside the largest
     named = blocks.join(labels.select(F.col("node").alias("x"), "label"), "x", "left").withColumn(
         "label", F.coalesce("label", "x")
     )
-    lead = named.groupBy("token").agg(F.max(F.struct("label", "x", "n", *BITS)).alias("lead"), F.min("label").alias("low"))
-    lead = lead.filter("lead.label <> low").select("token", *[F.col(f"lead.{c}").alias(f"l{c}") for c in ("label", "x", "n", *BITS)])
+    sizes = named.groupBy("token", "label").agg(F.count(F.lit(1)).alias("size"))
+    major = sizes.groupBy("token").agg(F.max(F.struct("size", "label")).alias("most")).select("token", F.col("most.label").alias("major"))
+    outside = named.join(major, "token").filter("label <> major").drop("major")
     again = (
-        named.join(lead, "token")
+        named.join(_leads(outside, ["token"], least, ("label",)), "token")
         .filter((F.col("label") != F.col("llabel")) & _hopeful("", "l", least))
         .select(F.least("x", "lx").alias("a"), F.greatest("x", "lx").alias("b"))
         .distinct()
@@ -369,11 +392,12 @@ def _named_classes(docs: DataFrame, least: int, size: int, id_col: str, text_col
     )
     together = (F.col("low") == F.col("high")) & (F.col("olow") == F.col("ohigh")) & (F.col("low") == F.col("olow"))
     # Two groups meet in every block they share, as one of them is outside its largest component: the first is enough.
-    once = (~F.col("minor") | (F.col("gid") < F.col("ogid"))) & ~F.arrays_overlap("before", "obefore")
+    once = ~F.col("minor") | (F.col("gid") < F.col("ogid"))
+    earlier = F.arrays_overlap("before", "obefore")  # costs most, so last
     smaller = (F.col("m") < F.col("om")) | ((F.col("m") == F.col("om")) & (F.col("gid") < F.col("ogid")))
     group_pairs = (
         blocks.join(minor, "token")
-        .filter(~together & (F.col("gid") != F.col("ogid")) & once & _hopeful("", "o", least, groups=True))
+        .filter(~together & (F.col("gid") != F.col("ogid")) & once & _hopeful("", "o", least, groups=True) & ~earlier)
         .select(F.when(smaller, F.col("gid")).otherwise(F.col("ogid")).alias("g1"), F.when(smaller, F.col("ogid")).otherwise(F.col("gid")).alias("g2"))
     )
     mixed = state.filter("low <> high").select(F.col("gid").alias("g1"), F.col("gid").alias("g2"))

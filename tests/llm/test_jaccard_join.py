@@ -92,6 +92,25 @@ def test_parity_bits_differ_at_most_as_sets_do():
         assert apart <= len(set(a.tolist()) ^ set(b.tolist()))
 
 
+def test_a_large_group_of_near_copies_is_compared_with_its_centre(spark, monkeypatch):
+    rng, pairs = random.Random(5), []
+    for i in range(1400):  # 60 within one change of the text, the others too far from all
+        text = [f"w{k}" for k in range(150)]
+        for at in rng.sample(range(3, 147, 3), min(i, 1) if i < 60 else rng.randrange(6, 9)):
+            text[at] = f"n{rng.randrange(10**9)}"
+        pairs.append((i, " ".join(text)))
+    compared = []
+
+    def verify(rows, sets, least, run=jaccard_join._verify):
+        compared.append(rows.count())
+        return run(rows, sets, least)
+
+    monkeypatch.setattr(jaccard_join, "_verify", verify)
+    out = jaccard_join.similarity_classes(frame(spark, pairs)).collect()
+    assert {r.doc_id: r.component_id for r in out} == {i: 0 if i < 60 else i for i, _ in pairs}
+    assert sum(compared) <= 10 * 60, compared
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(40)] + [(1000, 1000 + i) for i in range(1, 30)] + [(7, 7), (2000, 2000)]
     random.Random(2).shuffle(links)
