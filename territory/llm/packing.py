@@ -30,7 +30,7 @@ SEQUENCE_TOKENS = 1024
 END_ID = 0
 #: Words whose ids a worker remembers (about); those not seen for half as many new words are forgotten.
 REMEMBERED_WORDS = 800_000
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 8 << 20
 
 PIECES = "_id string, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -158,9 +158,9 @@ ENDED = re.compile(r"(.*[^\W_])([.,;:!?*%$#&|]+)", re.DOTALL)
 #: A line end between two signs that are no white space: a pre-token of its own.
 LONE_LINE_END = re.compile(r"(?<=\S)\n(?=\S)")
 #: Parts that are encoded as one text.
-LINES = 64
+LINES = 256
 #: Parts whose ids are put in place at a time.
-GATHERED_PARTS = 1 << 20
+GATHERED_PARTS = 1 << 14
 
 #: White space other than blank, tab and line ends.
 RARE_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")

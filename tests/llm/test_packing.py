@@ -65,3 +65,22 @@ def test_ids_of_rows_with_nulls_keep_all_bits(spark):
     docs = spark.createDataFrame([(2**62 + 1, "a"), (None, "b")], "doc_id long, text string").repartition(1)
     out = packing.pack_documents(docs, vocabulary()).agg(F.max("doc_id")).first()
     assert out[0] == 2**62 + 1
+
+
+def test_words_repeated_over_a_chunk_of_texts_are_looked_up_once():
+    rows = [(i, " ".join(f"w{k}" for k in range(2000))) for i in range(600)]  # 6.5 MB of 2,000 words
+    seen = []
+
+    class Counted(packing.WordIds):
+        def learn(self, parts):
+            seen.append(len(parts))
+            super().learn(parts)
+
+    sizes = packing.byte_sizes("text")
+    import pandas as pd
+    from tokenizers import Tokenizer
+
+    words = Counted(Tokenizer.from_file(vocabulary()))
+    made = [b for c in packing.chunks([pd.DataFrame(rows, columns=["id", "text"])], sizes, packing.CHUNK_BYTES) for b in words.batch(c["text"].tolist())]
+    assert len(set(made)) == 1 and np.frombuffer(made[0], words.kind).tolist() == ids_of(words.tokenizer, rows[0][1])[:-1]
+    assert len(seen) == 1, seen
